@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitrine.operators.silver import batch_time
 from vitrine.schemas import BRONZE_TEXT_COLUMNS
 
 
@@ -19,7 +20,7 @@ def from_cards(cards: DataFrame, as_of: datetime, keep: Sequence[str] = ()) -> D
         for i, name in enumerate(BRONZE_TEXT_COLUMNS)
     ]
     return cards.select(
-        *keep, *named, F.col("id").cast("bigint").alias("id"), F.lit(as_of).alias("data_coleta")
+        *keep, *named, F.col("id").cast("bigint").alias("id"), batch_time(as_of).alias("data_coleta")
     )
 
 

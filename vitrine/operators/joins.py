@@ -12,7 +12,7 @@ SALTS = 32
 
 def planned_bytes(df: DataFrame) -> int:
     """Size Catalyst expects of a frame; an upper estimate for scans, filters and aggregates."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_limit(df: DataFrame) -> int:

@@ -27,16 +27,13 @@ def matches(texts: DataFrame, text: str, names: DataFrame, contained: bool = Fal
     )
     # At most as many lengths as the longest name has characters.
     lengths = names.select(F.sort_array(F.collect_set(F.length("name"))).alias("n")).scalar()
-    folded = F.lower(F.col(text))
-
-    def pieces(n):
-        starts = F.sequence(F.lit(1), F.length(folded) - n + 1) if contained else F.array(F.lit(1))
-        cut = F.transform(starts, lambda at: F.substr(folded, at, n))
-        return F.when(F.length(folded) >= n, cut).otherwise(F.array().cast("array<string>"))
-
-    cut = F.array_distinct(F.flatten(F.transform(F.coalesce(lengths, F.array().cast("array<int>")), pieces)))
+    folded, n = F.lower(F.col(text)), F.col("_n")
+    starts = F.sequence(F.lit(1), F.length(folded) - n + 1) if contained else F.array(F.lit(1))
+    cut = F.array_distinct(F.transform(starts, lambda at: F.substr(folded, at, n)))
     return (
         texts.select(text).where(F.col(text).isNotNull()).distinct()
+        .select(text, F.explode(lengths).alias("_n"))
+        .where(F.length(folded) >= n)
         .select(text, F.explode(cut).alias("_piece"))
         .join(entries, "_piece")
         .groupBy(text)

@@ -122,18 +122,16 @@ def bm25_many(
         .groupBy(doc_id, "_len", "token").agg(F.count(F.lit(1)).alias("tf"))
     )
     containing = found.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    # One row per word with everyone who asks for it.
-    wanted = lookup_join(
-        asked.groupBy("token").agg(F.collect_list(F.struct("query_id", "times")).alias("who")),
-        containing, ["token"], "inner",
-    ).select("token", "who", idf(figures["n"], F.col("df")).alias("idf"))
-    parts = lookup_join(found, wanted, ["token"], "inner", [doc_id]).select(
-        doc_id,
-        (F.col("idf") * weight(F.col("tf"), F.col("_len"), figures["average"], k1, b)).alias("_w"),
-        F.explode("who").alias("_q"),
+    wanted = lookup_join(asked, containing, ["token"], "inner", ["query_id", "token"]).select(
+        "token", "query_id", "times", idf(figures["n"], F.col("df")).alias("idf")
+    )
+    # Every (question, document) pair that shares a word is a result row before the ranking; a
+    # frequent word's postings are split over salts unless the questions are broadcast.
+    parts = lookup_join(found, wanted, ["token"], "inner", [doc_id]).withColumn(
+        "_w", weight(F.col("tf"), F.col("_len"), figures["average"], k1, b)
     )
-    scores = parts.groupBy(F.col("_q.query_id").alias("query_id"), doc_id).agg(
-        F.sum(F.col("_w") * F.col("_q.times")).alias("score")
+    scores = parts.groupBy("query_id", doc_id).agg(
+        F.sum(F.col("times") * F.col("idf") * F.col("_w")).alias("score")
     )
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), doc_id))
     hits = scores.withColumn("rank", rank).where(F.col("rank") <= k)

@@ -99,8 +99,13 @@ def full_text(lines: Column) -> Column:
     return F.replace(F.array_join(lines, " "), F.lit("\n"), F.lit(" "))
 
 
+def batch_time(as_of: datetime) -> Column:
+    """Collection time as session-local wall clock."""
+    return F.lit(as_of.isoformat(" ")).cast("timestamp")
+
+
 def age(year: Column, as_of: datetime) -> Column:
-    return (F.year(F.lit(as_of)) - year).cast("int")
+    return (F.lit(as_of.year) - year).cast("int")
 
 
 def price_per_km(price: Column, mileage: Column) -> Column:
@@ -167,7 +172,7 @@ def parse(
 
 def with_identity(df: DataFrame, as_of: datetime) -> DataFrame:
     """One collection time for the batch; `id` is the key the source gave the card."""
-    return df.withColumn("data_coleta", F.lit(as_of).cast("timestamp"))
+    return df.withColumn("data_coleta", batch_time(as_of))
 
 
 def build(
@@ -201,7 +206,7 @@ def parse_legacy(
         line[3].alias("preco_bruto"),
         line[4].alias("condicoes"),
         F.array_join("lines", "\n").alias("texto_completo"),
-        F.lit(as_of).cast("timestamp").alias("data_coleta"),
+        batch_time(as_of).alias("data_coleta"),
         money(line[3]).alias("preco"),
     )
     return derive(parsed, datetime(current_year, 1, 1), include_lowest=False)
