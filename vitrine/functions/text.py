@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters that count as white space, as a trim set and as a regular-expression class.
+# Characters that count as white space, as a trim set and as a pattern of runs of them.
 SPACES = (
     " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
     "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE_CLASS = r"[\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 
 def strip(text: Column) -> Column:
@@ -23,7 +23,7 @@ def extract(text: Column, pattern: str, group: int = 1) -> Column:
 
 
 def collapse_spaces(text: Column) -> Column:
-    return strip(F.regexp_replace(text, SPACE_CLASS + "+", " "))
+    return strip(F.regexp_replace(text, SPACE_RUN, " "))
 
 
 def drop_prefix(text: Column, prefix: Column) -> Column:
@@ -43,4 +43,4 @@ def after_last(text: Column, mark: str) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-case words, split on white space."""
-    return F.filter(F.split(F.lower(text), SPACE_CLASS + "+"), lambda word: word != "")
+    return F.filter(F.split(F.lower(text), SPACE_RUN), lambda word: word != "")

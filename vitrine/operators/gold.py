@@ -26,7 +26,7 @@ REQUIRED = ("marca", "modelo", "preco")
 def strip_junk(place: Column, site_names: Sequence[str] = ()) -> Column:
     """Without sales words, doubled spaces and marks left over at either end."""
     words = "|".join([*lookups.JUNK_PATTERNS, *site_names])
-    bare = collapse_spaces(F.regexp_replace(place, f"(?iuU)(?:{words})", ""))
+    bare = collapse_spaces(F.regexp_replace(place, f"(?iu)(?:{words})", ""))
     return F.btrim(F.rtrim(bare, F.lit("•,-" + SPACES)), F.lit("•" + SPACES))
 
 
@@ -44,52 +44,67 @@ def _city_prefix(place: Column, cities: Sequence[str], strict_order: bool) -> Co
 
 
 def location_from_text(
-    text: Column,
-    place: Column,
+    df: DataFrame,
     cities: Sequence[str] = lookups.CITIES,
     dealers: Sequence[tuple] = lookups.DEALERS,
     site_names: Sequence[str] = (),
     strict_order: bool = False,
-) -> Column:
-    """Place between the mileage and the price of the full text, else the place column."""
-    between = extract(text, r"(?i)\d\s*KM\s+(.*?)\s+R\$")
-    raw = F.coalesce(F.nullif(strip(between), F.lit("")), place)
-    bare = strip_junk(raw, site_names)
-    town = strip(before_last(bare, ","))
-    state = F.upper(strip(after_last(bare, ",")))
+    text: str = "texto_completo",
+    place: str = "localizacao",
+) -> DataFrame:
+    """Place between the mileage and the price of the full text, else the place column.
+
+    Each intermediate is a column of its own, so Catalyst computes it once.
+    """
+    between = strip(F.regexp_extract(text, r"(?i)\d\s*KM\s+(.*?)\s+R\$", 1))
+    raw, bare, town = F.col("_raw"), F.col("_bare"), F.col("_town")
     city = F.coalesce(_city_prefix(town, cities, strict_order), town)
-    named = (
-        F.when(F.contains(bare, F.lit(",")), F.concat(city, F.lit(", "), state)).otherwise(bare)
-    )
+    state = F.upper(strip(after_last(bare, ",")))
+    named = F.when(town.isNotNull(), F.concat(city, F.lit(", "), state)).otherwise(bare)
     found = F.coalesce(dealer_lookup(bare, dealers), named) if dealers else named
-    usable = (strip(raw) != "") & (F.lower(raw) != "none")
-    return F.when(usable, found).otherwise(place)
+    return (
+        df.withColumn("_between", between)
+        .withColumn("_raw", F.when(F.col("_between") != "", F.col("_between")).otherwise(F.col(place)))
+        .withColumn("_bare", strip_junk(raw, site_names))
+        .withColumn("_town", F.when(F.contains(bare, F.lit(",")), strip(before_last(bare, ","))))
+        .withColumn(
+            place,
+            F.when((strip(raw) != "") & (F.lower(raw) != "none"), found).otherwise(F.col(place)),
+        )
+        .drop("_between", "_raw", "_bare", "_town")
+    )
 
 
 def normalize_location(
-    place: Column,
+    df: DataFrame,
     cities: Sequence[str] = lookups.CITIES,
     states: Sequence[str] = lookups.STATES,
     strict_order: bool = False,
-) -> Column:
+    place: str = "localizacao",
+) -> DataFrame:
     """'Address, uf' -> 'City, UF'; a place without a comma is only stripped.
 
     The longest city that opens the address wins, and only if none does, the first listed city
     inside it. With `strict_order` the first listed city that opens it or lies in it wins.
     """
-    bare = strip(place)
-    town = strip(before_last(bare, ","))
-    tail = F.upper(strip(after_last(bare, ",")))
+    bare, town, tail = F.col("_bare"), F.col("_town"), F.col("_tail")
     state = F.coalesce(extract(tail, "(" + "|".join(states) + ")$"), tail)
     inside = dictionary.first_contained(town, cities)
     city = inside if strict_order else F.coalesce(_city_prefix(town, cities, False), inside)
     opening = "|".join(lookups.SHOP_PREFIXES)
     rest = "|".join(lookups.ADDRESS_WORDS)
     short = F.regexp_replace(
-        F.regexp_replace(town, rf"(?iuU)^(?:{opening})\s+", ""), rf"(?iuU)\s+(?:{rest}).*$", ""
+        F.regexp_replace(town, rf"(?iu)^(?:{opening})\s+", ""), rf"(?iu)\s+(?:{rest}).*$", ""
+    )
+    named = F.concat(F.coalesce(F.col("_city"), strip(short)), F.lit(", "), state)
+    return (
+        df.withColumn("_bare", strip(F.col(place)))
+        .withColumn("_town", F.when(F.contains(bare, F.lit(",")), strip(before_last(bare, ","))))
+        .withColumn("_tail", F.upper(strip(after_last(bare, ","))))
+        .withColumn("_city", city)
+        .withColumn(place, F.when(town.isNotNull(), named).otherwise(bare))
+        .drop("_bare", "_town", "_tail", "_city")
     )
-    named = F.concat(F.coalesce(city, strip(short)), F.lit(", "), state)
-    return F.when(F.contains(bare, F.lit(",")), named).otherwise(bare)
 
 
 def fix_model(model: Column, brand: Column) -> Column:
@@ -159,16 +174,11 @@ def build(
     """Whole Gold chain; columns of `schemas.GOLD` after `keep`."""
     col = F.col
     # Cleaning never empties a required column that holds text, so the filter can come first.
-    placed = required_fields(silver).where(strip(col("modelo")) != "").withColumn(
-        "localizacao",
-        location_from_text(
-            col("texto_completo"), col("localizacao"), cities, dealers, site_names, strict_order
-        ),
+    usable = required_fields(silver).where(strip(col("modelo")) != "")
+    placed = location_from_text(usable, cities, dealers, site_names, strict_order)
+    named = normalize_location(placed, cities, states, strict_order).withColumn(
+        "modelo", fix_model(col("modelo"), col("marca"))
     )
-    named = placed.withColumns({
-        "localizacao": normalize_location(col("localizacao"), cities, states, strict_order),
-        "modelo": fix_model(col("modelo"), col("marca")),
-    })
     cleaned = price_raw_numeric(
         named.withColumns({
             "versao": fix_version(col("versao"), col("modelo")),

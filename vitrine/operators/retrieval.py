@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.functions.text import SPACE_CLASS, tokens
+from vitrine.functions.text import tokens
 from vitrine.operators.joins import lookup_join
 
 K1, B = 1.5, 0.75

@@ -290,9 +290,10 @@ def q_location_text(spark, folder):
     )
     # Only listed cities lose the rest of the address, so the test city list holds all five.
     cities = [city for city, _ in tables.PLACES]
-    return base(spark, folder).select(
-        *KEY, gold.location_from_text(text, F.lit("sem lugar"), cities).alias("localizacao")
+    rows = base(spark, folder).select(
+        *KEY, text.alias("texto_completo"), F.lit("sem lugar").alias("localizacao")
     )
+    return gold.location_from_text(rows, cities).select(*KEY, "localizacao")
 
 
 @query("q_dealer_lookup", with_tables(BASE_SQL, f"SELECT {KEYS}, cidade, uf FROM base"))
@@ -336,9 +337,7 @@ def q_normalize_location(spark, folder):
         .otherwise(F.lit("Limeira Campinas, SP"))
     )
     cities = [city for city, _ in tables.PLACES] + ["Limeira"]
-    return base(spark, folder).select(
-        *KEY, gold.normalize_location(place, cities).alias("localizacao")
-    )
+    return gold.normalize_location(base(spark, folder).select(*KEY, place.alias("localizacao")), cities)
 
 
 @query("q_changed_rows", with_tables(BASE_SQL, """
