@@ -1,21 +1,27 @@
 """BM25 ranking of texts or listing rows against questions.
 
 One question: its words are literals, so every document counts them on its own and one small
-aggregate gives the collection's figures: no shuffle of words or documents. Many questions: the
-words of all questions meet the postings of those words only.
+aggregate gives the collection's figures: no shuffle of words or documents. Many questions: they
+are sent to the documents in slices of bounded size, and each task keeps its best documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from vitrine.functions.text import tokens
-from vitrine.operators.joins import lookup_join
 
 K1, B = 1.5, 0.75
+SLICE_WORDS = 200_000  # (question, word) rows sent to the tasks at a time
+CELLS = 2_000_000  # (document, question) scores held at a time
 ABSENT = "N/A"
 
 
@@ -98,48 +104,137 @@ def top_k(scores: DataFrame, k: int, doc_id: str = "doc_id") -> DataFrame:
     ).drop("_top")
 
 
+def _figures(docs: DataFrame, asked: DataFrame, text: str) -> DataFrame:
+    """`(token, n, length)`: documents that hold an asked word. The row of the empty token, which
+    no document holds, carries the number of documents and their total length."""
+    found = docs.select(tokens(F.col(text)).alias("_t")).select(
+        F.size("_t").alias("_len"),
+        F.explode(F.concat(F.array(F.lit("")), F.array_distinct("_t"))).alias("token"),
+    )
+    wanted = asked.select("token").distinct().unionByName(
+        asked.sparkSession.range(1).select(F.lit("").alias("token"))
+    )
+    return found.join(wanted, "token", "left_semi").groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_len").alias("length")
+    )
+
+
+def _slice_scorer(asked: pd.DataFrame, figures: pd.DataFrame, k: int, k1: float, b: float, id_type):
+    """Function over Arrow batches `(doc_id, tokens)` that keeps, per question, the k best
+    documents its task has seen."""
+    held = figures[figures["token"] != ""]
+    whole = figures[figures["token"] == ""].iloc[0]
+    total, average = int(whole["n"]), float(whole["length"]) / max(int(whole["n"]), 1)
+    words = held["token"].to_numpy()
+    containing = held["n"].to_numpy(dtype=float)
+    rarity = np.log((total - containing + 0.5) / (containing + 0.5) + 1)
+    known = asked[asked["token"].isin(set(words))]
+    ids = np.sort(asked["query_id"].unique())
+    # Who asks for a word, and how often: one run of `who` and `times` per word.
+    place = {word: i for i, word in enumerate(words)}
+    of_word = known["token"].map(place).to_numpy(dtype=np.int64)
+    order = np.argsort(of_word, kind="stable")
+    who = np.searchsorted(ids, known["query_id"].to_numpy())[order]
+    times = known["times"].to_numpy(dtype=float)[order]
+    runs = np.searchsorted(of_word[order], np.arange(len(words) + 1))
+
+    def parts(lengths: np.ndarray, found: np.ndarray, doc: np.ndarray, questions: int):
+        """Scores of a chunk of documents, one row per document and one column per question."""
+        pair, tf = np.unique(doc * len(words) + found, return_counts=True)
+        at, word = pair // len(words), pair % len(words)
+        share = lengths[at] / average
+        value = rarity[word] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * share))
+        asks = runs[word + 1] - runs[word]
+        step = np.arange(asks.sum()) - np.repeat(np.cumsum(asks) - asks, asks)
+        entry = np.repeat(runs[word], asks) + step
+        cell = np.repeat(at, asks) * questions + who[entry]
+        flat = np.bincount(
+            cell, np.repeat(value, asks) * times[entry], minlength=len(lengths) * questions
+        )
+        return flat.reshape(len(lengths), questions)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        questions = len(ids)
+        best_id = [np.empty(0, dtype=object)] * questions
+        best = [np.empty(0)] * questions
+        vocabulary = pa.array(words, pa.string())
+        chunk = max(1, CELLS // max(questions, 1))
+        for whole_batch in batches:
+            for start in range(0, whole_batch.num_rows, chunk):
+                batch = whole_batch.slice(start, chunk)
+                names = np.array(batch.column(0).to_pylist(), dtype=object)
+                lists = batch.column(1)
+                lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+                spot = pc.fill_null(pc.index_in(lists.flatten(), value_set=vocabulary), -1)
+                found = spot.to_numpy(zero_copy_only=False).astype(np.int64)
+                doc = np.repeat(np.arange(len(lengths)), lengths)
+                hit = found >= 0
+                if not hit.any():
+                    continue
+                scores = parts(lengths, found[hit], doc[hit], questions)
+                for q in range(questions):
+                    some = np.flatnonzero(scores[:, q] > 0)
+                    if len(best[q]) == k:
+                        some = some[scores[some, q] >= best[q][-1]]
+                    if not len(some):
+                        continue
+                    value = np.concatenate([best[q], scores[some, q]])
+                    name = np.concatenate([best_id[q], names[some]])
+                    keep = sorted(range(len(value)), key=lambda x: (-value[x], name[x]))[:k]
+                    best[q], best_id[q] = value[keep], name[keep]
+        sizes = [len(x) for x in best]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(ids, sizes)),
+                pa.array([x for names in best_id for x in names], id_type),
+                pa.array(np.concatenate(best) if best else np.empty(0)),
+            ],
+            names=["query_id", "doc_id", "score"],
+        )
+
+    return score
+
+
 def bm25_many(
     docs: DataFrame, questions: DataFrame, k: int = 10, doc_id: str = "doc_id",
-    text: str = "text", k1: float = K1, b: float = B,
+    text: str = "text", k1: float = K1, b: float = B, slice_words: int = SLICE_WORDS,
 ) -> DataFrame:
     """`(query_id, rank, doc_id, score)` for a table of questions `(query_id, text)`.
 
-    Postings are cut to the questions' words before anything is counted, and the ranking keeps
-    at most k rows per question and task before its shuffle.
+    A join on words would form every pair of a question and a document that share a frequent
+    word. Instead the questions go to the documents: each task scores the documents it reads
+    and hands on its k best per question, so only those reach the ranking's shuffle. Questions
+    are sent in slices of bounded size; more questions mean more slices, never a larger one.
     """
+    spark = docs.sparkSession
     asked = (
         questions.select("query_id", F.explode(tokens(F.col("text"))).alias("token"))
         .groupBy("query_id", "token").agg(F.count(F.lit(1)).alias("times"))
     )
-    bare = docs.select(doc_id, tokens(F.col(text)).alias("_t"))
-    figures = bare.agg(
-        F.struct(F.count(F.lit(1)).alias("n"), F.avg(F.size("_t")).alias("average")).alias("f")
-    ).scalar()
-    # A document's own occurrences are counted where the document is read.
-    found = (
-        bare.select(doc_id, F.size("_t").alias("_len"), F.explode("_t").alias("token"))
-        .join(asked.select("token").distinct(), "token", "left_semi")
-        .groupBy(doc_id, "_len", "token").agg(F.count(F.lit(1)).alias("tf"))
-    )
-    containing = found.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    wanted = lookup_join(asked, containing, ["token"], "inner", ["query_id", "token"]).select(
-        "token", "query_id", "times", idf(figures["n"], F.col("df")).alias("idf")
-    )
-    # Every (question, document) pair that shares a word is a result row before the ranking; a
-    # frequent word's postings are split over salts unless the questions are broadcast.
-    parts = lookup_join(found, wanted, ["token"], "inner", [doc_id]).withColumn(
-        "_w", weight(F.col("tf"), F.col("_len"), figures["average"], k1, b)
-    )
-    scores = parts.groupBy("query_id", doc_id).agg(
-        F.sum(F.col("times") * F.col("idf") * F.col("_w")).alias("score")
-    )
+    slices = -(-asked.count() // slice_words)
+    bare = docs.select(F.col(doc_id), tokens(F.col(text)).alias("_t"))
+    kinds = dict(docs.dtypes) | {"query_id": dict(questions.dtypes)["query_id"]}
+    schema = f"query_id {kinds['query_id']}, {doc_id} {kinds[doc_id]}, score double"
+    id_type = to_arrow_type(docs.schema[doc_id].dataType)
+    best = spark.createDataFrame([], schema)
+    for number in range(slices):
+        part = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == number)
+        words = part.toPandas()  # about slice_words rows
+        if words.empty:
+            continue
+        figures = _figures(docs, part, text).toPandas()  # at most one row per asked word
+        if not (figures["token"] != "").any():
+            continue
+        best = best.unionByName(
+            bare.mapInArrow(_slice_scorer(words, figures, k, k1, b, id_type), schema)
+        )
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), doc_id))
-    hits = scores.withColumn("rank", rank).where(F.col("rank") <= k)
+    hits = best.withColumn("rank", rank).where(F.col("rank") <= k)
     hits = hits.select("query_id", "rank", doc_id, "score")
     first = docs.select(doc_id).orderBy(doc_id).limit(k).agg(
         F.array_sort(F.collect_list(doc_id)).alias("d")
     ).scalar()
-    # Word lists that no document matches fall back to the first k documents.
+    # Questions that no document matches fall back to the first k documents.
     silent = questions.select("query_id").join(hits.select("query_id").distinct(), "query_id", "left_anti")
     fallback = silent.select("query_id", F.posexplode(first).alias("rank", doc_id)).select(
         "query_id", (F.col("rank") + 1).alias("rank"), doc_id, F.lit(0.0).alias("score")
