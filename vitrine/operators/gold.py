@@ -6,7 +6,10 @@ and needs no shuffle.
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,18 +26,32 @@ from vitrine.schemas import GOLD
 REQUIRED = ("marca", "modelo", "preco")
 
 
-def strip_junk(place: Column, site_names: Sequence[str] = ()) -> Column:
-    """Without sales words, doubled spaces and marks left over at either end."""
-    words = "|".join([*lookups.JUNK_PATTERNS, *site_names])
-    bare = collapse_spaces(F.regexp_replace(place, f"(?iu)(?:{words})", ""))
-    return F.btrim(F.rtrim(bare, F.lit("•,-" + SPACES)), F.lit("•" + SPACES))
+def strip_junk(
+    place: Column, site_names: Sequence[str] = (), folded: Column | None = None
+) -> Column:
+    """Without sales words, doubled spaces and marks left over at either end.
+
+    `folded`, the lower-case place as a column of its own, spares places without any of the
+    words the patterns begin with the search for the patterns.
+    """
+    patterns = [*lookups.JUNK_PATTERNS, *site_names]
+    bare = F.regexp_replace(place, f"(?iu)(?:{'|'.join(patterns)})", "")
+    if folded is not None:
+        openings = [re.match(r"\w+", p) for p in patterns]
+        if all(openings):
+            hints = [F.contains(folded, F.lit(o.group().lower())) for o in openings]
+            bare = F.when(reduce(lambda a, b: a | b, hints), bare).otherwise(place)
+    tidy = collapse_spaces(bare)
+    return F.btrim(F.rtrim(tidy, F.lit("•,-" + SPACES)), F.lit("•" + SPACES))
 
 
 def dealer_lookup(place: Column, dealers: Sequence[tuple] = lookups.DEALERS) -> Column:
     """'City, UF' of the first dealer named in the place; null if none is."""
     name = strip(F.regexp_replace(place, r",\s*[A-Z]{2}$", ""))
     towns = F.array(*[F.lit(f"{city}, {state}") for _, city, state, _ in dealers])
-    return F.get(towns, dictionary.contained_rank(name, [d[0] for d in dealers]) - 1)
+    found = F.get(towns, dictionary.contained_rank(name, [d[0] for d in dealers]) - 1)
+    shared = os.path.commonprefix([d[0].lower() for d in dealers])
+    return F.when(F.contains(F.lower(place), F.lit(shared)), found) if shared else found
 
 
 def _city_prefix(place: Column, cities: Sequence[str], strict_order: bool) -> Column:
@@ -65,13 +82,14 @@ def location_from_text(
     return (
         df.withColumn("_between", between)
         .withColumn("_raw", F.when(F.col("_between") != "", F.col("_between")).otherwise(F.col(place)))
-        .withColumn("_bare", strip_junk(raw, site_names))
+        .withColumn("_folded", F.lower(raw))
+        .withColumn("_bare", strip_junk(raw, site_names, F.col("_folded")))
         .withColumn("_town", F.when(F.contains(bare, F.lit(",")), strip(before_last(bare, ","))))
         .withColumn(
             place,
-            F.when((strip(raw) != "") & (F.lower(raw) != "none"), found).otherwise(F.col(place)),
+            F.when((strip(raw) != "") & (F.col("_folded") != "none"), found).otherwise(F.col(place)),
         )
-        .drop("_between", "_raw", "_bare", "_town")
+        .drop("_between", "_raw", "_folded", "_bare", "_town")
     )
 
 
