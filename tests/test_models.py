@@ -54,7 +54,7 @@ def test_series_drops_bad_times(spark):
 def test_encoder_is_alphabetical_and_unknown_is_minus_one(spark):
     words = ["b", "a", "abcz", "abca", "c", None, "B", "ábc"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
-    codes = fleet.encoder(df, "w")
+    codes = fleet.encoders(df, ["w"])["w"]
     known = sorted({w for w in words if w is not None})
     assert {r.w: r.code for r in codes.collect()} == {w: i for i, w in enumerate(known)}
     fresh = spark.createDataFrame([("a",), ("zz",), (None,)], "w string")

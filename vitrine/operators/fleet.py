@@ -10,7 +10,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitrine.operators.joins import lookup_join
+from vitrine.operators.joins import lookup_join, measured
 from vitrine.session import ensure_checkpoint_dir
 
 LABELS = ("marca", "modelo")
@@ -19,25 +19,37 @@ TARGET = "idade_veiculo"
 UNKNOWN = -1
 
 
-def encoder(df: DataFrame, column: str) -> DataFrame:
-    """`(column, code)`: distinct labels numbered from 0 in alphabetical order.
+def encoders(df: DataFrame, columns: Sequence[str] = LABELS) -> dict[str, DataFrame]:
+    """`{column: (column, code)}`: distinct labels numbered from 0 in alphabetical order.
 
-    Labels are numbered inside their leading characters and shifted by the labels before, so a
-    long vocabulary is ordered by many tasks.
+    One pass finds the labels of all columns. Labels are numbered inside their leading
+    characters and shifted by the labels before, so a long vocabulary is ordered by many tasks.
     """
     labels = (
-        df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias(column))
-        .distinct().withColumn("_lead", F.substring(column, 1, 3))
+        df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_label"))
+            for c in columns
+        ])).alias("e"))
+        .select("e._column", "e._label")
+        .where(F.col("_label").isNotNull())
+        .distinct()
+        .withColumn("_lead", F.substring("_label", 1, 3))
     )
-    leads = labels.groupBy("_lead").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_lead")
-    starts = leads.select("_lead", (F.sum("_n").over(before) - F.col("_n")).alias("_start"))
-    within = Window.partitionBy("_lead").orderBy(column)
-    return (
+    leads = labels.groupBy("_column", "_lead").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_column").orderBy("_lead")
+    starts = leads.select(
+        "_column", "_lead", (F.sum("_n").over(before) - F.col("_n")).alias("_start")
+    )
+    within = Window.partitionBy("_column", "_lead").orderBy("_label")
+    codes = measured(
         labels.withColumn("_at", F.row_number().over(within) - 1)
-        .join(starts, "_lead")
-        .select(column, (F.col("_start") + F.col("_at")).cast("int").alias("code"))
+        .join(starts, ["_column", "_lead"])
+        .select("_column", "_label", (F.col("_start") + F.col("_at")).cast("int").alias("code"))
     )
+    return {
+        c: codes.where(F.col("_column") == c).select(F.col("_label").alias(c), "code")
+        for c in columns
+    }
 
 
 def encode(
@@ -125,7 +137,7 @@ def train(
     numbers = NUMBERS if with_year else tuple(c for c in NUMBERS if c != "ano_fabricacao")
     needed = list(dict.fromkeys([*key, *LABELS, *numbers, target]))
     rows = df.select(*needed).where(F.col(target).isNotNull())
-    codes = {c: encoder(rows, c) for c in LABELS}
+    codes = encoders(rows)
     learn, test = split(rows, key, seed)
     trees = GBTRegressor(
         featuresCol="features", labelCol=target, predictionCol="prediction", maxIter=rounds,

@@ -57,38 +57,39 @@ def columns(
 ) -> DataFrame:
     """Type, distinct values, nulls and first known example of each column.
 
-    Columns are stacked to (column, value) rows. The exact form first reduces them to distinct
-    values, so no task sees all values of a column; `approximate` counts with a sketch.
+    Columns are stacked to (column, value) rows and counted per value, so no task sees all
+    values of a column; `approximate` counts with a sketch instead. The examples are one row of
+    aggregates without grouping, which needs no sort.
     """
     names = list(names or df.columns)
     kinds = F.create_map(*[
         F.lit(x) for f in df.schema.fields if f.name in names
         for x in (f.name, f.dataType.simpleString())
     ])
-    stacked = df.select(
-        F.struct(*order).alias("at"),
-        F.explode(F.array(*[
-            F.struct(F.lit(i).alias("i"), F.lit(c).alias("coluna"), F.col(c).cast("string").alias("v"))
-            for i, c in enumerate(names)
-        ])).alias("e"),
-    ).select("at", "e.coluna", "e.v")
-    nulls = F.when(F.col("v").isNull(), F.col("n")).otherwise(F.lit(0))
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("coluna"), F.col(c).cast("string").alias("v")) for c in names
+    ])).alias("e")).select("e.coluna", "e.v")
     if approximate:
-        out = stacked.groupBy("coluna").agg(
+        counted = stacked.groupBy("coluna").agg(
             F.approx_count_distinct("v").alias("valores_unicos"),
             F.count_if(F.col("v").isNull()).alias("valores_nulos"),
-            F.min_by("v", F.when(F.col("v").isNotNull(), F.col("at"))).alias("exemplo"),
         )
     else:
-        per_value = stacked.groupBy("coluna", "v").agg(
-            F.count(F.lit(1)).alias("n"), F.min("at").alias("at")
-        )
-        out = per_value.groupBy("coluna").agg(
+        per_value = stacked.groupBy("coluna", "v").agg(F.count(F.lit(1)).alias("n"))
+        counted = per_value.groupBy("coluna").agg(
             F.count("v").alias("valores_unicos"),
-            F.sum(nulls).cast("bigint").alias("valores_nulos"),
-            F.min_by("v", F.when(F.col("v").isNotNull(), F.col("at"))).alias("exemplo"),
+            F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(F.lit(0)))
+            .cast("bigint").alias("valores_nulos"),
         )
-    return out.select(
+    place = F.struct(*order)
+    first = df.agg(*[
+        F.min_by(F.col(c).cast("string"), F.when(F.col(c).isNotNull(), place)).alias(c)
+        for c in names
+    ])
+    examples = first.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("coluna"), F.col(c).alias("exemplo")) for c in names
+    ])).alias("e")).select("e.*")
+    return counted.join(examples, "coluna").select(
         "coluna", F.element_at(kinds, F.col("coluna")).alias("tipo"),
         "valores_unicos", "valores_nulos", "exemplo",
     )

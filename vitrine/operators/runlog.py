@@ -36,17 +36,18 @@ def stage_durations(checkpoints: DataFrame, runs: DataFrame, unit: str = "day")
     the previous checkpoint is the neighbour; the first one of a span takes the last one of the
     span before, found among one row per span.
     """
-    spans = checkpoints.withColumn("_span", F.date_trunc(unit, "ts"))
     point = F.struct("ts", "seq", "name")
     inside = Window.partitionBy("run", "_span").orderBy("ts", "seq")
-    ends = spans.groupBy("run", "_span").agg(F.max(point).alias("_last"))
+    marked = checkpoints.withColumn("_span", F.date_trunc(unit, "ts")).withColumns({
+        "_previous": F.lag(point).over(inside), "_next": F.lead("ts").over(inside),
+    })
+    ends = marked.where(F.col("_next").isNull()).select("run", "_span", point.alias("_last"))
     earlier = ends.select(
         "run", "_span",
         F.lag("_last").over(Window.partitionBy("run").orderBy("_span")).alias("_before"),
     )
     stages = (
-        spans.withColumn("_previous", F.lag(point).over(inside))
-        .join(earlier, ["run", "_span"])
+        marked.join(earlier, ["run", "_span"])
         .withColumn("_previous", F.coalesce("_previous", "_before"))
         .select("run", "seq", "name", "ts", "_previous")
     )

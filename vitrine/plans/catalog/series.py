@@ -131,8 +131,9 @@ SELECT {KEYS}, CAST(dense_rank() OVER (ORDER BY marca) - 1 AS INTEGER) AS marca_
        CAST(dense_rank() OVER (ORDER BY modelo) - 1 AS INTEGER) AS modelo_code FROM listings"""))
 def q_label_encode(spark, folder):
     rows = listings(spark, folder).select(*KEY, "marca", "modelo")
-    out = fleet.encode(rows, "marca", fleet.encoder(rows, "marca"), "marca_code", KEY)
-    out = fleet.encode(out, "modelo", fleet.encoder(rows, "modelo"), "modelo_code", KEY)
+    codes = fleet.encoders(rows)
+    out = fleet.encode(rows, "marca", codes["marca"], "marca_code", KEY)
+    out = fleet.encode(out, "modelo", codes["modelo"], "modelo_code", KEY)
     return out.select(*KEY, "marca_code", "modelo_code")
 
 
@@ -142,7 +143,7 @@ def q_label_encode(spark, folder):
 SELECT {KEYS}, CAST(coalesce(code, -1) AS INTEGER) AS modelo_code FROM listings LEFT JOIN codes USING (modelo)"""))
 def q_label_encode_unseen(spark, folder):
     rows = listings(spark, folder).select(*KEY, "modelo")
-    codes = fleet.encoder(rows.where(F.col("modelo") < "m"), "modelo")
+    codes = fleet.encoders(rows.where(F.col("modelo") < "m"), ["modelo"])["modelo"]
     return fleet.encode(rows, "modelo", codes, "modelo_code", KEY).select(*KEY, "modelo_code")
 
 
@@ -155,7 +156,7 @@ def q_fleet_features(spark, folder):
     from pyspark.ml.functions import vector_to_array
 
     rows = listings(spark, folder).select(*KEY, *fleet.LABELS, *fleet.NUMBERS)
-    codes = {c: fleet.encoder(rows, c) for c in fleet.LABELS}
+    codes = fleet.encoders(rows)
     made = fleet.features(rows, codes, spread_by=KEY)
     text = F.transform(vector_to_array("features"), lambda v: F.round(v).cast("bigint").cast("string"))
     return made.select(*KEY, F.array_join(text, "|").alias("features"))
