@@ -45,12 +45,13 @@ def q_cap_overall(spark, folder):
 
 
 @query("q_union_sources", with_tables(BASE_SQL, f"""
-{_SOURCE} WHERE l_linenumber % 2 = 0 UNION ALL {_SOURCE} WHERE l_linenumber % 3 = 0"""))
+{_SOURCE} UNION ALL SELECT {KEYS}, s_name AS source FROM base"""))
 def q_union_sources(spark, folder):
-    every = base(spark, folder).select(*KEY, F.col("marca").alias("source"))
+    """Every listing under its brand and again under its dealer."""
+    rows = base(spark, folder)
     return bronze.union_sources([
-        every.where(F.col("l_linenumber") % 2 == 0),
-        every.where(F.col("l_linenumber") % 3 == 0).select("source", *KEY),
+        rows.select(*KEY, F.col("marca").alias("source")),
+        rows.select(F.col("s_name").alias("source"), *KEY),
     ])
 
 

@@ -121,13 +121,12 @@ def q_geo_upsert(spark, folder):
 
 @query("q_new_locations", with_tables(_PLACES, """
 SELECT DISTINCT localizacao FROM places
-WHERE l_orderkey % 2 = 0 AND localizacao NOT IN (SELECT n_name || ', SP' FROM nation WHERE n_nationkey < 12)"""))
+WHERE localizacao NOT IN (SELECT n_name || ', SP' FROM nation WHERE n_nationkey < 12)"""))
 def q_new_locations(spark, folder):
     earlier = tables.table(spark, folder, "nation").where(F.col("n_nationkey") < 12).select(
         F.concat(F.col("n_name"), F.lit(", SP")).alias("localizacao")
     )
-    current = nation_places(spark, folder).where(F.col("l_orderkey") % 2 == 0)
-    return quality.new_values(current, earlier)
+    return quality.new_values(nation_places(spark, folder), earlier)
 
 
 @query("q_coords_coverage", with_tables(LISTINGS_SQL, """

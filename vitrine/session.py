@@ -23,22 +23,21 @@ def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Checkpoint folder of the cluster (`spark.checkpoint.dir`).
 
-    Only a local session that names none gets a temporary folder: on a cluster a folder of
-    one machine would be lost with it.
+    Only a local session that names none gets a temporary folder: on a cluster a folder of one
+    machine would be lost with it, so there nothing is checkpointed and lineage is kept.
     """
     context = spark.sparkContext
-    shared = context.getConf().get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         context.setCheckpointDir(shared)
         return shared
-    existing = context.getCheckpointDir()
-    if existing:
-        return existing
+    if context.getCheckpointDir():
+        return context.getCheckpointDir()
     if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        return None
     folder = tempfile.mkdtemp(prefix="vitrine-checkpoint-")
     context.setCheckpointDir(folder)
     return folder
