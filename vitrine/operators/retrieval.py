@@ -157,6 +157,7 @@ def _slice_scorer(asked: pd.DataFrame, figures: pd.DataFrame, k: int, k1: float,
         questions = len(ids)
         best_id = [np.empty(0, dtype=object)] * questions
         best = [np.empty(0)] * questions
+        floor = np.zeros(questions)  # score of a full list's last document
         vocabulary = pa.array(words, pa.string())
         chunk = max(1, CELLS // max(questions, 1))
         for whole_batch in batches:
@@ -172,16 +173,17 @@ def _slice_scorer(asked: pd.DataFrame, figures: pd.DataFrame, k: int, k1: float,
                 if not hit.any():
                     continue
                 scores = parts(lengths, found[hit], doc[hit], questions)
-                for q in range(questions):
-                    some = np.flatnonzero(scores[:, q] > 0)
-                    if len(best[q]) == k:
-                        some = some[scores[some, q] >= best[q][-1]]
-                    if not len(some):
-                        continue
+                # Only questions whose best k may change are looked at one by one.
+                at, asking = np.nonzero((scores > 0) & (scores >= floor))
+                by_question = np.argsort(asking, kind="stable")
+                at, asking = at[by_question], asking[by_question]
+                changed, starts = np.unique(asking, return_index=True)
+                for q, some in zip(changed, np.split(at, starts[1:])):
                     value = np.concatenate([best[q], scores[some, q]])
                     name = np.concatenate([best_id[q], names[some]])
                     keep = sorted(range(len(value)), key=lambda x: (-value[x], name[x]))[:k]
                     best[q], best_id[q] = value[keep], name[keep]
+                    floor[q] = best[q][-1] if len(keep) == k else 0.0
         sizes = [len(x) for x in best]
         yield pa.RecordBatch.from_arrays(
             [
