@@ -87,3 +87,25 @@ def base_statistics(text) -> tuple:
             seen.add(line)
     failed = len(found) < 50 or 100 * len(again) > 50 * len(found)
     return (len(found), sum(map(len, found)), len(re.findall(r"[#*$%&|<>]", text)), copies, len(again), failed)
+
+
+def conversation(rows: list[tuple]) -> tuple:
+    """(turns, digest of turns, loss characters, digest of loss) of (turn, role, text) rows."""
+    rows = sorted((t, r or "", x or "") for t, r, x in rows)
+    loss = "".join(x for _, r, x in rows if r == "assistant")
+    return (len(rows), sha("".join(f"{r}\n{x}\n" for _, r, x in rows)), len(loss), sha(loss))
+
+
+def url_parts(url) -> tuple[str, str]:
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    return lower_az(host), re.match(r"[^?#]*", rest[len(host):])[0]
+
+
+def url_rule(host: str, path: str, rules: list[tuple]) -> tuple:
+    """(rule, verdict) of the longest (verdict, host, path) that fits, else (None, None)."""
+    fits = [(len(h + p), len(h), h + p, v) for v, h, p in rules
+            if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return (max(fits)[2], max(fits)[3]) if fits else (None, None)
