@@ -48,6 +48,16 @@ def staged(df: DataFrame, **columns: Column) -> DataFrame:
                        *[F.col("_row")[n].alias(n) for n in names])
 
 
+def numbered(df: DataFrame) -> list[Column]:
+    """The columns of a table under the names c0, c1, ...: apart from any name an operator adds."""
+    return [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)]
+
+
+def restored(df: DataFrame) -> list[Column]:
+    """The same columns under their own names."""
+    return [F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)]
+
+
 def words(text: Column) -> Column:
     """Words of a text as an array; none for a null or blank text."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import written
+from vitrine.llm.common import numbered, restored, written
 
 RATIO = 0.1
 LEAST_PAGES = 5
@@ -19,7 +19,7 @@ BLANKS = " \t\x0b\x0c\r"
 
 def host_of(url: Column) -> Column:
     """Host of a URL in lower case; null if there is none."""
-    rest = F.substring_index(url, "://", -1)
+    rest = F.substr(url, F.instr(url, "://") + 3)
     return F.when(F.instr(url, "://") > 0, F.lower(F.regexp_extract(rest, "^[^/?#]*", 0)))
 
 
@@ -66,12 +66,13 @@ def strip_lines(pages: DataFrame, host: Column, text: Column, ratio: float = RAT
     found = boilerplate(pages, host, text, ratio, least_pages)
     lists = written(found.groupBy(F.col("host_key").alias("_host_key")).agg(F.collect_list("line_hash").alias("_drop")), "host_lists")
     # The generated row keeps the split of a text from being repeated by later expressions.
-    rows = pages.withColumn("_split", F.explode(F.array(F.struct(_lines(text).alias("lines"), _host_key(host).alias("host")))))
+    split = F.explode(F.array(F.struct(_lines(text).alias("lines"), _host_key(host).alias("host"))))
+    rows = pages.select(*numbered(pages), split.alias("_split"))
     rows = rows.join(lists, F.col("_split.host") == F.col("_host_key"), "left")
     known = F.coalesce("_drop", F.array().cast("array<bigint>"))
     kept = F.when(F.size(known) == 0, F.col("_split.lines")).otherwise(
         F.filter("_split.lines", lambda x: ~F.array_contains(known, _line_hash(x)) | (F.trim(x, F.lit(BLANKS)) == "")))
     rows = rows.withColumn("_kept", F.explode(F.array(kept)))
-    return rows.select(*[F.col(f"`{c}`") for c in pages.columns], F.array_join("_kept", "\n").alias(f"{prefix}kept_text"),
+    return rows.select(*restored(pages), F.array_join("_kept", "\n").alias(f"{prefix}kept_text"),
                        F.size("_split.lines").cast("long").alias(f"{prefix}n_lines"),
                        (F.size("_split.lines") - F.size("_kept")).cast("long").alias(f"{prefix}n_dropped"))

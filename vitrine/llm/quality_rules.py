@@ -160,6 +160,8 @@ def learn(table: DataFrame, max_rules: int = 8, max_conditions: int = 3, least_b
     list: good documents are worth more than the last bad ones.
     """
     cuts = cut_points(table)
+    if not any(cuts.values()):
+        return []
     rest = table.withColumn("_grow", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(3)) < 2)
     rules: list[Rule] = []
     while len(rules) < max_rules:

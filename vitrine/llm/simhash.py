@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm import tokens
-from vitrine.llm.common import row_keys, written
+from vitrine.llm.common import numbered, restored, row_keys, written
 from vitrine.llm.components import components, forest_edges
 
 #: Fingerprints in one tree or one block of queries.
@@ -275,6 +275,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     order = F.struct(F.col("_id").isNull().alias("null"), F.col("_id").alias("id"), F.col("_sum").alias("sum"))
     chosen = prints.join(roots, F.col("fp") == F.col("_fp")).groupBy("root").agg(F.min(order).alias("first"))
     chosen = written(chosen.select(F.col("first.id").alias("_best_id"), F.col("first.sum").alias("_best_sum")), "chosen")
-    rows = docs.withColumn("_key_id", F.col(id_col).cast("long")).withColumn("_key_sum", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    kept = rows.join(chosen, F.col("_key_id").eqNullSafe(F.col("_best_id")) & (F.col("_key_sum") == F.col("_best_sum")), "left_semi")
-    return kept.dropDuplicates(["_key_id", "_key_sum"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(*numbered(docs), F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_sum"))
+    kept = rows.join(chosen, F.col("_id").eqNullSafe(F.col("_best_id")) & (F.col("_sum") == F.col("_best_sum")), "left_semi")
+    return kept.dropDuplicates(["_id", "_sum"]).select(*restored(docs))
