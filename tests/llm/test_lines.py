@@ -1,4 +1,5 @@
 from pyspark.sql import functions as F
+from texts import documents  # noqa: F401
 
 from vitrine.llm import line_frequency
 

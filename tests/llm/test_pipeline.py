@@ -1,6 +1,7 @@
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
+from texts import documents, prose  # noqa: F401
 
 from vitrine.llm.common import written
 

@@ -1,5 +1,6 @@
 import plain
 from pyspark.sql import functions as F
+from texts import documents  # noqa: F401
 
 from vitrine.llm import quality_rules
 from vitrine.llm.catalog import QUERIES

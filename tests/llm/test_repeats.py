@@ -3,6 +3,7 @@ import random
 import plain
 import pytest
 from pyspark.sql import functions as F
+from texts import documents, prose  # noqa: F401
 
 from vitrine.llm import repeats
 from vitrine.llm.catalog import QUERIES

@@ -4,6 +4,7 @@ import numpy as np
 import plain
 import pytest
 from pyspark.sql import functions as F
+from texts import documents, prose  # noqa: F401
 
 from vitrine.llm import simhash
 from vitrine.llm.catalog import QUERIES

@@ -1,3 +1,5 @@
+"""Fixtures that make documents and texts; imported by name."""
+
 from __future__ import annotations
 
 import random
