@@ -7,6 +7,7 @@ import pytest
 from conftest import AS_OF
 from pyspark.sql import functions as F
 
+from vitrine.functions import dictionary
 from vitrine.operators import bronze, geo, lookup, runlog
 from vitrine.operators.joins import lookup_join
 from vitrine.schemas import GAZETTEER, GEO_CACHE
@@ -23,15 +24,48 @@ def without_broadcast(spark):
         spark.conf.set(key, before)
 
 
-def test_salted_join_gives_the_plain_result(spark):
-    left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    left = left.withColumn("k", F.when(F.col("id") % 50 != 1, F.col("k")))
-    right = spark.createDataFrame([("hot", 1), ("7", 2), ("x", 3)], "k string, v int")
-    plain = sorted(map(tuple, left.join(right, ["k"], "left").collect()), key=str)
-    with without_broadcast(spark):
-        salted = lookup_join(left, right, ["k"], "left", ["id"])
-        assert sorted(map(tuple, salted.collect()), key=str) == plain
-        assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+def test_a_frequent_key_is_split(spark):
+    """Nine rows of ten share a key; adaptive execution splits its partition, and nothing runs early."""
+    left = spark.range(60_000).select("id", F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                      F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    right = spark.createDataFrame([("hot", 1), ("70", 2), ("x", 3)], "k string, v int")
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        with without_broadcast(spark):
+            joined = lookup_join(left, right, ["k"])
+            assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+            assert joined.where("v = 1").count() == 54_000 and joined.count() == 60_000
+            rows = joined.selectExpr("count(payload) as n", "sum(v) as s")
+            assert tuple(rows.collect()[0]) == (60_000, 54_002)
+            assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("contained", [False, True])
+@pytest.mark.parametrize("size", [0, 1, 40, 5_000])
+def test_long_dictionary_equals_a_loop(spark, contained, size):
+    draw = random.Random(size)
+    word = lambda n: "".join(draw.choice("abA.+ ") for _ in range(n))
+    names = [word(draw.randint(1, 12)) for _ in range(size)]
+    texts = [word(draw.randint(0, 30)) for _ in range(150)]
+    made = (dictionary.first_contained if contained else dictionary.first_prefix)(F.col("t"), names)
+    got = {r.t: r.e for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", made.alias("e")).collect()}
+    for text in texts:
+        test = (lambda n: n.lower() in text.lower()) if contained else (lambda n: text.lower().startswith(n.lower()))
+        wanted = next((n for n in names if test(n)), None)
+        assert (got[text] or "").lower() == (wanted or "").lower() and (got[text] is None) == (wanted is None)
+
+
+def test_places_held_twice_multiply_nothing(spark):
+    rows = spark.createDataFrame([(1, "Itu, SP")], "id int, localizacao string")
+    cache = spark.createDataFrame([("Itu, SP", 2.0, 2.0, "b"), ("Itu, SP", 1.0, 1.0, "a")], GEO_CACHE)
+    assert [(r.latitude, r.localizacao) for r in geo.enrich(rows, cache).collect()] == [(1.0, "a")]
 
 
 @pytest.mark.parametrize("slices", [1, 32])

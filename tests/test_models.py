@@ -70,6 +70,16 @@ def test_split_repeats_under_any_partitioning(spark):
     assert 0.17 < test.count() / 10000 < 0.23
 
 
+def test_reload_without_the_year(spark, folder, tmp_path):
+    rows = listings(spark, folder)
+    model, _ = fleet.train(rows, KEY, rounds=3, with_year=False)
+    model.save(str(tmp_path / "m"))
+    loaded = fleet.FleetModel.load(spark, str(tmp_path / "m"))
+    assert loaded.numbers == model.numbers == ("km", "preco")
+    both = loaded.score(model.score(rows, "a"), "b")
+    assert both.where("a <> b").count() == 0
+
+
 def test_train_save_load_score(spark, folder, tmp_path):
     rows = listings(spark, folder)
     model, metrics = fleet.train(rows, KEY, rounds=8)

@@ -48,15 +48,20 @@ def ranking(texts, question, k):
     return [i for i, s in order if s > 0] or [i for i, _ in order]
 
 
+@pytest.fixture(scope="module")
+def index(corpus, tmp_path_factory):
+    return retrieval.build_index(corpus[1], str(tmp_path_factory.mktemp("index")), buckets=8)
+
+
 @pytest.mark.parametrize("broadcast", [True, False])
-def test_many_questions(spark, corpus, broadcast):
+def test_many_questions(spark, corpus, index, broadcast):
     texts, docs = corpus
     asked = spark.createDataFrame(list(enumerate(QUESTIONS)), "query_id long, text string")
     if broadcast:
-        rows = retrieval.bm25_many(docs, asked, 6).collect()
+        rows = retrieval.bm25_many(index, asked, 6).collect()
     else:
         with without_broadcast(spark):
-            rows = retrieval.bm25_many(docs, asked, 6).collect()
+            rows = retrieval.bm25_many(index, asked, 6).collect()
     for q, question in enumerate(QUESTIONS):
         mine = sorted((r.rank, r.doc_id, r.score) for r in rows if r.query_id == q)
         assert [m[0] for m in mine] == list(range(1, len(mine) + 1))
@@ -64,6 +69,23 @@ def test_many_questions(spark, corpus, broadcast):
         assert [m[2] for m in mine] == pytest.approx([scores[i] for i in ranking(texts, question, 6)], abs=1e-9)
 
 
+@pytest.mark.parametrize("question", QUESTIONS)
+def test_index_agrees_with_direct_scores(corpus, index, question):
+    direct = retrieval.top_k(retrieval.bm25(corpus[1], question), 7).collect()
+    stored = retrieval.search(index, question, 7).collect()
+    assert sorted(round(r.score, 8) for r in stored) == sorted(round(r.score, 8) for r in direct)
+    again = retrieval.TextIndex.load(corpus[1].sparkSession, index.postings.inputFiles()[0].split("/postings/")[0])
+    assert sorted(map(tuple, retrieval.search(again, question, 7).collect())) == sorted(map(tuple, stored))
+
+
+def test_a_question_reads_only_the_folders_of_its_words(corpus, index):
+    plan = retrieval.search(index, "gol w3", 5)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "Scan parquet" in line]
+    assert sum("/postings" in line for line in scans) == 1 and sum("/frequencies" in line for line in scans) == 1
+    assert all("PartitionFilters: [bucket" in line for line in scans if "/postings" in line or "/frequencies" in line)
+    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
 def test_top_k_and_fallback(corpus):
     texts, docs = corpus
     best = retrieval.top_k(retrieval.bm25(docs, "gol w3"), 5).collect()

@@ -45,13 +45,6 @@ BRANDS = [
     "Honda", "Mini", "Mitsubishi", "Caoa Chery",
 ]
 
-# Sources a collection run visits, one per brand.
-COLLECTION_BRANDS = [
-    "volkswagen", "fiat", "renault", "hyundai", "toyota", "jeep",
-    "chevrolet", "citroen", "peugeot", "nissan", "audi", "volvo",
-    "caoa-chery", "bmw", "ford", "honda", "mini", "mercedes-benz",
-]
-
 # (dealer, city, state, district)
 DEALERS = [
     ("Auto Shopping Shopping Car", "Rio de Janeiro", "RJ", "Barra da Tijuca"),
@@ -88,3 +81,12 @@ CONDITION_WORDS = ["parcela", "condição", "entrada"]
 PURCHASE_FLAG = "COMPRA_ONLINE"
 ONLINE_MARKERS = ["RESERVAR ONLINE", "COMPRA ONLINE"]
 # ------------------------------------------------------------------------------
+
+# Texts a profile document ends with.
+INSIGHTS = [
+    "Preço médio por marca",
+    "Distribuição geográfica",
+    "Correlação preço vs quilometragem",
+    "Faixas de preço mais populares",
+    "Idade média dos veículos por marca",
+]

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitrine.operators.joins import lookup_join, measured
-from vitrine.session import ensure_checkpoint_dir
+from vitrine.operators.joins import lookup_join
+from vitrine.session import shared_folder
 
 LABELS = ("marca", "modelo")
 NUMBERS = ("ano_fabricacao", "km", "preco")
@@ -41,7 +41,7 @@ def encoders(df: DataFrame, columns: Sequence[str] = LABELS) -> dict[str, DataFr
         "_column", "_lead", (F.sum("_n").over(before) - F.col("_n")).alias("_start")
     )
     within = Window.partitionBy("_column", "_lead").orderBy("_label")
-    codes = measured(
+    codes = (
         labels.withColumn("_at", F.row_number().over(within) - 1)
         .join(starts, ["_column", "_lead"])
         .select("_column", "_label", (F.col("_start") + F.col("_at")).cast("int").alias("code"))
@@ -52,18 +52,22 @@ def encoders(df: DataFrame, columns: Sequence[str] = LABELS) -> dict[str, DataFr
     }
 
 
-def encode(
-    df: DataFrame, column: str, codes: DataFrame, name: str, spread_by: Sequence[str] = ()
-) -> DataFrame:
+def encode(df: DataFrame, column: str, codes: DataFrame, name: str) -> DataFrame:
     """Adds the code of the label; a label the codes lack, or a null, becomes -1."""
-    joined = lookup_join(df, codes.withColumnRenamed("code", name), [column], "left", spread_by)
+    joined = lookup_join(df, codes.withColumnRenamed("code", name), [column], "left")
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(UNKNOWN)))
 
 
 def split(df: DataFrame, key: Sequence[str], seed: int = 42, held_out: int = 20) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by a hash of the row's key: the same rows under any partitioning."""
-    draw = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(100))
-    return df.where(draw >= held_out), df.where(draw < held_out)
+    test = is_held_out(key, seed, held_out)
+    return df.where(~test), df.where(test)
+
+
+def is_held_out(key: Sequence[str], seed: int = 42, held_out: int = 20) -> Column:
+    """Whether a row is in the test part: by the first 32 bits of an MD5 of seed and key."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 100 < held_out
 
 
 def evaluate(df: DataFrame, label: str = TARGET, prediction: str = "prediction") -> DataFrame:
@@ -86,35 +90,38 @@ class FleetModel:
     trees: GBTRegressionModel
     codes: dict[str, DataFrame]
     numbers: Sequence[str] = NUMBERS
-    columns: list[str] = field(default_factory=list)
 
-    def features(self, df: DataFrame, spread_by: Sequence[str] = ()) -> DataFrame:
-        return features(df, self.codes, self.numbers, spread_by)
+    def features(self, df: DataFrame) -> DataFrame:
+        return features(df, self.codes, self.numbers)
 
-    def score(self, df: DataFrame, name: str = "prediction", spread_by: Sequence[str] = ()) -> DataFrame:
-        scored = self.trees.transform(self.features(df, spread_by))
+    def score(self, df: DataFrame, name: str = "prediction") -> DataFrame:
+        scored = self.trees.transform(self.features(df))
         return scored.select(*df.columns, F.col("prediction").alias(name))
 
     def save(self, path: str) -> None:
+        """Trees, label codes, and which labels and numbers in which order make the features."""
         self.trees.write().overwrite().save(f"{path}/trees")
         for column, codes in self.codes.items():
             codes.write.mode("overwrite").parquet(f"{path}/codes_{column}")
+        inputs = [(i, kind, name) for kind, names in (("label", self.codes), ("number", self.numbers))
+                  for i, name in enumerate(names)]
+        spark = next(iter(self.codes.values())).sparkSession
+        spark.createDataFrame(inputs, "place int, kind string, name string").coalesce(1).write.mode(
+            "overwrite").parquet(f"{path}/inputs")
 
     @staticmethod
-    def load(spark: SparkSession, path: str, labels: Sequence[str] = LABELS,
-             numbers: Sequence[str] = NUMBERS) -> FleetModel:
+    def load(spark: SparkSession, path: str) -> FleetModel:
+        inputs = spark.read.parquet(f"{path}/inputs").orderBy("place").collect()  # one row per feature
+        labels, numbers = ([r["name"] for r in inputs if r["kind"] == k] for k in ("label", "number"))
         codes = {c: spark.read.parquet(f"{path}/codes_{c}") for c in labels}
-        return FleetModel(GBTRegressionModel.load(f"{path}/trees"), codes, numbers)
+        return FleetModel(GBTRegressionModel.load(f"{path}/trees"), codes, tuple(numbers))
 
 
-def features(
-    df: DataFrame, codes: dict[str, DataFrame], numbers: Sequence[str] = NUMBERS,
-    spread_by: Sequence[str] = (),
-) -> DataFrame:
+def features(df: DataFrame, codes: dict[str, DataFrame], numbers: Sequence[str] = NUMBERS) -> DataFrame:
     """Adds the `features` vector: label codes, numbers (-1 if absent) and absence flags."""
     out = df
     for column, table in codes.items():
-        out = encode(out, column, table, f"_{column}", spread_by)
+        out = encode(out, column, table, f"_{column}")
     out = out.withColumns({
         **{f"_{c}": F.coalesce(F.col(c).cast("double"), F.lit(-1.0)) for c in numbers},
         **{f"_no_{c}": F.col(c).isNull().cast("double") for c in numbers},
@@ -133,7 +140,7 @@ def train(
     The target is derived from the manufacture year, so the year gives the answer away; it is
     kept for parity and left out with `with_year=False`.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    shared_folder(df.sparkSession)  # long training cuts its lineage there
     numbers = NUMBERS if with_year else tuple(c for c in NUMBERS if c != "ano_fabricacao")
     needed = list(dict.fromkeys([*key, *LABELS, *numbers, target]))
     rows = df.select(*needed).where(F.col(target).isNotNull())
@@ -142,6 +149,6 @@ def train(
     trees = GBTRegressor(
         featuresCol="features", labelCol=target, predictionCol="prediction", maxIter=rounds,
         stepSize=rate, maxDepth=depth, lossType="squared", seed=seed, checkpointInterval=10,
-    ).fit(features(learn, codes, numbers, key).select("features", F.col(target).cast("double")))
+    ).fit(features(learn, codes, numbers).select("features", F.col(target).cast("double")))
     model = FleetModel(trees, codes, numbers)
-    return model, evaluate(model.score(test, spread_by=key), target)
+    return model, evaluate(model.score(test), target)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,10 +44,11 @@ def pending(df: DataFrame, cache: DataFrame, column: str = "localizacao") -> Dat
 def resolve(keys: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Cache entries for places, looked up by full name and then by the city before the comma.
 
-    `gazetteer` has one row per `name` (`schemas.GAZETTEER`). Places it lacks are left out.
+    `gazetteer` is keyed by `name` (`schemas.GAZETTEER`). Places it lacks are left out.
     """
     city = strip(F.substring_index("location", ",", 1))
     parts = ["city", "town", "village", "suburb", "municipality"]
+    gazetteer = one_per_place(gazetteer, "name")
     facts = F.struct(*[c for c in gazetteer.columns if c != "name"])
     full = gazetteer.select(F.col("name").alias("location"), facts.alias("_full"))
     by_city = gazetteer.select(F.col("name").alias("_city"), facts.alias("_by_city"))
@@ -85,17 +84,22 @@ def upsert(cache: DataFrame, new: DataFrame) -> DataFrame:
     return kept.select(*columns).unionByName(new.select(*columns))
 
 
-def enrich(
-    df: DataFrame, cache: DataFrame, column: str = "localizacao", spread_by: Sequence[str] = ()
-) -> DataFrame:
-    """Latitude and longitude from the cache; the place becomes its normalized name."""
+def one_per_place(entries: DataFrame, key: str = "location") -> DataFrame:
+    """One entry of each place: the smallest, where a table holds a place twice."""
+    rest = F.struct(*[c for c in entries.columns if c != key])
+    return entries.groupBy(key).agg(F.min(rest).alias("_e")).select(key, "_e.*")
+
+
+def enrich(df: DataFrame, cache: DataFrame, column: str = "localizacao") -> DataFrame:
+    """Latitude and longitude from the cache; the place becomes its normalized name. No row is
+    multiplied by a place that the cache holds twice."""
     order = [c for c in df.columns if c not in ("latitude", "longitude")]
-    entries = cache.select(
+    entries = one_per_place(cache).select(
         F.col("location").alias(column), F.col("lat").alias("latitude"),
         F.col("lon").alias("longitude"), F.col("normalized").alias("_normalized"),
     )
     joined = lookup_join(
-        df.drop("latitude", "longitude"), entries, [column], spread_by=spread_by
+        df.drop("latitude", "longitude"), entries, [column]
     ).withColumn(column, F.coalesce("_normalized", column))
     columns = df.columns if "latitude" in df.columns else [*order, "latitude", "longitude"]
     return joined.select(*columns)

@@ -7,58 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 32
 
+def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join to a table with one row per key, or few.
 
-def planned_bytes(df: DataFrame) -> int:
-    """Size Catalyst expects of a frame; an upper estimate for scans, filters and aggregates."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    units = {"kb": 2**10, "mb": 2**20, "gb": 2**30, "k": 2**10, "m": 2**20, "g": 2**30, "b": 1}
-    low = text.lower()
-    for unit, factor in units.items():
-        if low.endswith(unit):
-            return int(low[: -len(unit)]) * factor
-    return int(low)
-
-
-def measured(df: DataFrame) -> DataFrame:
-    """The frame, with a size Catalyst can rely on.
-
-    Estimates of joins and aggregates are far too high. Where the estimate rules a broadcast
-    out, the frame is computed once and kept, and from then on its real size is known. A frame
-    that is really large is not kept.
-    """
-    if planned_bytes(df) <= broadcast_limit(df):
-        return df
-    df.persist().count()
-    kept = df.select("*")  # planned anew, over the kept rows
-    if planned_bytes(kept) <= broadcast_limit(df):
-        return kept
-    df.unpersist()
-    return df
-
-
-def lookup_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-    spread_by: Sequence[str] = (), salts: int = SALTS,
-) -> DataFrame:
-    """Join to a small table: one row per key, or few.
-
-    A table below the session's broadcast limit (see `measured`) is joined as it is, and
-    Catalyst broadcasts it: the large side does not move. A larger one is repeated under every
-    salt and the large side gets a salt from its own values, so a key that holds most of the
-    rows is split over `salts` tasks.
+    A plain equality join: nothing runs while the query is built. Adaptive execution broadcasts the
+    right side if what its stage has produced is small, and otherwise splits the partitions of the
+    left side that a frequent key has made large, so such a key is shared by several tasks.
     """
-    small = measured(right)
-    if planned_bytes(small) <= broadcast_limit(small):
-        return left.join(small, list(on), how)
-    salt = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(salts)).cast("int")
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")
+    return left.join(right, list(on), how)
 
 
 def null_safe_anti(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

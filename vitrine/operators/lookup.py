@@ -8,8 +8,6 @@ is ever formed. Distinct texts are matched, not rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +41,7 @@ def matches(texts: DataFrame, text: str, names: DataFrame, contained: bool = Fal
 
 def first_match(
     df: DataFrame, text: str, names: DataFrame, contained: bool = False,
-    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Rows with an added `entry` struct, null where nothing matches."""
     found = matches(df, text, names, contained)
-    return lookup_join(df, found, [text], spread_by=spread_by)
+    return lookup_join(df, found, [text])

@@ -4,20 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitrine import lookups
 from vitrine.operators.quantiles import quantiles
 
-INSIGHTS = [
-    "Preço médio por marca",
-    "Distribuição geográfica",
-    "Correlação preço vs quilometragem",
-    "Faixas de preço mais populares",
-    "Idade média dos veículos por marca",
-]
-
-
 def header(df: DataFrame, name: str, origin: str, order: Sequence[str] = ("id",)) -> DataFrame:
     """Rows, first collection time in row order, and where the data came from."""
     return df.agg(
@@ -51,15 +43,20 @@ def top_values(df: DataFrame, column: str, n: int) -> DataFrame:
     return value_counts(df, column).orderBy(F.desc("n"), column).limit(n)
 
 
+def _fingerprint(value: Column) -> Column:
+    """128 bits of a text (two independent hashes); null stays null."""
+    return F.when(value.isNotNull(), F.struct(F.xxhash64(value).alias("a"), F.xxhash64(F.lit(7), F.reverse(value)).alias("b")))
+
+
 def columns(
     df: DataFrame, order: Sequence[str] = ("id",), names: Sequence[str] | None = None,
     approximate: bool = False,
 ) -> DataFrame:
     """Type, distinct values, nulls and first known example of each column.
 
-    Columns are stacked to (column, value) rows and counted per value, so no task sees all
-    values of a column; `approximate` counts with a sketch instead. The examples are one row of
-    aggregates without grouping, which needs no sort.
+    Columns are stacked to (column, hash of the value) rows and counted per value, so no task sees
+    all values of a column and no text is shuffled; `approximate` counts with a sketch instead. The
+    examples are one row of aggregates without grouping, which needs no sort.
     """
     names = list(names or df.columns)
     kinds = F.create_map(*[
@@ -67,11 +64,11 @@ def columns(
         for x in (f.name, f.dataType.simpleString())
     ])
     stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("coluna"), F.col(c).cast("string").alias("v")) for c in names
+        F.struct(F.lit(c).alias("coluna"), _fingerprint(F.col(c).cast("string")).alias("v")) for c in names
     ])).alias("e")).select("e.coluna", "e.v")
     if approximate:
         counted = stacked.groupBy("coluna").agg(
-            F.approx_count_distinct("v").alias("valores_unicos"),
+            F.approx_count_distinct(F.col("v.a")).alias("valores_unicos"),
             F.count_if(F.col("v").isNull()).alias("valores_nulos"),
         )
     else:
@@ -129,7 +126,7 @@ def document(df: DataFrame, name: str, origin: str, order: Sequence[str] = ("id"
         F.struct("nome", "total_registros", "data_coleta", "fonte").alias("dataset_info"),
         per_column.alias("colunas"),
         F.struct(numbers.alias("numeros"), brands.alias("marcas")).alias("estatisticas"),
-        F.array(*[F.lit(x) for x in INSIGHTS]).alias("insights_recomendados"),
+        F.array(*[F.lit(x) for x in lookups.INSIGHTS]).alias("insights_recomendados"),
     )
 
 

@@ -154,6 +154,6 @@ def structure_check(pages: DataFrame) -> DataFrame:
 
     return (
         pages.groupBy("source")
-        .agg(F.sum(card_count(F.col("html"))).cast("bigint").alias("cards"))
+        .agg(F.coalesce(F.sum(card_count(F.col("html"))), F.lit(0)).cast("bigint").alias("cards"))
         .withColumn("ok", F.col("cards") > 0)
     )

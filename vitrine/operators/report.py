@@ -183,7 +183,7 @@ def opportunity(
         known = known.where(F.col(column).isNotNull())
     means = known.groupBy(*market).agg(F.avg("preco").alias("preco_esperado"))
     rows = known.select(*dict.fromkeys([*keep, *market, "preco"]))
-    return lookup_join(rows, means, list(market), "inner", list(keep)).select(
+    return lookup_join(rows, means, list(market), "inner").select(
         *dict.fromkeys([*keep, *market]), "preco", "preco_esperado",
         F.try_divide(F.col("preco_esperado") - F.col("preco"), F.col("preco_esperado"))
         .alias("desvalorizacao"),

@@ -1,27 +1,22 @@
 """BM25 ranking of texts or listing rows against questions.
 
-One question: its words are literals, so every document counts them on its own and one small
-aggregate gives the collection's figures: no shuffle of words or documents. Many questions: they
-are sent to the documents in slices of bounded size, and each task keeps its best documents.
+A stored index answers questions from the postings of their words. Without one, `bm25` scores all
+texts for one question: every document counts the words on its own and one small aggregate gives
+the collection's figures, without a shuffle of words or documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from vitrine.functions.text import tokens
 
 K1, B = 1.5, 0.75
-SLICE_WORDS = 200_000  # (question, word) rows sent to the tasks at a time
-CELLS = 2_000_000  # (document, question) scores held at a time
+BUCKETS = 64  # folders of a stored index; more for a larger collection
 ABSENT = "N/A"
 
 
@@ -104,144 +99,134 @@ def top_k(scores: DataFrame, k: int, doc_id: str = "doc_id") -> DataFrame:
     ).drop("_top")
 
 
-def _figures(docs: DataFrame, asked: DataFrame, text: str) -> DataFrame:
-    """`(token, n, length)`: documents that hold an asked word. The row of the empty token, which
-    no document holds, carries the number of documents and their total length."""
-    found = docs.select(tokens(F.col(text)).alias("_t")).select(
-        F.size("_t").alias("_len"),
-        F.explode(F.concat(F.array(F.lit("")), F.array_distinct("_t"))).alias("token"),
+@dataclass
+class TextIndex:
+    """A stored inverted index.
+
+    `postings(token, doc_id, tf, length)` and `frequencies(token, df)` lie in folders by a hash of
+    the token, so a question reads the folders of its words; `documents(doc_id, length)` and the
+    one row of `figures(n, average)` describe the collection.
+    """
+
+    postings: DataFrame
+    frequencies: DataFrame
+    documents: DataFrame
+    figures: DataFrame
+    buckets: int
+
+    @staticmethod
+    def load(spark: SparkSession, folder: str) -> TextIndex:
+        read = {name: spark.read.parquet(f"{folder}/{name}") for name in ("postings", "frequencies", "documents", "figures")}
+        return TextIndex(**read, buckets=read["figures"].first()["buckets"])
+
+    def bucket(self, token: Column) -> Column:
+        return _bucket(token, self.buckets)
+
+
+def _bucket(token: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
+
+
+def build_index(
+    docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
+) -> TextIndex:
+    """Write the index of a collection to `folder` (replacing one there) and open it.
+
+    A frequent token fills its folder with several files: the rows are rebalanced by size, not
+    sent to one task per token.
+    """
+    spark = docs.sparkSession
+    counted = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("_t"))
+    lengths = counted.select("doc_id", F.coalesce(F.size("_t"), F.lit(0)).alias("length"))
+    lengths.write.mode("overwrite").parquet(f"{folder}/documents")
+    spark.read.parquet(f"{folder}/documents").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("length").alias("average"), F.lit(buckets).alias("buckets")
+    ).write.mode("overwrite").parquet(f"{folder}/figures")
+    found = (
+        counted.select("doc_id", F.size("_t").alias("length"), F.explode("_t").alias("token"))
+        .groupBy("token", "doc_id", "length").agg(F.count(F.lit(1)).cast("int").alias("tf"))
+        .withColumn("bucket", _bucket(F.col("token"), buckets))
     )
-    wanted = asked.select("token").distinct().unionByName(
-        asked.sparkSession.range(1).select(F.lit("").alias("token"))
+    (
+        found.hint("rebalance", "bucket").sortWithinPartitions("bucket", "token")
+        .write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/postings")
     )
-    return found.join(wanted, "token", "left_semi").groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_len").alias("length")
+    (
+        spark.read.parquet(f"{folder}/postings").groupBy("bucket", "token").agg(F.count(F.lit(1)).alias("df"))
+        .hint("rebalance", "bucket").sortWithinPartitions("bucket", "token")
+        .write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/frequencies")
     )
+    return TextIndex.load(spark, folder)
 
 
-def _slice_scorer(asked: pd.DataFrame, figures: pd.DataFrame, k: int, k1: float, b: float, id_type):
-    """Function over Arrow batches `(doc_id, tokens)` that keeps, per question, the k best
-    documents its task has seen."""
-    held = figures[figures["token"] != ""]
-    whole = figures[figures["token"] == ""].iloc[0]
-    total, average = int(whole["n"]), float(whole["length"]) / max(int(whole["n"]), 1)
-    words = held["token"].to_numpy()
-    containing = held["n"].to_numpy(dtype=float)
-    rarity = np.log((total - containing + 0.5) / (containing + 0.5) + 1)
-    known = asked[asked["token"].isin(set(words))]
-    ids = np.sort(asked["query_id"].unique())
-    # Who asks for a word, and how often: one run of `who` and `times` per word.
-    place = {word: i for i, word in enumerate(words)}
-    of_word = known["token"].map(place).to_numpy(dtype=np.int64)
-    order = np.argsort(of_word, kind="stable")
-    who = np.searchsorted(ids, known["query_id"].to_numpy())[order]
-    times = known["times"].to_numpy(dtype=float)[order]
-    runs = np.searchsorted(of_word[order], np.arange(len(words) + 1))
-
-    def parts(lengths: np.ndarray, found: np.ndarray, doc: np.ndarray, questions: int):
-        """Scores of a chunk of documents, one row per document and one column per question."""
-        pair, tf = np.unique(doc * len(words) + found, return_counts=True)
-        at, word = pair // len(words), pair % len(words)
-        share = lengths[at] / average
-        value = rarity[word] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * share))
-        asks = runs[word + 1] - runs[word]
-        step = np.arange(asks.sum()) - np.repeat(np.cumsum(asks) - asks, asks)
-        entry = np.repeat(runs[word], asks) + step
-        cell = np.repeat(at, asks) * questions + who[entry]
-        flat = np.bincount(
-            cell, np.repeat(value, asks) * times[entry], minlength=len(lengths) * questions
-        )
-        return flat.reshape(len(lengths), questions)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        questions = len(ids)
-        best_id = [np.empty(0, dtype=object)] * questions
-        best = [np.empty(0)] * questions
-        floor = np.zeros(questions)  # score of a full list's last document
-        vocabulary = pa.array(words, pa.string())
-        chunk = max(1, CELLS // max(questions, 1))
-        for whole_batch in batches:
-            for start in range(0, whole_batch.num_rows, chunk):
-                batch = whole_batch.slice(start, chunk)
-                names = np.array(batch.column(0).to_pylist(), dtype=object)
-                lists = batch.column(1)
-                lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-                spot = pc.fill_null(pc.index_in(lists.flatten(), value_set=vocabulary), -1)
-                found = spot.to_numpy(zero_copy_only=False).astype(np.int64)
-                doc = np.repeat(np.arange(len(lengths)), lengths)
-                hit = found >= 0
-                if not hit.any():
-                    continue
-                scores = parts(lengths, found[hit], doc[hit], questions)
-                # Only questions whose best k may change are looked at one by one.
-                at, asking = np.nonzero((scores > 0) & (scores >= floor))
-                by_question = np.argsort(asking, kind="stable")
-                at, asking = at[by_question], asking[by_question]
-                changed, starts = np.unique(asking, return_index=True)
-                for q, some in zip(changed, np.split(at, starts[1:])):
-                    value = np.concatenate([best[q], scores[some, q]])
-                    name = np.concatenate([best_id[q], names[some]])
-                    keep = sorted(range(len(value)), key=lambda x: (-value[x], name[x]))[:k]
-                    best[q], best_id[q] = value[keep], name[keep]
-                    floor[q] = best[q][-1] if len(keep) == k else 0.0
-        sizes = [len(x) for x in best]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.repeat(ids, sizes)),
-                pa.array([x for names in best_id for x in names], id_type),
-                pa.array(np.concatenate(best) if best else np.empty(0)),
-            ],
-            names=["query_id", "doc_id", "score"],
-        )
+def _score(index: TextIndex, asked: DataFrame, k1: float, b: float) -> DataFrame:
+    """`(query_id, doc_id, score)` of the documents that hold a word asked in
+    `asked(query_id, bucket, token, times)`."""
+    rare = asked.join(index.frequencies, ["bucket", "token"])
+    hits = index.postings.join(rare, ["bucket", "token"])
+    figures = index.figures.select(F.struct("n", "average").alias("f")).scalar()
+    part = F.col("times") * idf(figures["n"], F.col("df")) * weight(
+        F.col("tf"), F.col("length"), figures["average"], k1, b
+    )
+    # Rounded far below what ranks: copies of a document tie in whatever order their parts were added.
+    return hits.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), 10).alias("score"))
+
+
+def _first_documents(index: TextIndex, k: int) -> DataFrame:
+    return index.documents.select("doc_id").orderBy("doc_id").limit(k)
 
-    return score
+
+def search(index: TextIndex, question: str, k: int, k1: float = K1, b: float = B) -> DataFrame:
+    """`(doc_id, score)` of the k best documents; the first k with score 0 if no document holds a
+    word of the question. Only the folders of the question's words are read."""
+    asked = words(question)
+    spark = index.figures.sparkSession
+    rows = [(0, w, asked.count(w)) for w in dict.fromkeys(asked)]
+    wanted = spark.createDataFrame(rows, "query_id int, token string, times int")
+    own = [index.bucket(F.lit(w)) for _, w, _ in rows] or [F.lit(-1)]
+    names = [w for _, w, _ in rows]
+    pruned = TextIndex(
+        index.postings.where(F.col("bucket").isin(own) & F.col("token").isin(names)),
+        index.frequencies.where(F.col("bucket").isin(own) & F.col("token").isin(names)),
+        index.documents, index.figures, index.buckets,
+    )
+    scored = _score(pruned, wanted.withColumn("bucket", index.bucket(F.col("token"))), k1, b)
+    zero = _first_documents(index, k).withColumn("score", F.lit(0.0))
+    return top_k(scored.select("doc_id", "score").unionByName(zero), k)
 
 
 def bm25_many(
-    docs: DataFrame, questions: DataFrame, k: int = 10, doc_id: str = "doc_id",
-    text: str = "text", k1: float = K1, b: float = B, slice_words: int = SLICE_WORDS,
+    index: TextIndex, questions: DataFrame, k: int = 10, k1: float = K1, b: float = B, slices: int = 64,
 ) -> DataFrame:
     """`(query_id, rank, doc_id, score)` for a table of questions `(query_id, text)`.
 
-    A join on words would form every pair of a question and a document that share a frequent
-    word. Instead the questions go to the documents: each task scores the documents it reads
-    and hands on its k best per question, so only those reach the ranking's shuffle. Questions
-    are sent in slices of bounded size; more questions mean more slices, never a larger one.
+    The words asked meet their postings by an equality join, which adaptive execution splits where
+    a token is frequent; scores are summed before they are shuffled. Documents are ranked inside
+    slices of a question first, then the best of all slices. A question without a hit gets the
+    first k documents with score 0.
     """
-    spark = docs.sparkSession
     asked = (
         questions.select("query_id", F.explode(tokens(F.col("text"))).alias("token"))
         .groupBy("query_id", "token").agg(F.count(F.lit(1)).alias("times"))
+        .withColumn("bucket", index.bucket(F.col("token")))
     )
-    slices = -(-asked.count() // slice_words)
-    bare = docs.select(F.col(doc_id), tokens(F.col(text)).alias("_t"))
-    kinds = dict(docs.dtypes) | {"query_id": dict(questions.dtypes)["query_id"]}
-    schema = f"query_id {kinds['query_id']}, {doc_id} {kinds[doc_id]}, score double"
-    id_type = to_arrow_type(docs.schema[doc_id].dataType)
-    best = spark.createDataFrame([], schema)
-    for number in range(slices):
-        part = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == number)
-        words = part.toPandas()  # about slice_words rows
-        if words.empty:
-            continue
-        figures = _figures(docs, part, text).toPandas()  # at most one row per asked word
-        if not (figures["token"] != "").any():
-            continue
-        best = best.unionByName(
-            bare.mapInArrow(_slice_scorer(words, figures, k, k1, b, id_type), schema)
-        )
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), doc_id))
-    hits = best.withColumn("rank", rank).where(F.col("rank") <= k)
-    hits = hits.select("query_id", "rank", doc_id, "score")
-    first = docs.select(doc_id).orderBy(doc_id).limit(k).agg(
-        F.array_sort(F.collect_list(doc_id)).alias("d")
-    ).scalar()
-    # Questions that no document matches fall back to the first k documents.
-    silent = questions.select("query_id").join(hits.select("query_id").distinct(), "query_id", "left_anti")
-    fallback = silent.select("query_id", F.posexplode(first).alias("rank", doc_id)).select(
-        "query_id", (F.col("rank") + 1).alias("rank"), doc_id, F.lit(0.0).alias("score")
+    hits = _score(index, asked, k1, b)
+    first = _first_documents(index, k).agg(F.array_sort(F.collect_list("doc_id")).alias("d")).scalar()
+    silent = questions.select("query_id").distinct().select(
+        "query_id", F.explode(first).alias("doc_id"), F.lit(0.0).alias("score")
+    )
+    order = [F.desc("score"), F.col("doc_id")]
+    sliced = hits.unionByName(silent).withColumn("_slice", F.pmod(F.xxhash64("doc_id"), F.lit(slices)))
+    best = sliced.withColumn(
+        "_at", F.row_number().over(Window.partitionBy("query_id", "_slice").orderBy(*order))
+    ).where(F.col("_at") <= k)
+    mine = Window.partitionBy("query_id").orderBy(*order)
+    # Documents of score 0 stand only where the best of the question has none above it.
+    ranked = best.withColumn("rank", F.row_number().over(mine)).where(F.col("rank") <= k)
+    top = F.max("score").over(Window.partitionBy("query_id"))
+    return ranked.withColumn("_top", top).where((F.col("score") > 0) | (F.col("_top") <= 0)).select(
+        "query_id", "rank", "doc_id", "score"
     )
-    return hits.unionByName(fallback)
 
 
 def rows(ranked: DataFrame, table: DataFrame, doc_id: str = "doc_id") -> DataFrame:

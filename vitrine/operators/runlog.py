@@ -62,7 +62,7 @@ def stage_durations(checkpoints: DataFrame, runs: DataFrame, unit: str = "day")
         "MICROSECOND", F.coalesce("_previous.ts", "start"), F.coalesce("ts", "end")
     )
     return (
-        lookup_join(stages.unionByName(closing), runs, ["run"], "inner", ["run", "seq"])
+        lookup_join(stages.unionByName(closing), runs, ["run"], "inner")
         .where(F.col("ts").isNotNull() | F.col("end").isNotNull())
         .select("run", "seq", label.alias("stage"), (micros / F.lit(1000000.0)).alias("seconds"))
     )

@@ -122,7 +122,7 @@ def q_brand_prefix(spark, folder):
     brands = tables.table(spark, folder, "part").select(F.col("p_brand").alias("name")).distinct()
     names = brands.withColumn("priority", F.struct(-F.length("name"), "name"))
     titles = base(spark, folder).select(*KEY, F.lower(F.concat_ws(" ", "marca", "nome")).alias("titulo"))
-    found = lookup.first_match(titles, "titulo", names, spread_by=KEY)
+    found = lookup.first_match(titles, "titulo", names)
     return found.select(*KEY, F.col("entry.name").alias("marca"))
 
 
@@ -309,7 +309,7 @@ def q_dealer_lookup(spark, folder):
     places = base(spark, folder).select(
         *KEY, F.concat(F.lit("Auto "), F.upper("s_name"), F.lit(" loja, BR")).alias("place")
     )
-    found = lookup.first_match(places, "place", dealers, contained=True, spread_by=KEY)
+    found = lookup.first_match(places, "place", dealers, contained=True)
     return found.select(*KEY, F.col("entry.cidade").alias("cidade"), F.col("entry.uf").alias("uf"))
 
 

@@ -77,7 +77,7 @@ def q_pending_locations(spark, folder):
 SELECT {KEYS}, coalesce(normalized, localizacao) AS localizacao, lat AS latitude, lon AS longitude
 FROM places LEFT JOIN cache ON location = localizacao"""))
 def q_geo_enrich(spark, folder):
-    return geo.enrich(nation_places(spark, folder), cache(spark, folder), spread_by=KEY)
+    return geo.enrich(nation_places(spark, folder), cache(spark, folder))
 
 
 _RESOLVED = f""", resolved AS (
@@ -147,4 +147,4 @@ def q_gold_places(spark, folder):
         F.concat_ws(", ", "cidade", "uf").alias("location"), F.lit(-23.6).alias("lat"),
         F.lit(-46.9).alias("lon"), F.lit("Cotia (SP)").alias("normalized"),
     ).distinct()
-    return geo.enrich(rows, known, spread_by=KEY)
+    return geo.enrich(rows, known)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from vitrine.operators import retrieval
 from vitrine.plans.catalog.registry import BASE_SQL, KEYS, base, query, rounded, with_tables
+from vitrine.session import shared_folder
 from vitrine.sources import tables
 from vitrine.sources.tables import KEY
 
@@ -18,6 +21,21 @@ def documents(spark, folder):
     return tables.spread(tables.table(spark, folder, "documents").select("doc_id", "text"))
 
 
+_INDEXES: dict[tuple, retrieval.TextIndex] = {}
+
+
+def indexed(spark, folder, name, make):
+    """The stored index of a collection, built when a session first asks for it."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _INDEXES:
+        _INDEXES[key] = retrieval.build_index(make(), f"{shared_folder(spark)}/index-{name}-{uuid.uuid4().hex}")
+    return _INDEXES[key]
+
+
+def document_index(spark, folder):
+    return indexed(spark, folder, "documents", lambda: documents(spark, folder))
+
+
 _TOKENS = r"""toks AS (SELECT doc_id, [x for x in string_split_regex(lower(text), '\s+') if x <> ''] AS t
   FROM {source}), corpus AS (SELECT count(*) AS n, avg(len(t)) AS average FROM toks)"""
 
@@ -61,12 +79,12 @@ _TOP = """SELECT doc_id, near(score, 8) AS score FROM scores WHERE {where} ORDER
 
 @query("q_bm25_topk", with_tables(_scores_sql(QUESTION), _TOP.format(where="score > 0", k=10)))
 def q_bm25_topk(spark, folder):
-    return rounded(retrieval.top_k(retrieval.bm25(documents(spark, folder), QUESTION), 10), 8)
+    return rounded(retrieval.search(document_index(spark, folder), QUESTION, 10), 8)
 
 
 @query("q_bm25_fallback", "SELECT doc_id, 0.0::DOUBLE AS score FROM documents ORDER BY doc_id LIMIT 10")
 def q_bm25_fallback(spark, folder):
-    return retrieval.top_k(retrieval.bm25(documents(spark, folder), UNKNOWN), 10)
+    return retrieval.search(document_index(spark, folder), UNKNOWN, 10)
 
 
 _MANY = r"""
@@ -88,7 +106,7 @@ SELECT query_id, rank::INTEGER AS rank, doc_id, near(score, 6) AS score FROM hit
 def q_bm25_many(spark, folder):
     """Every benchmark passage as a question."""
     questions = tables.table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return rounded(retrieval.bm25_many(documents(spark, folder), questions, 10), 6)
+    return rounded(retrieval.bm25_many(document_index(spark, folder), questions, 10), 6)
 
 
 COLUMNS = ["marca", "modelo", "versao", "ano_fabricacao", "localizacao", "compra_online"]
@@ -126,42 +144,42 @@ SELECT {KEYS}, marca, modelo, versao, localizacao, near(score, 6) AS score
 FROM best JOIN shown ON doc_id = struct_pack({', '.join(f'{k} := {k}' for k in KEY)})"""))
 def q_bm25_rows(spark, folder):
     rows, docs = listing_documents(spark, folder)
-    scores = rounded(retrieval.bm25(docs, ROW_QUESTION), 9)
-    found = retrieval.rows(retrieval.top_k(scores, 10), rows)
+    index = indexed(spark, folder, "listings", lambda: docs)
+    found = retrieval.rows(retrieval.search(index, ROW_QUESTION, 10), rows)
     return rounded(found.select(*KEY, "marca", "modelo", "versao", "localizacao", "score"), 6)
 
 
-_DOC_COLUMNS = ["doc_id", "lang", "source", "n_chars"]
+_DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 @query("q_context", with_tables(_scores_sql(QUESTION), """
 , best AS (SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS i, doc_id FROM scores WHERE score > 0
            ORDER BY score DESC, doc_id LIMIT 5)
 SELECT 'Dados do CSV relevantes para a pergunta:' || chr(10) || chr(10) || string_agg('--- Dado ' || i || ' ---' || chr(10)
-  || 'doc_id: ' || doc_id || chr(10) || 'lang: ' || coalesce(lang, 'N/A') || chr(10) || 'source: '
+  || 'doc_id: ' || doc_id || chr(10) || 'text: ' || coalesce(text, 'N/A') || chr(10) || 'lang: ' || coalesce(lang, 'N/A') || chr(10) || 'source: '
   || coalesce(source, 'N/A') || chr(10) || 'n_chars: ' || coalesce(CAST(n_chars AS VARCHAR), 'N/A') || chr(10) || chr(10), '' ORDER BY i) AS context
 FROM best JOIN documents USING (doc_id)"""))
 def q_context(spark, folder):
     docs = tables.table(spark, folder, "documents")
-    best = retrieval.top_k(retrieval.bm25(documents(spark, folder), QUESTION), 10)
-    return retrieval.context(retrieval.rows(best, docs.select(*_DOC_COLUMNS)), _DOC_COLUMNS)
+    best = retrieval.search(document_index(spark, folder), QUESTION, 10)
+    return retrieval.context(retrieval.rows(best, docs), _DOC_COLUMNS)
 
 
 @query("q_overview", """
 WITH f AS (SELECT row_number() OVER (ORDER BY doc_id) AS i, * FROM documents ORDER BY doc_id LIMIT 5)
 SELECT 'Resumo dos dados do CSV:' || chr(10) || 'Total de registros: ' || (SELECT count(*) FROM documents) || chr(10)
-  || 'Colunas: doc_id, lang, source, n_chars' || chr(10) || chr(10) || 'Primeiros registros:' || chr(10)
-  || string_agg(chr(10) || '--- Registro ' || i || ' ---' || chr(10) || 'doc_id: ' || doc_id || chr(10) || 'lang: ' || lang
+  || 'Colunas: doc_id, text, lang, source, n_chars' || chr(10) || chr(10) || 'Primeiros registros:' || chr(10)
+  || string_agg(chr(10) || '--- Registro ' || i || ' ---' || chr(10) || 'doc_id: ' || doc_id || chr(10) || 'text: ' || text || chr(10) || 'lang: ' || lang
   || chr(10) || 'source: ' || source || chr(10) || 'n_chars: ' || n_chars || chr(10), '' ORDER BY i) AS context FROM f""")
 def q_overview(spark, folder):
-    return retrieval.overview(tables.table(spark, folder, "documents").select(*_DOC_COLUMNS), ["doc_id"])
+    return retrieval.overview(tables.table(spark, folder, "documents"), ["doc_id"])
 
 
 @query("q_corpus_summary", """
 WITH f AS (SELECT row_number() OVER (ORDER BY doc_id) AS i, * FROM documents ORDER BY doc_id LIMIT 3)
-SELECT 'RESUMO DO CSV:' || chr(10) || '- Total de linhas: ' || (SELECT count(*) FROM documents) || chr(10) || '- Colunas: 4'
+SELECT 'RESUMO DO CSV:' || chr(10) || '- Total de linhas: ' || (SELECT count(*) FROM documents) || chr(10) || '- Colunas: 5'
   || chr(10) || '- Coluna principal: doc_id' || chr(10) || chr(10) || 'Dados:' || chr(10)
-  || string_agg(chr(10) || 'Registro ' || i || ':' || chr(10) || '  doc_id: ' || doc_id || chr(10) || '  lang: ' || lang
+  || string_agg(chr(10) || 'Registro ' || i || ':' || chr(10) || '  doc_id: ' || doc_id || chr(10) || '  text: ' || text || chr(10) || '  lang: ' || lang
   || chr(10) || '  source: ' || source || chr(10) || '  n_chars: ' || n_chars || chr(10), '' ORDER BY i) AS summary FROM f""")
 def q_corpus_summary(spark, folder):
-    return retrieval.summary(tables.table(spark, folder, "documents").select(*_DOC_COLUMNS), ["doc_id"])
+    return retrieval.summary(tables.table(spark, folder, "documents"), ["doc_id"])

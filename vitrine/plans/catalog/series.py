@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from vitrine.operators import demand, fleet, predict, runlog
@@ -9,6 +11,7 @@ from vitrine.plans.catalog.registry import (
     AS_OF, KEYS, LISTINGS_SQL, listings, near, query, rounded, with_tables,
 )
 from vitrine.plans import refine
+from vitrine.session import shared_folder
 from vitrine.sources import tables
 from vitrine.sources.tables import KEY
 
@@ -33,14 +36,12 @@ def q_demand_series(spark, folder):
 
 
 @query("q_demand_guard", """
-SELECT event_type, count(*) AS periods, CASE WHEN count(*) >= 8 THEN 'ok' ELSE 'insufficient_history' END AS status
-FROM (SELECT DISTINCT event_type, date_trunc('day', ts) FROM events WHERE event_type <> 'view' OR day(ts) <= 7)
-GROUP BY event_type""")
+SELECT event_type, user_id, count(*) AS periods, CASE WHEN count(*) >= 8 THEN 'ok' ELSE 'insufficient_history' END AS status
+FROM (SELECT DISTINCT event_type, user_id, date_trunc('day', ts) FROM events) GROUP BY event_type, user_id""")
 def q_demand_guard(spark, folder):
-    events = tables.table(spark, folder, "events").where(
-        (F.col("event_type") != "view") | (F.dayofmonth("ts") <= 7)
-    )
-    return demand.guard(demand.series(events, "ts", "day", GROUP), GROUP)
+    """Days per type and user: some histories are long enough, most are not."""
+    by = ("event_type", "user_id")
+    return demand.guard(demand.series(tables.table(spark, folder, "events"), "ts", "day", by), by)
 
 
 @query("q_minmax", with_tables(_SCALED, """
@@ -132,8 +133,8 @@ SELECT {KEYS}, CAST(dense_rank() OVER (ORDER BY marca) - 1 AS INTEGER) AS marca_
 def q_label_encode(spark, folder):
     rows = listings(spark, folder).select(*KEY, "marca", "modelo")
     codes = fleet.encoders(rows)
-    out = fleet.encode(rows, "marca", codes["marca"], "marca_code", KEY)
-    out = fleet.encode(out, "modelo", codes["modelo"], "modelo_code", KEY)
+    out = fleet.encode(rows, "marca", codes["marca"], "marca_code")
+    out = fleet.encode(out, "modelo", codes["modelo"], "modelo_code")
     return out.select(*KEY, "marca_code", "modelo_code")
 
 
@@ -144,7 +145,7 @@ SELECT {KEYS}, CAST(coalesce(code, -1) AS INTEGER) AS modelo_code FROM listings
 def q_label_encode_unseen(spark, folder):
     rows = listings(spark, folder).select(*KEY, "modelo")
     codes = fleet.encoders(rows.where(F.col("modelo") < "m"), ["modelo"])["modelo"]
-    return fleet.encode(rows, "modelo", codes, "modelo_code", KEY).select(*KEY, "modelo_code")
+    return fleet.encode(rows, "modelo", codes, "modelo_code").select(*KEY, "modelo_code")
 
 
 @query("q_fleet_features", with_tables(LISTINGS_SQL, f"""
@@ -157,7 +158,7 @@ def q_fleet_features(spark, folder):
 
     rows = listings(spark, folder).select(*KEY, *fleet.LABELS, *fleet.NUMBERS)
     codes = fleet.encoders(rows)
-    made = fleet.features(rows, codes, spread_by=KEY)
+    made = fleet.features(rows, codes)
     text = F.transform(vector_to_array("features"), lambda v: F.round(v).cast("bigint").cast("string"))
     return made.select(*KEY, F.array_join(text, "|").alias("features"))
 
@@ -215,6 +216,34 @@ def q_predictions_table(spark, folder):
     return rounded(rounded(out, 6, "Aging_Predicted", "Fleet_Health_Score"), 4, "Predicted_Demand_Next_Period")
 
 
+@query("q_fleet_split", with_tables(LISTINGS_SQL, f"""
+SELECT {KEYS}, CAST('0x' || substr(md5(concat_ws('|', '42', {KEYS})), 1, 8) AS BIGINT) % 100 < 20 AS held_out FROM listings"""))
+def q_fleet_split(spark, folder):
+    return listings(spark, folder).select(*KEY, fleet.is_held_out(KEY).alias("held_out"))
+
+
+@query("q_fleet_quality", with_tables(LISTINGS_SQL, f"""
+, s AS (SELECT idade_veiculo AS y, CAST('0x' || substr(md5(concat_ws('|', '42', {KEYS})), 1, 8) AS BIGINT) % 100 < 20 AS held_out FROM listings)
+SELECT count(*) FILTER (NOT held_out AND y IS NOT NULL) AS n_train, count(*) FILTER (held_out AND y IS NOT NULL) AS n_test,
+       true AS r2_high, true AS mae_low, count(y) AS n_scored, true AS reloaded_equal FROM s"""))
+def q_fleet_quality(spark, folder):
+    """Trees trained on the listings: sizes of both parts, quality on the part held out, a score of
+    every row, and the same predictions after saving and loading."""
+    rows = listings(spark, folder)
+    model, metrics = fleet.train(rows, tuple(KEY), rounds=10)
+    path = f"{shared_folder(spark)}/fleet-{uuid.uuid4().hex}"
+    model.save(path)
+    again = fleet.FleetModel.load(spark, path).score(model.score(rows, "predicted"), "reloaded")
+    score = predict.health_score(F.col("idade_veiculo"), F.col("predicted"))
+    counts = again.agg(
+        F.count_if(F.col("idade_veiculo").isNotNull() & ~fleet.is_held_out(KEY)).alias("n_train"),
+        F.count_if(score == F.abs(F.col("idade_veiculo") - F.col("predicted"))).alias("n_scored"),
+        (F.count_if(F.col("predicted") != F.col("reloaded")) == 0).alias("reloaded_equal"),
+    )
+    found = metrics.select(F.col("n").alias("n_test"), (F.col("r2") > 0.9).alias("r2_high"), (F.col("mae") < 1.0).alias("mae_low"))
+    return counts.select("*", *[found.select(c).scalar().alias(c) for c in found.columns])
+
+
 @query("q_fleet_predictions")
 def q_fleet_predictions(spark, folder):
     """Boosted trees trained on the listings, with the month-by-month demand forecast."""

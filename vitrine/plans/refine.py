@@ -32,7 +32,7 @@ def refine(
     cleaned = gold.build(listings, **cleaning)
     missing = geo.pending(cleaned, cache)
     known = geo.upsert(cache, geo.resolve(missing, gazetteer)) if gazetteer is not None else cache
-    placed = geo.enrich(cleaned, known, spread_by=["id"])
+    placed = geo.enrich(cleaned, known)
     return Run(
         bronze=bronze.from_cards(cards, as_of),
         validation=quality.validate_cards(cards),
@@ -58,6 +58,6 @@ def predictions(
 ) -> DataFrame:
     """Gold with predicted age, health score and the next period's demand."""
     model, metrics = fleet.train(gold_rows, key, rounds=rounds)
-    scored = model.score(gold_rows, "Aging_Predicted", spread_by=key)
+    scored = model.score(gold_rows, "Aging_Predicted")
     forecast = demand.forecast(demand.series(gold_rows, unit=unit))
     return predict.table(scored, forecast, metrics, finished)

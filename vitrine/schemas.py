@@ -22,8 +22,6 @@ BRONZE_TEXT_COLUMNS = [
     "detalhes", "extra1", "extra2", "extra3", "extra4",
 ]
 
-BRONZE = _schema([(c, _S) for c in BRONZE_TEXT_COLUMNS] + [("id", _L), ("data_coleta", _TS)])
-
 SILVER = _schema([
     ("id", _L), ("marca", _S), ("modelo", _S), ("versao", _S), ("ano_fabricacao", _I),
     ("ano_modelo", _I), ("km", _L), ("localizacao", _S), ("preco_bruto", _S),
@@ -47,8 +45,3 @@ GAZETTEER = _schema([
     ("name", _S), ("lat", _D), ("lon", _D), ("city", _S), ("town", _S), ("village", _S),
     ("suburb", _S), ("municipality", _S), ("state_district", _S), ("state", _S),
 ])
-
-PREDICTIONS = T.StructType(GOLD.fields + _schema([
-    ("Aging_Predicted", _D), ("Fleet_Health_Score", _D),
-    ("Predicted_Demand_Next_Period", _D), ("Prediction_Date", _S), ("Model_Metrics", _S),
-]).fields)

@@ -17,27 +17,19 @@ def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("vitrine.demonstration.splits", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Checkpoint folder of the cluster (`spark.checkpoint.dir`).
-
-    Only a local session that names none gets a temporary folder: on a cluster a folder of one
-    machine would be lost with it, so there nothing is checkpointed and lineage is kept.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all machines share, named by `spark.checkpoint.dir`. A session that names none
+    (a test, a local run) gets a temporary one."""
     context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-        return shared
-    if context.getCheckpointDir():
-        return context.getCheckpointDir()
-    if not context.master.startswith("local"):
-        return None
-    folder = tempfile.mkdtemp(prefix="vitrine-checkpoint-")
-    context.setCheckpointDir(folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = folder or tempfile.mkdtemp(prefix="vitrine-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")

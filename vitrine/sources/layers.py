@@ -35,9 +35,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def append_snapshot(df: DataFrame, root: str, layer: str, run: datetime) -> None:
-    """Add a run to a layer; earlier runs stay as they are."""
+    """Add a run to a layer; other runs stay as they are. A run written again replaces itself."""
     stamped = df.withColumn("run_ts", F.lit(run.strftime("%Y%m%d_%H%M%S")))
-    stamped.write.mode("append").partitionBy("run_ts").parquet(f"{root}/{layer}")
+    (
+        stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_ts").parquet(f"{root}/{layer}")
+    )
 
 
 def snapshots(spark: SparkSession, root: str, layer: str) -> DataFrame:
@@ -51,8 +54,19 @@ def latest(df: DataFrame, run: str = "run_ts") -> DataFrame:
     return df.where(F.col(run) == newest)
 
 
+def runs(spark: SparkSession, root: str, layer: str) -> list[str]:
+    """Names of the runs of a layer, oldest first, from its folders: no file is opened."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{layer}")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(path) if status.isDirectory()]
+    return sorted(name.partition("=")[2] for name in names if name.startswith("run_ts="))
+
+
 def latest_snapshot(spark: SparkSession, root: str, layer: str) -> DataFrame:
-    return latest(snapshots(spark, root, layer))
+    """Rows of the newest run of a layer; only its folder is read."""
+    return snapshots(spark, root, layer).where(F.col("run_ts") == runs(spark, root, layer)[-1])
 
 
 def replace_latest(df: DataFrame, path: str) -> None:

@@ -22,13 +22,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core when the input has fewer splits than the session has cores.
+#: Setting that spreads the demonstration tables: their files have too few splits for several cores.
+SPLITS = "vitrine.demonstration.splits"
+
 
-    A large input has more splits than cores and passes through untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame) -> DataFrame:
+    """The rows in as many partitions as the session asks for (`local_session` does); untouched
+    without the setting, as on a cluster, where a large table has its own splits."""
+    wanted = df.sparkSession.conf.get(SPLITS, None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def _pick(index: Column, values: list[str]) -> Column:
