@@ -5,9 +5,9 @@ from datetime import datetime
 from conftest import AS_OF
 from test_silver import GOL, UNO
 
-from vitrine.operators import gold, quality, silver
+from vitrine.operators import geo, gold, quality, silver
 from vitrine.plans import refine
-from vitrine.schemas import GEO_CACHE, GOLD, SILVER
+from vitrine.schemas import GAZETTEER, GEO_CACHE, GOLD, SILVER
 from vitrine.sources import layers, pages
 from vitrine.streaming import ingest
 
@@ -75,6 +75,39 @@ def test_whole_run(cards, spark, tmp_path):
     assert layers.latest_snapshot(spark, str(tmp_path), "silver").count() == 2
 
 
+def test_a_run_keeps_its_places_and_repeats(cards, spark, tmp_path):
+    gazetteer = spark.createDataFrame([
+        ("São Paulo", -23.5, -46.6, "São Paulo", None, None, None, None, None, None),
+        ("Rio de Janeiro", -22.9, -43.2, "Rio de Janeiro", None, None, None, None, None, None)], GAZETTEER)
+    root, first, second = str(tmp_path), datetime(2026, 1, 1), datetime(2026, 1, 2)
+    out = refine.complete(cards([GOL, ["curto"]]), root, first, AS_OF, gazetteer).collect()[0]
+    assert (out.total_registros, out.com_coordenadas, out.locais_novos, out.primeiros_locais_novos) == (1, 1, 1, ["São Paulo, SP"])
+    for _ in range(2):
+        out = refine.complete(cards([GOL, UNO]), root, second, AS_OF, gazetteer).collect()[0]
+        assert (out.total_registros, out.com_coordenadas, out.locais_novos, out.primeiros_locais_novos) == (2, 2, 1, ["Rio de Janeiro, RJ"])
+        assert out.sla_atendido is True
+        assert [layers.snapshot(spark, root, n, "20260102_000000").count() for n in ("bronze", "silver", "gold", "geo_cache")] == [2, 2, 2, 2]
+        assert layers.snapshots(spark, root, "gold").count() == 3
+    final = spark.read.parquet(f"{root}/gold_final")
+    assert geo.pending(final, layers.latest_snapshot(spark, root, "geo_cache")).count() == 0
+
+
+def test_the_same_snapshot_twice_and_the_newest_without_a_scan(spark, tmp_path):
+    root = str(tmp_path)
+    for day, n in ((1, 4), (2, 5), (2, 3)):
+        layers.append_snapshot(spark.range(n), root, "x", datetime(2026, 1, day))
+    assert layers.runs(spark, root, "x") == ["20260101_000000", "20260102_000000"] and layers.runs(spark, root, "none") == []
+    assert layers.snapshots(spark, root, "x").count() == 7
+    newest = layers.latest_snapshot(spark, root, "x")
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert newest.count() == 3 and "max(run_ts" not in plan and "20260102_000000" in plan
+
+
+def test_a_source_of_null_pages_is_flagged(spark):
+    df = spark.createDataFrame([("n", None)], "source string, html string")
+    assert [tuple(r) for r in quality.structure_check(df).collect()] == [("n", 0, False)]
+
+
 def test_stream_equals_batch(cards, spark, tmp_path):
     inbox, out, marks = (str(tmp_path / name) for name in ("in", "out", "marks"))
     cards([GOL]).write.mode("append").parquet(inbox)

@@ -92,19 +92,25 @@ def q_brand_counts(spark, folder):
 
 
 _PROFILED = {
-    "marca": "string", "modelo": "string", "versao": "string", "ano_fabricacao": "int", "ano_modelo": "int",
-    "km": "bigint", "localizacao": "string", "compra_online": "string", "faixa_preco": "string",
-    "faixa_km": "string", "idade_veiculo": "int",
+    **{k: "int" if k == "l_linenumber" else "bigint" for k in KEY}, "id": "bigint", "marca": "string", "modelo": "string", "versao": "string", "ano_fabricacao": "int",
+    "ano_modelo": "int", "km": "bigint", "localizacao": "string", "compra_online": "string", "preco": "double", "l_shipdate": "timestamp_ntz",
+    "latitude": "double", "longitude": "double", "faixa_preco": "string", "faixa_km": "string", "idade_veiculo": "int",
+    "preco_por_km": "double",
 }
+# Doubles are printed differently; their examples are compared as whole thousandths.
+_SHOWN = {c: f"CAST(CAST(floor({c} * 1000) AS BIGINT) AS VARCHAR)" if kind == "double" else f"CAST({c} AS VARCHAR)" for c, kind in _PROFILED.items()}
 
 
 @query("q_column_profile", with_tables(LISTINGS_SQL, " UNION ALL ".join(f"""
 SELECT '{c}' AS coluna, '{kind}' AS tipo, count(DISTINCT {c}) AS valores_unicos,
        count(*) - count({c}) AS valores_nulos,
-       (SELECT CAST({c} AS VARCHAR) FROM listings WHERE {c} IS NOT NULL ORDER BY {KEYS} LIMIT 1) AS exemplo
+       (SELECT {_SHOWN[c]} FROM listings WHERE {c} IS NOT NULL ORDER BY {KEYS} LIMIT 1) AS exemplo
 FROM listings""" for c, kind in _PROFILED.items())))
 def q_column_profile(spark, folder):
-    return profile.columns(listings(spark, folder), KEY, list(_PROFILED))
+    """Every column of the listings."""
+    found = profile.columns(listings(spark, folder), KEY)
+    number = F.floor(F.expr("try_cast(exemplo as double)") * 1000).cast("string")
+    return found.withColumn("exemplo", F.when(F.col("tipo") == "double", number).otherwise(F.col("exemplo")))
 
 
 @query("q_numeric_stats", with_tables(LISTINGS_SQL, " UNION ALL ".join(f"""

@@ -107,16 +107,16 @@ def q_geo_resolve_bare(spark, folder):
 
 
 @query("q_geo_upsert", with_tables("n AS (SELECT 1)" + _CACHE + _RESOLVED, """
-SELECT location, lat, lon, normalized FROM resolved WHERE lat > 10
-UNION ALL SELECT location, lat, lon, normalized FROM cache
-WHERE location NOT IN (SELECT location FROM resolved WHERE lat > 10)"""))
+SELECT location, lat, lon, normalized FROM resolved WHERE location NOT IN (SELECT location FROM cache)
+UNION ALL SELECT location, lat, lon, normalized FROM cache"""))
 def q_geo_upsert(spark, folder):
+    """What the cache lacks is resolved and added."""
     known = cache(spark, folder)
     states = F.array(*[F.lit(state) for _, state in tables.PLACES])
     every = tables.table(spark, folder, "nation").select(
-        F.concat(F.col("n_name"), F.lit(", "), F.get(states, F.col("n_nationkey") % 5)).alias("location")
+        F.concat(F.col("n_name"), F.lit(", "), F.get(states, F.col("n_nationkey") % 5)).alias("localizacao")
     )
-    return geo.upsert(known, geo.resolve(every, gazetteer(spark, folder)).where(F.col("lat") > 10))
+    return geo.upsert(known, geo.resolve(geo.pending(every, known), gazetteer(spark, folder)))
 
 
 @query("q_new_locations", with_tables(_PLACES, """
@@ -137,14 +137,14 @@ def q_coords_coverage(spark, folder):
 
 
 @query("q_gold_places", with_tables(GOLD_SQL, f"""
-SELECT {KEYS}, CASE WHEN localizacao = 'Cotia, SP' THEN 'Cotia (SP)' ELSE localizacao END AS localizacao,
-       CASE WHEN localizacao = 'Cotia, SP' THEN -23.6::DOUBLE END AS latitude,
-       CASE WHEN localizacao = 'Cotia, SP' THEN -46.9::DOUBLE END AS longitude FROM gold"""))
+SELECT {KEYS}, regexp_replace(localizacao, '^(.*), (..)$', '\\1 (\\2)') AS localizacao,
+       CAST(-length(localizacao) AS DOUBLE) AS latitude, CAST(-2 * length(localizacao) AS DOUBLE) AS longitude FROM gold"""))
 def q_gold_places(spark, folder):
-    """Gold rows enriched last, from a cache that knows one of their places."""
+    """Gold rows enriched last, from a cache of all their places."""
     rows = gold_rows(spark, folder).select(*KEY, "localizacao", "latitude", "longitude")
-    known = base(spark, folder).where(F.col("cidade") == "Cotia").select(
-        F.concat_ws(", ", "cidade", "uf").alias("location"), F.lit(-23.6).alias("lat"),
-        F.lit(-46.9).alias("lon"), F.lit("Cotia (SP)").alias("normalized"),
+    place = F.concat_ws(", ", "cidade", "uf")
+    known = base(spark, folder).select(
+        place.alias("location"), (-F.length(place)).cast("double").alias("lat"), (-2 * F.length(place)).cast("double").alias("lon"),
+        F.concat(F.col("cidade"), F.lit(" ("), F.col("uf"), F.lit(")")).alias("normalized"),
     ).distinct()
     return geo.enrich(rows, known)

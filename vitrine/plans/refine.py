@@ -6,8 +6,10 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vitrine.operators import bronze, demand, fleet, geo, gold, predict, quality, runlog, silver
+from vitrine.schemas import GEO_CACHE
 from vitrine.sources import layers
 
 
@@ -52,6 +54,48 @@ def save(run: Run, root: str, at: datetime) -> None:
     layers.replace_latest(layers.latest_snapshot(spark, root, "gold").drop("run_ts"), f"{root}/gold_final")
 
 
+def complete(
+    cards: DataFrame, root: str, at: datetime, as_of: datetime, gazetteer: DataFrame | None = None,
+    seconds: float | None = None, memory_mb: float | None = None, **cleaning,
+) -> DataFrame:
+    """A run as it is kept: every layer is written once and read back for the next, resolved places
+    join the cache, and the run closes with a row about itself.
+
+    Below `root`: snapshots of bronze, silver, gold, the place cache (`geo_cache`) and the closing
+    row (`run_summary`), and the export `gold_final`. The closing row has the quality report, the
+    price target, coordinate coverage, and how many places the newest earlier Gold lacks, with the
+    first five of them. Running again with the same stamp replaces the run's own snapshots.
+    """
+    spark = cards.sparkSession
+    stamp = at.strftime(layers.STAMP)
+
+    def kept(df: DataFrame, layer: str) -> DataFrame:
+        layers.append_snapshot(df, root, layer, at)
+        return layers.snapshot(spark, root, layer, stamp)
+
+    earlier = {layer: [r for r in layers.runs(spark, root, layer) if r < stamp] for layer in ("gold", "geo_cache")}
+    kept(bronze.from_cards(cards, as_of), "bronze")
+    cleaned = kept(gold.build(kept(silver.build(cards, as_of), "silver"), **cleaning), "gold_cleaned")
+    cache = (layers.snapshot(spark, root, "geo_cache", earlier["geo_cache"][-1]) if earlier["geo_cache"]
+             else spark.createDataFrame([], GEO_CACHE))
+    if gazetteer is not None:
+        cache = geo.upsert(cache, geo.resolve(geo.pending(cleaned, cache), gazetteer))
+    cache = kept(cache.select(*GEO_CACHE.fieldNames()), "geo_cache")
+    final = kept(runlog.with_audit(geo.enrich(cleaned, cache), seconds, memory_mb, as_of), "gold")
+    layers.replace_latest(final, f"{root}/gold_final")
+
+    places = final.select("localizacao").where("localizacao is not null")
+    if earlier["gold"]:
+        places = quality.new_values(places, layers.snapshot(spark, root, "gold", earlier["gold"][-1]))
+    places = places.distinct()
+    first = places.orderBy("localizacao").limit(5).agg(F.sort_array(F.collect_list("localizacao"))).scalar()
+    found = quality.report(final).select("*", F.struct(*[quality.coords(final).select(c).scalar().alias(c) for c in (
+        "com_coordenadas", "sem_latitude")]).alias("c")).select(
+        "*", "c.*", places.agg(F.count(F.lit(1))).scalar().alias("locais_novos"), first.alias("primeiros_locais_novos"))
+    met = F.col("perc_preco") >= quality.PRICE_TARGET
+    return kept(found.drop("c").withColumns({"sla_alvo": F.lit(float(quality.PRICE_TARGET)), "sla_atendido": met}), "run_summary")
+
+
 def predictions(
     gold_rows: DataFrame, finished: datetime, key: tuple[str, ...] = ("id",), unit: str = "day",
     rounds: int = 100,

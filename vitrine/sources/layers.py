@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+STAMP = "%Y%m%d_%H%M%S"
+
+
 def read_layer(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Delimited text with a header, typed by the schema: nothing is inferred."""
     return (
@@ -36,7 +39,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def append_snapshot(df: DataFrame, root: str, layer: str, run: datetime) -> None:
     """Add a run to a layer; other runs stay as they are. A run written again replaces itself."""
-    stamped = df.withColumn("run_ts", F.lit(run.strftime("%Y%m%d_%H%M%S")))
+    stamped = df.withColumn("run_ts", F.lit(run.strftime(STAMP)))
     (
         stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_ts").parquet(f"{root}/{layer}")
@@ -54,6 +57,11 @@ def latest(df: DataFrame, run: str = "run_ts") -> DataFrame:
     return df.where(F.col(run) == newest)
 
 
+def snapshot(spark: SparkSession, root: str, layer: str, stamp: str) -> DataFrame:
+    """Rows of one run of a layer, without the column that names the run."""
+    return spark.read.option("basePath", f"{root}/{layer}").parquet(f"{root}/{layer}/run_ts={stamp}").drop("run_ts")
+
+
 def runs(spark: SparkSession, root: str, layer: str) -> list[str]:
     """Names of the runs of a layer, oldest first, from its folders: no file is opened."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{layer}")
