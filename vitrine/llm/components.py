@@ -60,11 +60,12 @@ def components(edges: DataFrame, finish_edges: int = FINISH_EDGES) -> DataFrame:
     Each round hooks every node to its smallest neighbour, follows the hooks twice, and replaces
     the nodes of every edge by what they now hang on; edges inside one node vanish. At least every
     node that is no local minimum goes, so the table shrinks quickly. Once at most `finish_edges`
-    are left, one task ends the work; the bound is fixed and does not grow with the input. Each
-    round is written to the shared folder. Null nodes have no component; self-loops are allowed.
+    are left, one task ends the work; the bound is fixed and does not grow with the input. The
+    edges and each round are written to the shared folder. Null nodes have no component; self-loops are allowed.
     """
     spark = edges.sparkSession
-    pairs = edges.where("a is not null and b is not null")
+    # What makes the edges may be dear, and nodes and edges both read them.
+    pairs = written(edges.where("a is not null and b is not null"), "pairs")
     nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
     live = written(
         pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
