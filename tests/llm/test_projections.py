@@ -52,7 +52,8 @@ def test_edges(spark):
     v, nan, inf = [1.0, 2.0, 3.0], float("nan"), float("inf")
     rows = [(1, v, 1), (2, v, 1), (3, v, 2), (4, v, None), (5, None, 1), (6, [], 1), (7, [0.0] * 3, 1), (8, [0.0] * 3, 1), (9, [1.0, None, 3.0], 1),
             (10, [1.0, None, 3.0], 1), (11, [nan, 1.0, 1.0], 1), (12, [nan, 1.0, 1.0], 1), (13, [inf, 1.0, 1.0], 1), (14, [1.0, 2.0], 1),
-            (15, [2.0, 4.0, 6.0], 1), (16, [3e38, 3e38, 0.0], 1), (17, [1e-38, 1e-38, 0.0], 1), (18, [-1.0, -2.0, -3.0], 1), (19, v, None)]
+            (15, [2.0, 4.0, 6.0], 1), (16, [3e38, 3e38, 0.0], 1), (17, [1e-38, 1e-38, 0.0], 1), (18, [-1.0, -2.0, -3.0], 1), (19, v, None),
+            (20, [1.0, None, 2.0, 3.0], 1), (21, [1.0, 2.0, 3.0, None], 1)]
     df = spark.createDataFrame(rows, SCHEMA)
     want = brute(rows)
     assert found(df) == want and want[1] == (2, 1) and want[17] == (1, 16)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm import tokens
-from vitrine.llm.common import staged, written
+from vitrine.llm.common import written
 from vitrine.llm.components import components, forest_edges
 
 THRESHOLD = 0.98
@@ -30,8 +30,18 @@ def _keys(passes: int, bits: int, dim: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((dim, passes * bits))
 
 
+def _units(vectors: pa.Array, rows: int) -> np.ndarray:
+    """The vectors in double precision, scaled to length one.
+
+    They are divided by their largest component first: squares neither overflow nor vanish.
+    """
+    values = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
+    values /= np.abs(values).max(axis=1, keepdims=True)
+    return values / np.sqrt(np.einsum("ij,ij->i", values, values))[:, None]
+
+
 def _project(passes: int, bits: int, seed: int):
-    """One row for each pass and vector, with its key; vectors scaled to length one."""
+    """One row for each pass and vector, with its key; vectors travel as they are stored."""
     weights = (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -39,20 +49,20 @@ def _project(passes: int, bits: int, seed: int):
         for whole in batches:
             for start in range(0, whole.num_rows, 1_024):
                 batch = whole.slice(start, 1_024)
-                vectors = batch.column("unit")
+                vectors = batch.column("vector")
                 dims = np.diff(vectors.offsets.to_numpy())
                 for dim in np.unique(dims).tolist():
                     at = np.flatnonzero(dims == dim)
                     part = batch.take(pa.array(at))
-                    values = part.column("unit").flatten().to_numpy().reshape(len(at), dim)
+                    values = _units(part.column("vector"), len(at))
                     if dim not in planes:
                         planes[dim] = _keys(passes, bits, dim, seed)
                     keys = ((values @ planes[dim]) > 0).reshape(len(at), passes, bits) @ weights
                     for p in range(passes):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.full(len(at), p, np.int32)), part.column("label"), part.column("dim"), pa.array(keys[:, p]),
-                             part.column("node"), part.column("unit")],
-                            ["pass", "label", "dim", "key", "node", "unit"])
+                             part.column("node"), part.column("vector")],
+                            ["pass", "label", "dim", "key", "node", "vector"])
 
     return run
 
@@ -71,7 +81,7 @@ def _neighbours(window: int, threshold: float):
                 left, right = [], []
                 for a, b in zip(edges[:-1], edges[1:]):
                     nodes = merged.column("node").slice(a, b - a).to_numpy()
-                    values = merged.column("unit").slice(a, b - a).flatten().to_numpy().reshape(b - a, -1)
+                    values = _units(merged.column("vector").slice(a, b - a), b - a)
                     for step in range(1, min(window, b - a - 1) + 1):
                         first = max(0, fresh - a - step)  # pairs with a row of this batch
                         near = np.einsum("ij,ij->i", values[first:-step], values[first + step :]) >= threshold
@@ -96,10 +106,10 @@ def _count_links(threshold: float):
             edges = [0, *tokens.changes(table, keys).tolist(), table.num_rows]
             nodes, sizes = table.column("node").to_numpy(), table.column("copies").to_numpy()
             block, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
-            units = table.column("unit").chunk(0)
+            vectors = table.column("vector").chunk(0)
             out_nodes, out_links = [], []
             for a, b in zip(edges[:-1], edges[1:]):
-                values = units.slice(a, b - a).flatten().to_numpy().reshape(b - a, -1)
+                values = _units(vectors.slice(a, b - a), b - a)
                 if low[a] == high[a]:
                     near = values @ values.T >= threshold
                     np.fill_diagonal(near, False)
@@ -130,38 +140,41 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     """
     good = F.col("vector").isNotNull() & (F.size("vector") > 0) & F.forall(
         "vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = df.select(F.col(id_col).cast("long").alias("_id"), F.col(vector_col).cast("array<double>").alias("vector"),
+    # Single-precision vectors are moved in single precision; tasks compute in double.
+    stored = "array<float>" if dict(df.dtypes)[vector_col] == "array<float>" else "array<double>"
+    rows = df.select(F.col(id_col).cast("long").alias("_id"), F.col(vector_col).cast(stored).alias("vector"),
                      F.col(label_col).alias("label"))
-    sound = rows.where(F.col("_id").isNotNull() & F.col("label").isNotNull() & good & F.exists("vector", lambda x: x != 0))
+    usable = F.col("_id").isNotNull() & F.col("label").isNotNull() & good & F.exists("vector", lambda x: x != 0)
+    sound = rows.where(usable)
     # One row per class of equal vectors, named by its smallest identifier.
     classes = sound.groupBy("label", "vector").agg(F.min("_id").alias("node"), F.count("*").alias("copies"))
-    # Scaled by the largest component first: squares neither overflow nor vanish.
-    classes = staged(classes, _peak=F.array_max(F.transform("vector", F.abs)))
-    classes = staged(classes, _scaled=F.transform("vector", lambda x: x / F.col("_peak")))
-    classes = staged(classes, _length=F.sqrt(F.aggregate("_scaled", F.lit(0.0), lambda a, x: a + x * x)))
-    classes = written(classes.select("label", "vector", "node", "copies", F.size("vector").alias("dim"),
-                                     F.transform("_scaled", lambda x: x / F.col("_length")).alias("unit")), "classes")
-
-    wide = classes.select("label", "dim", "node", "unit")
+    classes = written(classes.select("label", "vector", "node", "copies", F.size("vector").alias("dim")), "classes")
+
+    wide = classes.select("label", "dim", "node", "vector")
     kind = dict(classes.dtypes)["label"]
-    keyed = wide.mapInArrow(_project(passes, bits, seed), f"pass int, label {kind}, dim int, key long, node long, unit array<double>")
+    keyed = wide.mapInArrow(_project(passes, bits, seed), f"pass int, label {kind}, dim int, key long, node long, vector {stored}")
     order = ["pass", "label", "dim", "key", "node"]
     ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
     pairs = ordered.mapInArrow(_neighbours(window, threshold), "a long, b long")
     found = components(pairs)
 
-    members = classes.join(found, "node").select("root", "node", "copies", "unit")
+    members = classes.join(found, "node").select("root", "node", "copies", "vector")
     sizes = members.groupBy("root").agg(F.count("*").alias("n"))
     parts = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    members = members.join(sizes, "root").select("root", "node", "copies", "unit", parts.alias("parts"), F.pmod(F.xxhash64("node"), parts).alias("block"))
+    members = members.join(sizes, "root").select("root", "node", "copies", "vector", parts.alias("parts"), F.pmod(F.xxhash64("node"), parts).alias("block"))
     # A large component is cut into blocks; each pair of blocks is a unit of work of its own.
     units = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "copies", "unit")
+        "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "copies", "vector")
     dealt = units.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
     counted = dealt.mapInArrow(_count_links(threshold), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    # Rows find their class by two independent hashes of the vector, so vectors are not moved again.
+    # Hashes pass over nulls: only usable rows look for a class.
+    marks = [F.xxhash64(F.lit(k), F.col("vector")) for k in range(2)]
     named = written(classes.join(found, "node", "left").join(counted, "node", "left").select(
-        F.col("label").alias("_label"), F.col("vector").alias("_vector"),
+        F.col("label").alias("_label"), marks[0].alias("_mark0"), marks[1].alias("_mark1"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("component_id")), "named")
-    joined = rows.join(named, (F.col("label") == F.col("_label")) & (F.col("vector") == F.col("_vector")) & F.col("_id").isNotNull(), "left")
+    marked = rows.select("_id", "label", marks[0].alias("mark0"), marks[1].alias("mark1"), usable.alias("usable"))
+    joined = marked.join(named, (F.col("label") == F.col("_label")) & (F.col("mark0") == F.col("_mark0"))
+                         & (F.col("mark1") == F.col("_mark1")) & F.col("usable"), "left")
     return joined.select("_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                          F.coalesce("component_id", "_id").alias("component_id"))
