@@ -87,3 +87,42 @@ def test_keep_one_takes_near_copies_and_leaves_others(documents, prose):
     rows += [(300, None), (301, ""), (0, texts[0])]
     kept = sorted(r["doc_id"] for r in simhash.keep_one(documents(rows)).collect())
     assert kept == [*range(40), 300]
+
+
+def resemblance(one, two, size=5):
+    a, b = ({tuple(w[i : i + size]) for i in range(len(w) - size + 1)} for w in (one.split(), two.split()))
+    return len(a & b) / len(a | b)
+
+
+def altered(text, changes, rng, word="changed"):
+    w = text.split()
+    for k, at in enumerate(rng.sample(range(len(w) // 5), changes)):
+        w[5 * at + 2] = f"{word}{k}x{rng.randrange(10**6)}"
+    return " ".join(w)
+
+
+def test_keep_one_leaves_texts_that_only_look_alike(documents, prose):
+    """Families of texts with resemblances of 0.62 to 0.78: all are under the limit, none may go."""
+    rng = random.Random(4)
+    rows = []
+    for f, base in enumerate(prose(10, 400, seed=21, vocabulary=3000)):
+        rows += [(100 * f + k, altered(base, 7, rng)) for k in range(20)]
+    pairs = [resemblance(rows[i][1], rows[j][1]) for i in range(200) for j in range(i) if i // 20 == j // 20]
+    assert 0.6 < min(pairs) < max(pairs) < 0.8
+    assert simhash.keep_one(documents(rows)).count() == len(rows)
+
+
+@pytest.mark.parametrize("block", [4, 1_024])
+def test_near_links_against_all_pairs(spark, block):
+    rng = random.Random(6)
+    sets = [set()]
+    for _ in range(6):
+        base = rng.sample(range(-10**9, 10**9), 60)
+        sets += [set(base[: rng.randint(46, 60)]) | set(rng.sample(range(10**9), rng.randint(0, 6))) for _ in range(12)]
+    rows = [(i % 2, i, sorted(s)) for i, s in enumerate(sets)] + [(1, 500, []), (5, 600, [1, 2])]
+    df = spark.createDataFrame(rows, "root long, node long, shingles array<long>")
+    got = {r["node"]: r["root"] for r in components(simhash.near_links(df, block)).collect()}
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if rows[i][0] == rows[j][0]
+             and 5 * len(set(rows[i][2]) & set(rows[j][2])) >= 4 * len(set(rows[i][2]) | set(rows[j][2]))]
+    root = plain.roots(len(rows), pairs)
+    assert [got.get(r[1], r[1]) for r in rows] == [rows[k][1] for k in root]
