@@ -126,3 +126,14 @@ def test_near_links_against_all_pairs(spark, block):
              and 5 * len(set(rows[i][2]) & set(rows[j][2])) >= 4 * len(set(rows[i][2]) | set(rows[j][2]))]
     root = plain.roots(len(rows), pairs)
     assert [got.get(r[1], r[1]) for r in rows] == [rows[k][1] for k in root]
+
+
+def test_keep_one_finds_pairs_at_the_limit(documents, prose):
+    """Pairs planted at resemblances of 0.80 to 0.85: at least 98 in 100 are found."""
+    rng = random.Random(9)
+    pairs = [(t, altered(t, 8 if k % 2 else 7, rng)) for k, t in enumerate(prose(300, 365, seed=31, vocabulary=3000))]
+    assert all(0.8 <= resemblance(*p) < 0.85 for p in pairs)
+    rows = [(2 * k + side, p[side]) for k, p in enumerate(pairs) for side in (0, 1)]
+    assert simhash.keep_one(documents(rows)).count() <= 1.02 * len(pairs)
+    options = {"radius": simhash.WIDE["radius"], **simhash.MASKS}
+    assert simhash.chance_found(0.8, **options) > 0.99 > simhash.chance_found(0.8, 44, 32, 16) + 0.2
