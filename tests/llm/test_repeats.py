@@ -41,3 +41,15 @@ def test_spacing_and_columns(documents, prose):
     texts = {r["doc_id"]: r["stripped"]["kept_text"] for r in out.collect()}
     assert texts == {1: f" {one}\n\n{one[:9]}", 2: f"{two}\n", 3: ""}
     assert repeats.strip_repeats(df.limit(0)).count() == 0
+
+
+def test_exact_copies_do_not_make_a_large_group(documents, prose):
+    """Thousands of equal texts, some under one identifier, come as one text."""
+    text, other = prose(2, 60, seed=12)
+    rows = [(i // 2, text) for i in range(3_000)] + [(9_000, f"{other} {text}"), (9_001, "few words"), (9_002, "few words"), (None, text)]
+    df = documents(rows)
+    keyed = repeats.row_keys(df, "doc_id", "text")
+    texts = repeats.distinct_texts(keyed, repeats.copied_texts(keyed))
+    made = repeats.suffixes(texts, 35, 100)
+    assert texts.count() == 3 and made.groupBy("prefix", "part").count().agg(F.max("count")).first()[0] <= 2
+    assert digests(repeats.strip_repeats(df, spacing=False, group_rows=100)) == sorted(plain.repeats(rows), key=str)

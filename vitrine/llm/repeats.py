@@ -16,12 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm import tokens
-from vitrine.llm.common import row_keys, written
+from vitrine.llm.common import count_words, row_keys, written
 
 LENGTH = 35
 PREFIX = 8
@@ -97,7 +98,8 @@ def _suffix_rows(length: int, frequent: np.ndarray, parts: np.ndarray):
                 if len(frequent):
                     at = np.minimum(np.searchsorted(frequent, prefix), len(frequent) - 1)
                     hot = np.flatnonzero(frequent[at] == prefix)
-                    spread = tokens.mixed(sums.to_numpy()[hot].view(np.uint64) + first[hot].astype(np.uint64))
+                    ids = pc.fill_null(piece.column("_id"), -1).to_numpy(zero_copy_only=False)[found[1][hot]].view(np.uint64)
+                    spread = tokens.mixed(tokens.mixed(sums.to_numpy()[hot].view(np.uint64) + first[hot].astype(np.uint64)) ^ ids)
                     part[hot] = (spread % parts[at[hot]].astype(np.uint64)).astype(np.int64)
                 cuts = (np.concatenate(([0], np.cumsum(sizes))) * 8).astype(np.int32)
                 blob = pa.Array.from_buffers(pa.binary(), len(prefix), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(windows))])
@@ -165,18 +167,48 @@ def _found(table: pa.Table, rows, windows, start, n, decided: bool) -> pa.Record
         ["prefix", "window", "_id", "_sum", "start", "n", "decided"])
 
 
+def _mark():
+    return F.xxhash64(F.lit(1), F.col("_text"))
+
+
+def copied_texts(docs: DataFrame) -> DataFrame:
+    """`_sum, _mark, n_words` of the texts that two rows or more hold, known by two hashes."""
+    found = docs.select("_sum", _mark().alias("_mark"), count_words(F.col("_text")).alias("words"))
+    found = found.groupBy("_sum", "_mark").agg(F.count("*").alias("n"), F.min("words").alias("n_words"))
+    return written(found.where("n > 1").select("_sum", "_mark", "n_words"), "copies")
+
+
+def distinct_texts(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """`_id, _text, _sum` with each of the `copies` once."""
+    marked = docs.withColumn("_mark", _mark())
+    held = copies.select("_sum", "_mark")
+    single = marked.join(held, ["_sum", "_mark"], "left_anti").select("_id", "_text", "_sum")
+    first = marked.join(held, ["_sum", "_mark"], "left_semi").groupBy("_sum", "_mark").agg(F.min("_id").alias("_id"), F.first("_text").alias("_text"))
+    return written(single.union(first.select("_id", "_text", "_sum")), "texts")
+
+
+def suffixes(texts: DataFrame, length: int, group_rows: int) -> DataFrame:
+    """One row per picked prefix of each text: `prefix, part, _id, _sum, first, windows`."""
+    frequent, parts = frequent_prefixes(texts, length, group_rows)
+    return texts.mapInArrow(_suffix_rows(length, frequent, parts),
+                            "prefix long, part long, _id long, _sum long, first int, windows binary")
+
+
 def repeated_windows(docs: DataFrame, length: int = LENGTH, group_rows: int = GROUP_ROWS) -> DataFrame:
     """`_id, _sum, runs` of the rows of `docs(_id, _text, _sum)` that hold repeated windows; a run
-    is (first window, number of windows), counted in words."""
-    frequent, parts = frequent_prefixes(docs, length, group_rows)
-    suffixes = docs.mapInArrow(_suffix_rows(length, frequent, parts),
-                               "prefix long, part long, _id long, _sum long, first int, windows binary")
-    grouped = suffixes.repartition("prefix", "part").sortWithinPartitions("prefix", "part")
+    is (first window, number of windows), counted in words.
+
+    Every window of a text that two rows hold is a repeat, so such a text gives suffixes only once.
+    """
+    copies = copied_texts(docs)
+    grouped = suffixes(distinct_texts(docs, copies), length, group_rows).repartition("prefix", "part").sortWithinPartitions("prefix", "part")
     found = written(grouped.mapInArrow(_deep_nodes, _FOUND), "deep_nodes")
     undecided = found.where("not decided")
     repeats = undecided.groupBy("prefix", "window").agg(F.sum("n").alias("total")).where("total > 1").drop("total")
     late = undecided.where("n = 1").join(repeats, ["prefix", "window"]).select("_id", "_sum", "start", "n")
-    marks = found.where("decided").select("_id", "_sum", "start", "n").union(late)
+    whole = docs.select("_id", "_sum", _mark().alias("_mark")).join(copies.where(F.col("n_words") >= length), ["_sum", "_mark"])
+    whole = whole.select("_id", "_sum", F.lit(0).alias("start"), (F.col("n_words") - length + 1).cast("int").alias("n")).distinct()
+    marks = found.where("decided").select("_id", "_sum", "start", "n").union(late).union(whole)
     return marks.groupBy("_id", "_sum").agg(F.collect_set(F.struct("start", "n")).alias("runs"))
 
 
