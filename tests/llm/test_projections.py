@@ -62,3 +62,18 @@ def test_edges(spark):
     assert found(df.limit(0)) == {}
     null = projections.near_vectors(df.withColumn("vec_id", F.lit(None).cast("long")))
     assert {(r["n_links"], r["component_id"]) for r in null.collect()} == {(0, None)}
+
+
+def test_what_the_windows_leave_out_is_found(spark):
+    """Pairs planted in a tight label: with one pass and a window of one, none may be lost."""
+    rng = np.random.default_rng(7)
+    centre = rng.standard_normal(64)
+    rows = []
+    for k in range(300):
+        v = centre + 0.33 * rng.standard_normal(64)
+        rows += [(2 * k, v.astype(np.float32).tolist(), 1), (2 * k + 1, (v + 0.1 * rng.standard_normal(64)).astype(np.float32).tolist(), 1)]
+    rows += [(1_000 + i, v, 2) for i, v, _ in vectors(100, 20, noise=0.12)]
+    want = brute(rows)
+    assert sum(n for n, _ in want.values()) >= 600
+    for compared in (50, 4_096):
+        assert found(spark.createDataFrame(rows, SCHEMA), passes=1, window=1, compared=compared) == want
