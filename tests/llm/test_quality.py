@@ -49,3 +49,9 @@ def test_verdict_is_ordered(spark):
     rows = spark.createDataFrame([(6.0, 0.0), (2.0, 0.0), (2.0, 9.0), (None, None)], "a double, b double")
     got = [r[0] for r in rows.select(quality_rules.verdict([first, second])).collect()]
     assert got == ["a >= 5", "a >= 1 and b < 2", None, None]
+
+
+def test_long_text_keeps_whole_hashes(documents):
+    """The hashes of (a b v3659405) and (a b v13253765) agree in their low 44 bits, all that was left at this length."""
+    text = " ".join(["a b v3659405 a b v13253765", *(f"w{i}" for i in range(600_000))])
+    assert quality_rules.statistics(documents([(1, text)])).first()["n_repeat_words"] == 0

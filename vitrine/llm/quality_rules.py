@@ -44,16 +44,15 @@ def statistics(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()
 
     Words are separated by space and the controls 9 to 13; a null text has none and all counts are
     zero. `n_repeat_words` counts words inside 3-word windows that occur twice or more in the text:
-    each window is a long of hash bits above as many position bits as the text needs, so equal
-    windows are neighbours after one sort of longs, and a text of any length stays within its row.
+    each window is its whole 64-bit hash and its position, so equal windows are neighbours after one
+    sort, and a text of any length stays within its row.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], text.alias("_text"))
     df = staged(df, _words=words(F.col("_text")), _lines=F.filter(F.split("_text", "\n"), lambda x: x.rlike(WORD)))
     n = F.size("_words")
-    bits = F.ceil(F.log2(n + F.lit(2))).cast("int")
     df = df.select(
-        *[f"_k{i}" for i in range(len(keep))], "_words", n.cast("long").alias("n_words"), bits.alias("_bits"),
+        *[f"_k{i}" for i in range(len(keep))], "_words", n.cast("long").alias("n_words"),
         (F.length("_text") - F.regexp_count("_text", F.lit(r"[\x20\x09-\x0D]"))).cast("long").alias("word_chars"),
         F.regexp_count("_text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.regexp_count("_text", F.lit(r"\p{Lu}")).cast("long").alias("_upper"),
@@ -62,11 +61,10 @@ def statistics(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
     )
     windows = F.expr("""transform(if(n_words > 2, sequence(0, cast(n_words as int) - 3), cast(array() as array<int>)),
-        i -> shiftleft(xxhash64(get(_words, i), get(_words, i + 1), get(_words, i + 2)), _bits) | i)""")
+        i -> struct(xxhash64(get(_words, i), get(_words, i + 1), get(_words, i + 2)) as h, cast(i as long) as p))""")
     df = staged(df, _sorted=F.sort_array(windows)).drop("_words")
-    hits = F.expr("""filter(_sorted, (x, i) -> shiftrightunsigned(x, _bits) <=> shiftrightunsigned(get(_sorted, i - 1), _bits)
-        or shiftrightunsigned(x, _bits) <=> shiftrightunsigned(get(_sorted, i + 1), _bits))""")
-    df = staged(df, _hits=F.sort_array(F.transform(hits, lambda x: x.bitwiseAND(F.expr("shiftleft(1L, _bits) - 1")))))
+    hits = F.expr("""filter(_sorted, (x, i) -> x.h <=> get(_sorted, i - 1).h or x.h <=> get(_sorted, i + 1).h)""")
+    df = staged(df, _hits=F.sort_array(F.transform(hits, lambda x: x["p"])))
     covered = F.expr("""aggregate(transform(_hits, (p, i) -> if(i = 0, 3L, least(3L, p - get(_hits, i - 1)))),
         0L, (total, x) -> total + x)""")
     n_words = F.greatest(F.col("n_words"), F.lit(1))
