@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import chat, line_frequency, packing, pieces, projections, quality_rules, repeats, simhash, urls, warc
+from vitrine.llm import (chat, filter_audit, line_frequency, packing, pieces, projections, quality_rules, repeats, secret_layers,
+                         simhash, urls, warc, whitening)
 from vitrine.llm.common import count_words, new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +163,62 @@ def op10(spark, folder):
     documents = table(spark, folder, "documents")
     labelled = quality_rules.labelled_statistics(documents, table(spark, folder, "labels"))
     return quality_rules.judge(documents, quality_rules.learn(labelled))
+
+
+def _listed(found):
+    """Findings as kind:start:end, joined by commas."""
+    return F.array_join(F.transform(found, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
+
+
+@query("op11_secret_layers")
+def op11(spark, folder):
+    found = secret_layers.find_secrets(table(spark, folder, "documents"))
+    base = F.filter("found", lambda f: (f["layers"] == "") & (f["kind"] != "packed"))
+    secrets = F.filter("found", lambda f: f["kind"] != "packed")
+
+    def count(kind):
+        return F.size(F.filter("base", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(F.col("_id").alias("doc_id"), base.alias("base"), secrets.alias("secrets")).select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(_listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), _listed(F.col("secrets")).alias("spans"))
+
+
+@query("op12_polarised_whitening")
+def op12(spark, folder):
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    rows = found.select(F.col("_id").alias("vec_id"), "n", F.col("deviation").try_cast("long").alias("deviation"), "identity_error",
+                        F.posexplode(F.arrays_zip("whitened", "explained")))
+    return rows.select("vec_id", (F.col("pos") + 1).alias("component"), "n", "deviation", "col.whitened", "col.explained", "identity_error")
+
+
+@query("op13_filter_diagrams", r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+firsts AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text),
+w AS (SELECT d.*, least, regexp_extract_all(d.text, '[^\x20\x09-\x0D]+') AS words FROM d JOIN firsts USING (text)),
+f AS (SELECT doc_id, part, len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
+       100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+       coalesce(doc_id > least, false) AS e FROM w),
+m AS (SELECT part, a, b, c, d, e, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM f LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM letters p, letters q, letters r, letters s, letters t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+steps AS (SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS x,
+       substr(filter_order, 1, step - 1) AS before FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+fails AS (SELECT *, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END, CASE WHEN c THEN 'C' ELSE '' END,
+       CASE WHEN d THEN 'D' ELSE '' END, CASE WHEN e THEN 'E' ELSE '' END) AS failed FROM m),
+judged AS (SELECT part, filter_order, step, x, n, good, toxic, failed, contains(failed, x) AS bad,
+       failed <> '' AND before <> '' AND regexp_matches(failed, '[' || before || '_]') AS gone FROM fails, steps),
+found AS (SELECT part, filter_order, step, x, coalesce(sum(n) FILTER (WHERE NOT gone AND NOT bad), 0) AS kept,
+       coalesce(sum(n) FILTER (WHERE NOT gone AND bad), 0) AS removed, coalesce(sum(n) FILTER (WHERE gone AND bad), 0) AS redundant,
+       coalesce(sum(n) FILTER (WHERE failed = x), 0) AS unique_fails, coalesce(sum(good) FILTER (WHERE NOT gone AND bad), 0) AS good_lost,
+       coalesce(sum(toxic) FILTER (WHERE NOT gone AND bad), 0) AS toxic_lost FROM judged GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM found""")
+def op13(spark, folder):
+    names, counts = filter_audit.count_masks(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return filter_audit.audit(names, counts)
