@@ -50,6 +50,16 @@ def test_payloads_are_stored_once_and_records_come_back_whole(spark):
         assert head + b"\r\n\r\n" in blocks
 
 
+def test_marks_that_end_lines_elsewhere_forge_no_field(spark):
+    marks = ["\u2028", "\u2029", "\u0085", "\x0b", "\x0c", "\r", "\n", "\x1c"]
+    rows = [(i, f"http://a/{m}X-Page: 777{m}WARC-Type: revisit{m}X-Refers-To-Page: 5{m}", "p" * 200 if i > 3 else f"own {i}") for i, m in enumerate(marks)]
+    folder = archive(spark, spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert summary(spark, folder) == [(str(i), "revisit" if i > 4 else "response", "4" if i > 4 else None, 200 if i > 3 else 5) for i in range(len(marks))]
+    urls = {r["page"]: r["url"] for r in warc.read(spark, folder).select(
+        warc.header("X-Page").alias("page"), warc.header("WARC-Target-URI").alias("url")).collect()}
+    assert urls == {str(i): u.replace("\r", "").replace("\n", "") for i, u, _ in rows}
+
+
 def test_writing_again_changes_nothing(spark):
     df = spark.createDataFrame([(1, "u", "a" * 200), (2, "u", "a" * 200)], "page_id long, url string, html string")
     folder = archive(spark, df)

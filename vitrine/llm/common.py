@@ -67,6 +67,11 @@ def count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def second_sum(text: Column) -> Column:
+    """A checksum of a text that is independent of the plain one: both together tell texts apart."""
+    return F.xxhash64(F.lit(1), text)
+
+
 def row_keys(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """`_id, _text, _sum`: identifier, text (null: empty) and a checksum of the text.
 

@@ -4,8 +4,9 @@ In each pass the vectors of a label are ordered by a key of concatenated signs o
 projections, and each is compared with a bounded number of its successors. Verified pairs of all
 passes are united. What the windows leave out is then found exactly: the vectors of a label are cut
 into compact blocks in the order of such a key, and all pairs of blocks are compared that the angle
-between their centres and their radii allow to hold a link between components. The links of a vector are then counted inside its component, block by block, so
-that neither the number of passes nor the window limits the count of a dense group.
+between their centres and their radii allow to hold a link between components. The links of a vector
+are then counted inside its component, block by block, so that neither the number of passes nor the
+window limits the count of a dense group.
 """
 
 from __future__ import annotations
@@ -250,7 +251,9 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     or a non-finite component links with nothing, nor does a row with a null label or identifier;
     such a row is a component of its own. Rows with equal label and components are one class and
     are never expanded into pairs. All links are found: what the passes leave out by comparing the
-    blocks of a label; within a component all links are counted, however dense it is.
+    blocks of a label; within a component all links are counted, however dense it is. An identifier
+    that comes with several vectors stands for as many rows, each with links of its own; a component
+    is named by the smallest identifier of its rows.
     """
     good = F.col("vector").isNotNull() & (F.size("vector") > 0) & F.forall(
         "vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
@@ -260,9 +263,10 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
                      F.col(label_col).alias("label"))
     usable = F.col("_id").isNotNull() & F.col("label").isNotNull() & good & F.exists("vector", lambda x: x != 0)
     sound = rows.where(usable)
-    # One row per class of equal vectors, named by its smallest identifier.
-    classes = sound.groupBy("label", "vector").agg(F.min("_id").alias("node"), F.count("*").alias("copies"))
-    classes = written(classes.select("label", "vector", "node", "copies", F.size("vector").alias("dim")), "classes")
+    # One row per class of equal vectors. It is named by a number of its own, given as the table is
+    # written: identifiers may repeat, and one may come with several vectors.
+    classes = sound.groupBy("label", "vector").agg(F.min("_id").alias("least_id"), F.count("*").alias("copies"))
+    classes = written(classes.select("label", "vector", F.monotonically_increasing_id().alias("node"), "least_id", "copies", F.size("vector").alias("dim")), "classes")
 
     wide = classes.select("label", "dim", "node", "vector")
     kind = dict(classes.dtypes)["label"]
@@ -286,9 +290,11 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     # Rows find their class by two independent hashes of the vector, so vectors are not moved again.
     # Hashes pass over nulls: only usable rows look for a class.
     marks = [F.xxhash64(F.lit(k), F.col("vector")) for k in range(2)]
-    named = written(classes.join(found, "node", "left").join(counted, "node", "left").select(
+    least = classes.join(found, "node").groupBy("root").agg(F.min("least_id").alias("first_id"))
+    homes = found.join(least, "root").select("node", "first_id")
+    named = written(classes.join(homes, "node", "left").join(counted, "node", "left").select(
         F.col("label").alias("_label"), marks[0].alias("_mark0"), marks[1].alias("_mark1"),
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("component_id")), "named")
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("first_id", "least_id").alias("component_id")), "named")
     marked = rows.select("_id", "label", marks[0].alias("mark0"), marks[1].alias("mark1"), usable.alias("usable"))
     joined = marked.join(named, (F.col("label") == F.col("_label")) & (F.col("mark0") == F.col("_mark0"))
                          & (F.col("mark1") == F.col("_mark1")) & F.col("usable"), "left")

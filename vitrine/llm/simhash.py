@@ -1,7 +1,7 @@
 """SimHash near-dedup with BK-trees.
 
 Fingerprints are 64-bit words. Equal ones are one class. Classes are dealt into shards by masked
-bits, so that any two within the radius meet in a shard (exactly, or with known probability); a
+bits, so that any two within the radius meet in a shard; a
 shard is a BK-tree, whose children hang on their Hamming distance to the parent, and a search
 follows only the edges within the radius. A tree reaches the queries of its shard by a join, which
 Catalyst turns into a broadcast if the trees are small; a large shard is split into several trees
@@ -10,8 +10,6 @@ and several blocks of queries.
 
 from __future__ import annotations
 
-import math
-import random
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -22,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm import tokens
-from vitrine.llm.common import numbered, restored, row_keys, written
+from vitrine.llm.common import numbered, restored, row_keys, second_sum, written
 from vitrine.llm.components import components, forest_edges
 
 #: Fingerprints in one tree or one block of queries.
@@ -71,69 +69,22 @@ def _exact_words(size: int):
     return of
 
 
-def _rolled_sets(size: int):
-    """The distinct shingle hashes of each text, rolled from word hashes: all values, in order of
-    text and value, and how many each text has."""
-    rolling = tokens.Rolling(0x9E3779B97F4A7C15)
-
-    def of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        import pyarrow.compute as pc
-
-        hashes, offsets = tokens.word_hashes(pc.ascii_lower(texts))
-        sizes = np.diff(offsets)
-        rolled = rolling(hashes, size)
-        counts = np.maximum(sizes - size + 1, 0)
-        inside = np.repeat(offsets[:-1], counts) + _ramp(counts)
-        short = np.flatnonzero((sizes > 0) & (sizes < size))
-        whole = np.array([rolling(hashes[offsets[i] : offsets[i + 1]], int(sizes[i]))[0] for i in short], np.uint64)
-        owner = np.concatenate((np.repeat(np.arange(len(sizes)), counts), short))
-        values = np.concatenate((rolled[inside], whole))
-        order = np.lexsort((values, owner))
-        owner, values = owner[order], values[order]
-        fresh = np.ones(len(values), bool)
-        fresh[1:] = (owner[1:] != owner[:-1]) | (values[1:] != values[:-1])
-        return values[fresh], np.bincount(owner[fresh], minlength=len(sizes))
-
-    return of
-
-
-def _rolled_words(size: int, width: int):
-    """As many independent 64-bit words as asked over the set of shingles."""
-    sets = _rolled_sets(size)
-
-    def of(texts: pa.Array) -> np.ndarray:
-        values, counts = sets(texts)
-        step = np.uint64(0xD1B54A32D192ED03)
-        with np.errstate(over="ignore"):
-            return np.stack([_majority(tokens.mixed(values + np.uint64(k) * step), counts) for k in range(width)], axis=1)
-
-    return of
-
-
-def _ramp(counts: np.ndarray) -> np.ndarray:
-    """0 .. counts[0]-1, 0 .. counts[1]-1, ..."""
-    ends = np.cumsum(counts)
-    return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - counts, counts)
-
-
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, width: int = 1,
-                 joined: bool = True) -> DataFrame:
-    """`_id, _sum, fp` (array of `width` longs) of each row, as a written table.
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
+    """`_id, _sum, _mark, fp` (an array of one long) of each row, as a written table.
 
     A null text counts as empty; a text without words has an all-zero fingerprint, one with fewer
-    words than `size` is one shingle. `joined` hashes the shingle as text (width 1), else the
-    shingle is hashed from the hashes of its words and counts once a text.
+    words than `size` is one shingle. `_sum` and `_mark` are two hashes that tell texts apart.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = _exact_words(size) if joined else _rolled_words(size, width)
+        of = _exact_words(size)
         for batch in batches:
             for piece in tokens.pieces(batch, "_text"):
-                values = of(piece.column("_text")).view(np.int64)
-                flat = pa.array(np.ascontiguousarray(values).ravel())
-                fp = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, values.shape[1], dtype=np.int32), flat)
-                yield pa.RecordBatch.from_arrays([piece.column("_id"), piece.column("_sum"), fp], ["_id", "_sum", "fp"])
+                flat = pa.array(of(piece.column("_text")).view(np.int64).ravel())
+                fp = pa.ListArray.from_arrays(np.arange(len(flat) + 1, dtype=np.int32), flat)
+                yield pa.RecordBatch.from_arrays([piece.column("_id"), piece.column("_sum"), piece.column("_mark"), fp], ["_id", "_sum", "_mark", "fp"])
 
-    return written(row_keys(docs, id_col, text_col).mapInArrow(run, "_id long, _sum long, fp array<long>"), "fingerprints")
+    rows = row_keys(docs, id_col, text_col).withColumn("_mark", second_sum(F.col("_text")))
+    return written(rows.mapInArrow(run, "_id long, _sum long, _mark long, fp array<long>"), "fingerprints")
 
 
 # ------------------------------------------------------------------------------- shards
@@ -146,13 +97,6 @@ def block_masks(radius: int, bits: int = 64) -> list[list[int]]:
     return [_as_words(sum(chosen), bits) for chosen in combinations(parts, 3)]
 
 
-def sampled_masks(bands: int, sampled: int, bits: int) -> list[list[int]]:
-    """Masks of `sampled` random bits each: two fingerprints that differ in a share s of their bits
-    agree on a mask with probability (1 - s) ** sampled."""
-    rng = random.Random(11)
-    return [_as_words(sum(1 << b for b in rng.sample(range(bits), sampled)), bits) for _ in range(bands)]
-
-
 def _as_words(mask: int, bits: int) -> list[int]:
     out = [(mask >> (64 * k)) & ((1 << 64) - 1) for k in range((bits + 63) // 64)]
     return [w - (1 << 64) if w >> 63 else w for w in out]
@@ -250,170 +194,39 @@ def links(classes: DataFrame, radius: int, masks: list[list[int]], tree_nodes: i
 
 
 def near_components(prints: DataFrame, radius: int, masks: list[list[int]]) -> DataFrame:
-    """`fp, node, root` of each distinct fingerprint: `root` is equal for those linked, directly or
-    through others."""
-    node = F.col("fp")[0] if len(masks[0]) == 1 else F.xxhash64("fp")
-    classes = written(prints.groupBy("fp").agg(F.min("_id").alias("least_id")).withColumn("node", node), "classes")
+    """`fp, least_id, node, root` of each distinct fingerprint: `root` is equal for those linked, directly
+    or through others."""
+    classes = written(prints.groupBy("fp").agg(F.min("_id").alias("least_id")).withColumn("node", F.col("fp")[0]), "classes")
     found = components(links(classes, radius, masks))
     return classes.join(found, "node", "left").select("fp", "least_id", "node", F.coalesce("root", "node").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 2,
-                    masks: list[list[int]] | None = None, width: int = 1, joined: bool = True) -> DataFrame:
-    """`_id, _sum, fp, component_id` of each row; the component is named by its smallest identifier
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 2) -> DataFrame:
+    """`_id, _sum, _mark, fp, component_id` of each row; the component is named by its smallest identifier
     (null identifiers count only if there is no other).
 
-    Without `masks` the shards are exact for the radius. Extra columns of `docs` are not read.
+    The shards are exact for the radius. Extra columns of `docs` are not read.
     """
-    prints = fingerprints(docs, id_col, text_col, size, width, joined)
-    found = near_components(prints, radius, masks or block_masks(radius, 64 * width))
+    prints = fingerprints(docs, id_col, text_col, size)
+    found = near_components(prints, radius, block_masks(radius))
     least = found.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = written(found.join(least, "root").select(F.col("fp").alias("_fp"), "component_id"), "named")
     return prints.join(named, F.col("fp") == F.col("_fp")).drop("_fp")
 
 
-#: Near copies share at least this part (numerator, denominator) of their distinct shingles.
-NEAR = (4, 5)
-#: Texts, and shingles on average, in one block of a comparison.
-BLOCK_TEXTS = 1_024
-BLOCK_SHINGLES = 1 << 20
-#: Fingerprints that bring copies with a resemblance of 0.8 or more in shingles of five words
-#: together; the shingles themselves then decide. At 0.8 the cosine of the shingle sets is 0.889, so
-#: 15 % of 256 bits (39) differ on average, with a standard deviation of 5.7. By the binomial model
-#: over these distances, a pair shares one of the masks and lies within the radius with probability
-#: 0.994 at a resemblance of 0.8, 0.9992 at 0.85 and above 0.9999 at 0.9 (`chance_found`).
-WIDE = {"size": 5, "width": 4, "joined": False, "radius": 58}
-MASKS = {"bands": 72, "sampled": 14}
-
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 2) -> DataFrame:
+    """One row of each component of `near_duplicates`: the one with the smallest identifier, then checksums.
 
-def chance_found(resemblance: float, radius: int, bands: int, sampled: int, bits: int = 256) -> float:
-    """Probability that a pair lies within the radius and agrees on a mask: a bit differs with the
-    angle of the shingle sets over pi, whose cosine is 2 r / (1 + r) for sets of equal size."""
-    p = math.acos(2 * resemblance / (1 + resemblance)) / math.pi
-    total = 0.0
-    for d in range(radius + 1):
-        agree = math.comb(bits - d, sampled) / math.comb(bits, sampled)
-        total += math.comb(bits, d) * p**d * (1 - p) ** (bits - d) * (1 - (1 - agree) ** bands)
-    return total
-
-
-def _near(inter, one, two):
-    """Whether sets of these sizes are near copies; two empty ones are."""
-    return inter * NEAR[1] >= (one + two - inter) * NEAR[0]
-
-
-def _shingle_sets(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = _rolled_sets(size)
-        for batch in batches:
-            for piece in tokens.pieces(batch, "_text"):
-                values, counts = sets(piece.column("_text"))
-                cuts = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                found = pa.ListArray.from_arrays(cuts, pa.array(values.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([piece.column("root"), piece.column("_sum"), found], ["root", "node", "shingles"])
-
-    return run
-
-
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between near copies of each unit: block `low` with block `high`, or inside one block.
-
-    Every pair is compared but those that are connected already: all texts that are `tied` are.
-    """
-    keys = ["root", "low", "high"]
-    for table in tokens.groups(batches, keys):
-        table = table.combine_chunks()
-        edges = [0, *tokens.changes(table, keys).tolist(), table.num_rows]
-        nodes, tied, block, low, high = (table.column(c).to_numpy() for c in ("node", "tied", "block", "low", "high"))
-        lists = table.column("shingles").chunk(0)
-        left, right = [], []
-        for a, b in zip(edges[:-1], edges[1:]):
-            part = lists.slice(a, b - a)
-            sizes = np.diff(part.offsets.to_numpy())
-            flat = part.flatten().to_numpy()
-            vocabulary, codes = np.unique(flat, return_inverse=True)
-            owner = np.repeat(np.arange(b - a), sizes)
-            cuts = np.concatenate(([0], np.cumsum(sizes)))
-            group = np.where(tied[a:b], -1, np.arange(b - a))
-            first = np.flatnonzero(block[a:b] == low[a])
-            other = np.flatnonzero(block[a:b] == high[a])
-            for i in first.tolist():
-                rest = other[other > i] if low[a] == high[a] else other
-                rest = rest[(group[rest] != group[i]) & _near(np.minimum(sizes[rest], sizes[i]), sizes[rest], sizes[i])]
-                if not len(rest):
-                    continue
-                member = np.zeros(len(vocabulary), bool)
-                member[codes[cuts[i] : cuts[i + 1]]] = True
-                shared = np.bincount(owner[member[codes]], minlength=b - a)[rest]
-                for j in rest[_near(shared, sizes[rest], sizes[i])].tolist():
-                    if group[j] != group[i]:
-                        left.append(nodes[a + i])
-                        right.append(nodes[a + j])
-                        group[group == group[j]] = group[i]
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(left, np.int64)), pa.array(np.array(right, np.int64))], ["a", "b"])
-
-
-def near_links(sets: DataFrame, block_texts: int = BLOCK_TEXTS) -> DataFrame:
-    """Links `a, b` that connect all near copies among the `shingles` of equal `root` in
-    `sets(root, node, shingles)`; nodes are longs and distinct.
-
-    Each text is first compared with one of its root. Those near to it are connected, so only the
-    others are compared with all texts of the root, block by block.
-    """
-    per_root = sets.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.size("shingles")).alias("total"), F.min("node").alias("head"))
-    per_root = written(per_root.where("n > 1"), "roots")
-
-    def blocks(n, total) -> Column:
-        return F.greatest(F.ceil(n / F.lit(block_texts)), F.ceil(total / F.lit(BLOCK_SHINGLES))).cast("int")
-
-    cut = per_root.withColumn("parts", blocks(F.col("n"), F.col("total")))
-    heads = sets.join(cut.select("root", F.col("head").alias("node"), "parts"), ["root", "node"])
-    heads = heads.select("root", F.col("node").alias("head"), F.col("shingles").alias("model"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    rows = sets.join(cut.select("root", "parts"), "root").withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
-    inter = F.size(F.array_intersect("shingles", "model"))
-    near = _near(inter, F.size("shingles"), F.size("model"))
-    met = written(rows.join(heads, ["root", "part"]).select("root", "node", "head", "shingles", near.alias("tied")), "met")
-
-    counts = met.groupBy("root").agg(
-        F.count_if("tied").alias("n_tied"), F.count_if(~F.col("tied")).alias("n_free"),
-        F.sum(F.when(F.col("tied"), F.size("shingles"))).alias("tied_total"), F.sum(F.when(~F.col("tied"), F.size("shingles"))).alias("free_total"))
-    counts = counts.where("n_free > 0").select("root", blocks(F.col("n_tied"), F.col("tied_total")).alias("tied_parts"),
-                                               blocks(F.col("n_free"), F.col("free_total")).alias("free_parts"))
-    # Blocks of free texts come first; a unit is a block of free texts with itself or any other.
-    spread = F.xxhash64(F.lit(1), "node")
-    block = F.when(F.col("tied"), F.col("free_parts") + F.pmod(spread, "tied_parts")).otherwise(F.pmod(spread, "free_parts")).cast("int")
-    last = F.when(F.col("tied"), F.col("free_parts")).otherwise(F.col("free_parts") + F.col("tied_parts"))
-    units = met.join(counts, "root").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), last - 1)))
-    units = units.select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "tied", "shingles")
-    dealt = units.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
-    late = dealt.mapInArrow(_compare, "a long, b long")
-    return met.where("tied and node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).union(late)
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of near copies: the one with the smallest identifier, then checksum.
-
-    Texts are near copies if the resemblance of their sets of shingles is at least NEAR; groups are
-    what such pairs connect. Fingerprints say which texts are compared, the shingles which are near.
-    All columns stay. A row with a null identifier stays only if its group has no other.
+    All columns stay. A row with a null identifier stays only if its component has no other; of rows
+    that repeat identifier and text one stays. A text is known by two independent 64-bit hashes.
     """
-    prints = fingerprints(docs, id_col, text_col, WIDE["size"], WIDE["width"], WIDE["joined"])
-    found = near_components(prints, WIDE["radius"], sampled_masks(MASKS["bands"], MASKS["sampled"], 64 * WIDE["width"]))
-    roots = found.select(F.col("fp").alias("_fp"), "root")
-    texts = prints.join(roots, F.col("fp") == F.col("_fp")).groupBy("root", "_sum").agg(F.min("_id").alias("_id"))
-    texts = written(texts, "candidates")
-    several = texts.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
-    asked = texts.join(several, "root").select("root", F.col("_id").alias("asked_id"), F.col("_sum").alias("asked_sum"))
-    met = row_keys(docs, id_col, text_col).join(asked, F.col("_id").eqNullSafe(F.col("asked_id")) & (F.col("_sum") == F.col("asked_sum")))
-    met = met.select("root", "_sum", "_text").dropDuplicates(["_sum"])
-    sets = written(met.mapInArrow(_shingle_sets(WIDE["size"]), "root long, node long, shingles array<long>"), "shingles")
-    groups = components(near_links(sets)).select(F.col("node").alias("_node"), "root")
-
-    order = F.struct(F.col("_id").isNull().alias("null"), F.col("_id").alias("id"), F.col("_sum").alias("sum"))
-    chosen = prints.join(groups, F.col("_sum") == F.col("_node"), "left")
-    chosen = chosen.groupBy(F.coalesce("root", "_sum").alias("root")).agg(F.min(order).alias("first"))
-    chosen = written(chosen.select(F.col("first.id").alias("_best_id"), F.col("first.sum").alias("_best_sum")), "chosen")
-    rows = docs.select(*numbered(docs), F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_sum"))
-    kept = rows.join(chosen, F.col("_id").eqNullSafe(F.col("_best_id")) & (F.col("_sum") == F.col("_best_sum")), "left_semi")
-    return kept.dropDuplicates(["_id", "_sum"]).select(*restored(docs))
+    prints = fingerprints(docs, id_col, text_col, size)
+    found = near_components(prints, radius, block_masks(radius)).select(F.col("fp").alias("_fp"), "root")
+    order = F.struct(F.col("_id").isNull().alias("null"), F.col("_id").alias("id"), F.col("_sum").alias("sum"), F.col("_mark").alias("mark"))
+    chosen = prints.join(found, F.col("fp") == F.col("_fp")).groupBy("root").agg(F.min(order).alias("first"))
+    chosen = written(chosen.select(*[F.col(f"first.{c}").alias(f"_best_{c}") for c in ("id", "sum", "mark")]), "chosen")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(*numbered(docs), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_sum"), second_sum(text).alias("_mark"))
+    same = F.col("_id").eqNullSafe(F.col("_best_id")) & (F.col("_sum") == F.col("_best_sum")) & (F.col("_mark") == F.col("_best_mark"))
+    kept = rows.join(chosen, same, "left_semi")
+    return kept.dropDuplicates(["_id", "_sum", "_mark"]).select(*restored(docs))

@@ -85,10 +85,14 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
 
 
 def header(name: str) -> Column:
-    """A field of the header block of a record; null if it has none."""
+    """A field of the header block of a record; null if it has none.
+
+    Only CR LF ends a header line: other marks that are line ends elsewhere (U+2028, U+2029, U+0085, a lone
+    CR or LF) may stand inside a field.
+    """
     text = F.col("headers").cast("string")
-    found = F.regexp_extract(text, rf"(?m)^{name}: ([^\r\n]*)", 1)
-    return F.when(F.regexp_like(text, F.lit(rf"(?m)^{name}: ")), found)
+    found = F.regexp_extract(text, rf"\r\n{name}: ((?s:.*?))\r\n", 1)
+    return F.when(F.regexp_like(text, F.lit(rf"\r\n{name}: ")), found)
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
