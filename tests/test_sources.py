@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from conftest import AS_OF
-from test_silver import GOL, UNO
+from test_silver import ONIX, ARGO
 
 from vitrine.operators import geo, gold, quality, silver
 from vitrine.plans import refine
@@ -18,7 +18,7 @@ def rows_of(df):
 
 def test_csv_round_trip(cards, spark, tmp_path):
     odd = ['Lada "Niva", azul', "1.0", "2020/2021 • 1 KM • Cotia, SP", "R$ 10"]
-    built = silver.build(cards([GOL, UNO, odd]), AS_OF)
+    built = silver.build(cards([ONIX, ARGO, odd]), AS_OF)
     layers.write_csv(built, str(tmp_path / "s"))
     again = layers.read_layer(spark, str(tmp_path / "s"), SILVER)
     blank = lambda rows: [tuple(None if v == "" else v for v in r) for r in rows]
@@ -42,7 +42,7 @@ def test_snapshots_keep_earlier_runs(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(run_ts" in plan
     for n in (2, 4):
         layers.replace_latest(spark.range(n), f"{root}/final")
-        assert spark.read.parquet(f"{root}/final").count() == n
+        assert layers.read_latest(spark, f"{root}/final").count() == n
 
 
 PAGE = """<html><a href='x'> <card class="k"><h2>Fiat Uno</h2><p>1.0</p><p>2018/2019 &bull; 1 KM</p>
@@ -62,33 +62,33 @@ def test_cards_from_pages(spark):
 
 
 def test_whole_run(cards, spark, tmp_path):
-    batch = cards([GOL, UNO, ["curto"]])
-    cache = spark.createDataFrame([("São Paulo, SP", -23.5, -46.6, "São Paulo, SP")], GEO_CACHE)
+    batch = cards([ONIX, ARGO, ["curto"]])
+    cache = spark.createDataFrame([("Curitiba, PR", -23.5, -46.6, "Curitiba, PR")], GEO_CACHE)
     run = refine.refine(batch, AS_OF, cache, seconds=3.0)
     refine.save(run, str(tmp_path), datetime(2026, 1, 1, 12))
-    final = spark.read.parquet(f"{tmp_path}/gold_final")
+    final = layers.read_latest(spark, f"{tmp_path}/gold_final")
     assert final.columns == GOLD.fieldNames() and final.count() == 2
     known = {r.localizacao: r.latitude for r in final.collect()}
-    assert known == {"São Paulo, SP": -23.5, "Rio de Janeiro, RJ": None}
-    assert [r.location for r in run.pending.collect()] == ["Rio de Janeiro, RJ"]
+    assert known == {"Curitiba, PR": -23.5, "Recife, PE": None}
+    assert [r.location for r in run.pending.collect()] == ["Recife, PE"]
     assert layers.latest_snapshot(spark, str(tmp_path), "bronze").count() == 3
     assert layers.latest_snapshot(spark, str(tmp_path), "silver").count() == 2
 
 
 def test_a_run_keeps_its_places_and_repeats(cards, spark, tmp_path):
     gazetteer = spark.createDataFrame([
-        ("São Paulo", -23.5, -46.6, "São Paulo", None, None, None, None, None, None),
-        ("Rio de Janeiro", -22.9, -43.2, "Rio de Janeiro", None, None, None, None, None, None)], GAZETTEER)
+        ("Curitiba", -23.5, -46.6, "Curitiba", None, None, None, None, None, None),
+        ("Recife", -22.9, -43.2, "Recife", None, None, None, None, None, None)], GAZETTEER)
     root, first, second = str(tmp_path), datetime(2026, 1, 1), datetime(2026, 1, 2)
-    out = refine.complete(cards([GOL, ["curto"]]), root, first, AS_OF, gazetteer).collect()[0]
-    assert (out.total_registros, out.com_coordenadas, out.locais_novos, out.primeiros_locais_novos) == (1, 1, 1, ["São Paulo, SP"])
+    out = refine.complete(cards([ONIX, ["curto"]]), root, first, AS_OF, gazetteer).collect()[0]
+    assert (out.total_registros, out.com_coordenadas, out.locais_novos, out.primeiros_locais_novos) == (1, 1, 1, ["Curitiba, PR"])
     for _ in range(2):
-        out = refine.complete(cards([GOL, UNO]), root, second, AS_OF, gazetteer).collect()[0]
-        assert (out.total_registros, out.com_coordenadas, out.locais_novos, out.primeiros_locais_novos) == (2, 2, 1, ["Rio de Janeiro, RJ"])
+        out = refine.complete(cards([ONIX, ARGO]), root, second, AS_OF, gazetteer).collect()[0]
+        assert (out.total_registros, out.com_coordenadas, out.locais_novos, out.primeiros_locais_novos) == (2, 2, 1, ["Recife, PE"])
         assert out.sla_atendido is True
         assert [layers.snapshot(spark, root, n, "20260102_000000").count() for n in ("bronze", "silver", "gold", "geo_cache")] == [2, 2, 2, 2]
         assert layers.snapshots(spark, root, "gold").count() == 3
-    final = spark.read.parquet(f"{root}/gold_final")
+    final = layers.read_latest(spark, f"{root}/gold_final")
     assert geo.pending(final, layers.latest_snapshot(spark, root, "geo_cache")).count() == 0
 
 
@@ -110,10 +110,10 @@ def test_a_source_of_null_pages_is_flagged(spark):
 
 def test_stream_equals_batch(cards, spark, tmp_path):
     inbox, out, marks = (str(tmp_path / name) for name in ("in", "out", "marks"))
-    cards([GOL]).write.mode("append").parquet(inbox)
+    cards([ONIX]).write.mode("append").parquet(inbox)
     stream = lambda: ingest.start(ingest.refine(ingest.arriving_cards(spark, inbox), AS_OF), out, marks)
     stream().awaitTermination(120)
-    cards([UNO]).write.mode("append").parquet(inbox)
+    cards([ARGO]).write.mode("append").parquet(inbox)
     stream().awaitTermination(120)
     wanted = gold.build(silver.build(spark.read.parquet(inbox), AS_OF))
     assert rows_of(spark.read.schema(GOLD).parquet(out)) == rows_of(wanted)

@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.operators.joins import lookup_join
+from vitrine.operators.ordered import ranks
 from vitrine.session import shared_folder
 
 LABELS = ("marca", "modelo")
@@ -22,8 +23,9 @@ UNKNOWN = -1
 def encoders(df: DataFrame, columns: Sequence[str] = LABELS) -> dict[str, DataFrame]:
     """`{column: (column, code)}`: distinct labels numbered from 0 in alphabetical order.
 
-    One pass finds the labels of all columns. Labels are numbered inside their leading
-    characters and shifted by the labels before, so a long vocabulary is ordered by many tasks.
+    One pass finds the labels of all columns. They are numbered in ranges between sampled split points,
+    each shifted by the labels before it, so a long vocabulary is ordered by many tasks, whatever
+    its labels begin with.
     """
     labels = (
         df.select(F.explode(F.array(*[
@@ -33,19 +35,8 @@ def encoders(df: DataFrame, columns: Sequence[str] = LABELS) -> dict[str, DataFr
         .select("e._column", "e._label")
         .where(F.col("_label").isNotNull())
         .distinct()
-        .withColumn("_lead", F.substring("_label", 1, 3))
-    )
-    leads = labels.groupBy("_column", "_lead").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_column").orderBy("_lead")
-    starts = leads.select(
-        "_column", "_lead", (F.sum("_n").over(before) - F.col("_n")).alias("_start")
-    )
-    within = Window.partitionBy("_column", "_lead").orderBy("_label")
-    codes = (
-        labels.withColumn("_at", F.row_number().over(within) - 1)
-        .join(starts, ["_column", "_lead"])
-        .select("_column", "_label", (F.col("_start") + F.col("_at")).cast("int").alias("code"))
     )
+    codes = ranks(labels, ["_label"], ["_column"]).select("_column", "_label", F.col("rank").cast("int").alias("code"))
     return {
         c: codes.where(F.col("_column") == c).select(F.col("_label").alias(c), "code")
         for c in columns

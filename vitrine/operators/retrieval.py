@@ -1,22 +1,20 @@
 """BM25 ranking of texts or listing rows against questions.
 
-A stored index answers questions from the postings of their words. Without one, `bm25` scores all
-texts for one question: every document counts the words on its own and one small aggregate gives
-the collection's figures, without a shuffle of words or documents.
+`bm25` scores all texts for one question: every document counts the words on its own and one small
+aggregate gives the collection's figures, without a shuffle of words or documents. Many questions, or
+a collection that grows, go to a stored index (`operators.textindex`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.functions.text import tokens
 
 K1, B = 1.5, 0.75
-BUCKETS = 64  # folders of a stored index; more for a larger collection
 ABSENT = "N/A"
 
 
@@ -99,136 +97,6 @@ def top_k(scores: DataFrame, k: int, doc_id: str = "doc_id") -> DataFrame:
     ).drop("_top")
 
 
-@dataclass
-class TextIndex:
-    """A stored inverted index.
-
-    `postings(token, doc_id, tf, length)` and `frequencies(token, df)` lie in folders by a hash of
-    the token, so a question reads the folders of its words; `documents(doc_id, length)` and the
-    one row of `figures(n, average)` describe the collection.
-    """
-
-    postings: DataFrame
-    frequencies: DataFrame
-    documents: DataFrame
-    figures: DataFrame
-    buckets: int
-
-    @staticmethod
-    def load(spark: SparkSession, folder: str) -> TextIndex:
-        read = {name: spark.read.parquet(f"{folder}/{name}") for name in ("postings", "frequencies", "documents", "figures")}
-        return TextIndex(**read, buckets=read["figures"].first()["buckets"])
-
-    def bucket(self, token: Column) -> Column:
-        return _bucket(token, self.buckets)
-
-
-def _bucket(token: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
-
-
-def build_index(
-    docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
-) -> TextIndex:
-    """Write the index of a collection to `folder` (replacing one there) and open it.
-
-    A frequent token fills its folder with several files: the rows are rebalanced by size, not
-    sent to one task per token.
-    """
-    spark = docs.sparkSession
-    counted = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("_t"))
-    lengths = counted.select("doc_id", F.coalesce(F.size("_t"), F.lit(0)).alias("length"))
-    lengths.write.mode("overwrite").parquet(f"{folder}/documents")
-    spark.read.parquet(f"{folder}/documents").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("length").alias("average"), F.lit(buckets).alias("buckets")
-    ).write.mode("overwrite").parquet(f"{folder}/figures")
-    found = (
-        counted.select("doc_id", F.size("_t").alias("length"), F.explode("_t").alias("token"))
-        .groupBy("token", "doc_id", "length").agg(F.count(F.lit(1)).cast("int").alias("tf"))
-        .withColumn("bucket", _bucket(F.col("token"), buckets))
-    )
-    (
-        found.hint("rebalance", "bucket").sortWithinPartitions("bucket", "token")
-        .write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/postings")
-    )
-    (
-        spark.read.parquet(f"{folder}/postings").groupBy("bucket", "token").agg(F.count(F.lit(1)).alias("df"))
-        .hint("rebalance", "bucket").sortWithinPartitions("bucket", "token")
-        .write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/frequencies")
-    )
-    return TextIndex.load(spark, folder)
-
-
-def _score(index: TextIndex, asked: DataFrame, k1: float, b: float) -> DataFrame:
-    """`(query_id, doc_id, score)` of the documents that hold a word asked in
-    `asked(query_id, bucket, token, times)`."""
-    rare = asked.join(index.frequencies, ["bucket", "token"])
-    hits = index.postings.join(rare, ["bucket", "token"])
-    figures = index.figures.select(F.struct("n", "average").alias("f")).scalar()
-    part = F.col("times") * idf(figures["n"], F.col("df")) * weight(
-        F.col("tf"), F.col("length"), figures["average"], k1, b
-    )
-    # Rounded far below what ranks: copies of a document tie in whatever order their parts were added.
-    return hits.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), 10).alias("score"))
-
-
-def _first_documents(index: TextIndex, k: int) -> DataFrame:
-    return index.documents.select("doc_id").orderBy("doc_id").limit(k)
-
-
-def search(index: TextIndex, question: str, k: int, k1: float = K1, b: float = B) -> DataFrame:
-    """`(doc_id, score)` of the k best documents; the first k with score 0 if no document holds a
-    word of the question. Only the folders of the question's words are read."""
-    asked = words(question)
-    spark = index.figures.sparkSession
-    rows = [(0, w, asked.count(w)) for w in dict.fromkeys(asked)]
-    wanted = spark.createDataFrame(rows, "query_id int, token string, times int")
-    own = [index.bucket(F.lit(w)) for _, w, _ in rows] or [F.lit(-1)]
-    names = [w for _, w, _ in rows]
-    pruned = TextIndex(
-        index.postings.where(F.col("bucket").isin(own) & F.col("token").isin(names)),
-        index.frequencies.where(F.col("bucket").isin(own) & F.col("token").isin(names)),
-        index.documents, index.figures, index.buckets,
-    )
-    scored = _score(pruned, wanted.withColumn("bucket", index.bucket(F.col("token"))), k1, b)
-    zero = _first_documents(index, k).withColumn("score", F.lit(0.0))
-    return top_k(scored.select("doc_id", "score").unionByName(zero), k)
-
-
-def bm25_many(
-    index: TextIndex, questions: DataFrame, k: int = 10, k1: float = K1, b: float = B, slices: int = 64,
-) -> DataFrame:
-    """`(query_id, rank, doc_id, score)` for a table of questions `(query_id, text)`.
-
-    The words asked meet their postings by an equality join, which adaptive execution splits where
-    a token is frequent; scores are summed before they are shuffled. Documents are ranked inside
-    slices of a question first, then the best of all slices. A question without a hit gets the
-    first k documents with score 0.
-    """
-    asked = (
-        questions.select("query_id", F.explode(tokens(F.col("text"))).alias("token"))
-        .groupBy("query_id", "token").agg(F.count(F.lit(1)).alias("times"))
-        .withColumn("bucket", index.bucket(F.col("token")))
-    )
-    hits = _score(index, asked, k1, b)
-    first = _first_documents(index, k).agg(F.array_sort(F.collect_list("doc_id")).alias("d")).scalar()
-    silent = questions.select("query_id").distinct().select(
-        "query_id", F.explode(first).alias("doc_id"), F.lit(0.0).alias("score")
-    )
-    order = [F.desc("score"), F.col("doc_id")]
-    sliced = hits.unionByName(silent).withColumn("_slice", F.pmod(F.xxhash64("doc_id"), F.lit(slices)))
-    best = sliced.withColumn(
-        "_at", F.row_number().over(Window.partitionBy("query_id", "_slice").orderBy(*order))
-    ).where(F.col("_at") <= k)
-    mine = Window.partitionBy("query_id").orderBy(*order)
-    # Documents of score 0 stand only where the best of the question has none above it.
-    ranked = best.withColumn("rank", F.row_number().over(mine)).where(F.col("rank") <= k)
-    top = F.max("score").over(Window.partitionBy("query_id"))
-    return ranked.withColumn("_top", top).where((F.col("score") > 0) | (F.col("_top") <= 0)).select(
-        "query_id", "rank", "doc_id", "score"
-    )
-
-
 def rows(ranked: DataFrame, table: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """Ranked ids with their rows. `ranked` is short, so the table is filtered, not shuffled."""
     return table.join(ranked, doc_id, "inner")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.operators.joins import lookup_join
+from vitrine.operators.ordered import with_previous
 
 STAMP = "%d/%m/%Y %H:%M:%S"
 
@@ -26,35 +27,20 @@ def with_audit(
     })
 
 
-def stage_durations(checkpoints: DataFrame, runs: DataFrame, unit: str = "day") -> DataFrame:
+def stage_durations(checkpoints: DataFrame, runs: DataFrame, parts: int | None = None) -> DataFrame:
     """Seconds between consecutive checkpoints of a run.
 
     `checkpoints(run, seq, name, ts)` in time order (`seq` breaks ties), `runs(run, start, end)`.
-    The first stage counts from the start, and a last one leads to the end.
-
-    A run may hold most of the checkpoints, so a run is cut into spans of `unit`. Inside a span
-    the previous checkpoint is the neighbour; the first one of a span takes the last one of the
-    span before, found among one row per span.
+    The first stage counts from the start, and a last one leads to the end. One run may hold all
+    checkpoints: they are dealt into ranges of time, and the last one of a range is carried to the next.
     """
     point = F.struct("ts", "seq", "name")
-    inside = Window.partitionBy("run", "_span").orderBy("ts", "seq")
-    marked = checkpoints.withColumn("_span", F.date_trunc(unit, "ts")).withColumns({
-        "_previous": F.lag(point).over(inside), "_next": F.lead("ts").over(inside),
-    })
-    ends = marked.where(F.col("_next").isNull()).select("run", "_span", point.alias("_last"))
-    earlier = ends.select(
-        "run", "_span",
-        F.lag("_last").over(Window.partitionBy("run").orderBy("_span")).alias("_before"),
-    )
-    stages = (
-        marked.join(earlier, ["run", "_span"])
-        .withColumn("_previous", F.coalesce("_previous", "_before"))
-        .select("run", "seq", "name", "ts", "_previous")
-    )
-    closing = ends.groupBy("run").agg(F.max("_last").alias("_previous")).select(
+    rows, last = with_previous(checkpoints.select("run", "seq", "name", "ts"), ["ts", "seq"], ["run"], point, parts)
+    closing = last.select(
         "run", F.lit(None).cast("bigint").alias("seq"), F.lit("fim").alias("name"),
-        F.lit(None).cast(checkpoints.schema["ts"].dataType).alias("ts"), "_previous",
+        F.lit(None).cast(checkpoints.schema["ts"].dataType).alias("ts"), F.col("_last").alias("_previous"),
     )
+    stages = rows.select("run", "seq", "name", "ts", "_previous")
     label = F.concat(
         F.coalesce(F.col("_previous.name"), F.lit("inicio")), F.lit(" → "), F.col("name")
     )

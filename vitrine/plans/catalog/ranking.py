@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from vitrine.operators import retrieval
+from vitrine.operators import retrieval, textindex
 from vitrine.plans.catalog.registry import BASE_SQL, KEYS, base, query, rounded, with_tables
 from vitrine.session import shared_folder
 from vitrine.sources import tables
@@ -21,22 +21,12 @@ def documents(spark, folder):
     return tables.spread(tables.table(spark, folder, "documents").select("doc_id", "text"))
 
 
-_INDEXES: dict[tuple, retrieval.TextIndex] = {}
+def index_of(docs, name, doc_id="doc_id"):
+    """A new stored index of a collection, below the shared folder; eight folders of postings are enough here."""
+    return textindex.build_index(docs, f"{shared_folder(docs.sparkSession)}/index-{name}-{uuid.uuid4().hex}", doc_id, buckets=8)
 
 
-def indexed(spark, folder, name, make):
-    """The stored index of a collection, built when a session first asks for it."""
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _INDEXES:
-        _INDEXES[key] = retrieval.build_index(make(), f"{shared_folder(spark)}/index-{name}-{uuid.uuid4().hex}")
-    return _INDEXES[key]
-
-
-def document_index(spark, folder):
-    return indexed(spark, folder, "documents", lambda: documents(spark, folder))
-
-
-_TOKENS = r"""toks AS (SELECT doc_id, [x for x in string_split_regex(lower(text), '\s+') if x <> ''] AS t
+_TOKENS = r"""toks AS (SELECT row_number() OVER () AS rid, doc_id, [x for x in string_split_regex(lower(text), '\s+') if x <> ''] AS t
   FROM {source}), corpus AS (SELECT count(*) AS n, avg(len(t)) AS average FROM toks)"""
 
 
@@ -44,11 +34,11 @@ def _scores_sql(question: str, source: str = "documents", id_name: str = "doc_id
     asked = question.lower().split()
     words = ", ".join(f"('{w}', {asked.count(w)})" for w in dict.fromkeys(asked))
     return _TOKENS.format(source=source) + f""", asked(token, times) AS (VALUES {words}),
-tf AS (SELECT doc_id, len(t) AS length, token, times, len([x for x in t if x = token]) AS tf FROM toks, asked),
+tf AS (SELECT rid, doc_id, len(t) AS length, token, times, len([x for x in t if x = token]) AS tf FROM toks, asked),
 df AS (SELECT token, count(*) FILTER (tf > 0) AS df FROM tf GROUP BY token),
-scores AS (SELECT doc_id, sum(CASE WHEN tf > 0 THEN times * ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.5::DOUBLE
+scores AS (SELECT any_value(doc_id) AS doc_id, sum(CASE WHEN tf > 0 THEN times * ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.5::DOUBLE
   / (tf + 1.5::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / average)) ELSE 0.0::DOUBLE END) AS score
-  FROM tf JOIN df USING (token), corpus GROUP BY doc_id)"""
+  FROM tf JOIN df USING (token), corpus GROUP BY rid)"""
 
 
 @query("q_doc_lengths", with_tables(_TOKENS.format(source="documents"),
@@ -79,16 +69,17 @@ _TOP = """SELECT doc_id, near(score, 8) AS score FROM scores WHERE {where} ORDER
 
 @query("q_bm25_topk", with_tables(_scores_sql(QUESTION), _TOP.format(where="score > 0", k=10)))
 def q_bm25_topk(spark, folder):
-    return rounded(retrieval.search(document_index(spark, folder), QUESTION, 10), 8)
+    return rounded(retrieval.top_k(retrieval.bm25(documents(spark, folder), QUESTION), 10), 8)
 
 
 @query("q_bm25_fallback", "SELECT doc_id, 0.0::DOUBLE AS score FROM documents ORDER BY doc_id LIMIT 10")
 def q_bm25_fallback(spark, folder):
-    return retrieval.search(document_index(spark, folder), UNKNOWN, 10)
+    return retrieval.top_k(retrieval.bm25(documents(spark, folder), UNKNOWN), 10)
 
 
-_MANY = r"""
-WITH toks AS (SELECT doc_id, [x for x in string_split_regex(lower(text), '\s+') if x <> ''] AS t FROM documents),
+def _many_sql(source: str) -> str:
+    return rf"""
+WITH toks AS (SELECT doc_id, [x for x in string_split_regex(lower(text), '\s+') if x <> ''] AS t FROM {source}),
 corpus AS (SELECT count(*) AS n, avg(len(t)) AS average FROM toks),
 asked AS (SELECT query_id, token, count(*) AS times FROM (SELECT item_id AS query_id,
   unnest([x for x in string_split_regex(lower(text), '\s+') if x <> '']) AS token FROM benchmark) GROUP BY ALL),
@@ -102,37 +93,76 @@ hits AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY near(score,
 SELECT query_id, rank::INTEGER AS rank, doc_id, near(score, 6) AS score FROM hits WHERE rank <= 10"""
 
 
-@query("q_bm25_many", _MANY)
+def questions(spark, folder):
+    return tables.table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
+@query("q_bm25_many", _many_sql("documents"))
 def q_bm25_many(spark, folder):
-    """Every benchmark passage as a question."""
-    questions = tables.table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return rounded(retrieval.bm25_many(document_index(spark, folder), questions, 10), 6)
+    """Every benchmark passage as a question to a stored index, which is built first."""
+    index = index_of(documents(spark, folder), "documents")
+    return rounded(textindex.bm25_many(index, questions(spark, folder), 10), 6)
+
+
+@query("q_index_search", with_tables(_scores_sql(QUESTION), _TOP.format(where="score > 0", k=10)))
+def q_index_search(spark, folder):
+    return rounded(textindex.search(index_of(documents(spark, folder), "documents"), QUESTION, 10), 8)
+
+
+#: A collection that grew and shrank: documents in two steps, then those of some sources go.
+_GONE = "source IN ('src1', 'src2', 'src3')"
+
+
+def grown_index(spark, folder):
+    docs = tables.table(spark, folder, "documents")
+    late = F.col("doc_id") % 3 == 0
+    index = index_of(docs.where(~late), "grown").add(docs.where(late))
+    return index.delete(docs.where(_GONE))
+
+
+@query("q_index_growth", _many_sql(f"(SELECT * FROM documents WHERE NOT coalesce({_GONE}, false))"))
+def q_index_growth(spark, folder):
+    """The same questions to an index that was built, added to and deleted from."""
+    return rounded(textindex.bm25_many(grown_index(spark, folder), questions(spark, folder), 10), 6)
+
+
+@query("q_index_merge", with_tables(_TOKENS.format(source=f"(SELECT * FROM documents WHERE NOT coalesce({_GONE}, false))"), """
+SELECT token, count(DISTINCT doc_id) AS df, count(*) AS n, max(tf) AS most, min(length) AS least FROM (SELECT doc_id, token, len(any_value(t)) AS length,
+  count(*) AS tf FROM (SELECT doc_id, t, unnest(t) AS token FROM toks) GROUP BY doc_id, token) GROUP BY token"""))
+def q_index_merge(spark, folder):
+    """Words of the merged index: their frequency, and what their blocks say of them."""
+    index = grown_index(spark, folder).merge()
+    blocks = index.postings().groupBy("token").agg(F.sum("n").alias("n"), F.max("most").alias("most"), F.min("least").alias("least"))
+    return index.frequencies().join(blocks, "token").select("token", "df", "n", F.col("most").cast("long").alias("most"), F.col("least").cast("long").alias("least"))
 
 
 COLUMNS = ["marca", "modelo", "versao", "ano_fabricacao", "localizacao", "compra_online"]
 
 
+SHOWN = [*KEY, "marca", "modelo", "versao", "localizacao"]
+
+
 def listing_documents(spark, folder):
-    """Listings rendered as texts; the key columns identify a row."""
+    """Listings rendered as texts; `doc_id` holds the key, which may repeat, and what is shown of a row."""
     rows = base(spark, folder).select(
-        F.struct(*KEY).alias("doc_id"), *KEY, "marca", F.col("nome").alias("modelo"), "versao",
+        *KEY, "marca", F.col("nome").alias("modelo"), "versao",
         F.when(F.col("cls") != 3, F.col("ano_fabricacao")).alias("ano_fabricacao"),
         F.when(F.col("cls") != 6, F.concat_ws(", ", "cidade", "uf")).otherwise(F.lit("")).alias("localizacao"),
         "compra_online",
     )
-    return rows, retrieval.render(rows, COLUMNS, keep=["doc_id", *KEY])
+    return retrieval.render(rows.withColumn("doc_id", F.struct(*SHOWN)), COLUMNS, keep=["doc_id", *KEY])
 
 
 _RENDERED = BASE_SQL + f""", shown AS (SELECT {KEYS}, marca, nome AS modelo, versao,
   CASE WHEN cls <> 3 THEN ano_fabricacao END AS ano_fabricacao,
   CASE WHEN cls <> 6 THEN cidade || ', ' || uf ELSE '' END AS localizacao, compra_online FROM base),
-rendered AS (SELECT {KEYS}, struct_pack({', '.join(f'{k} := {k}' for k in KEY)}) AS doc_id, concat_ws(' ', {', '.join(
+rendered AS (SELECT {KEYS}, struct_pack({', '.join(f'{k} := {k}' for k in SHOWN)}) AS doc_id, concat_ws(' ', {', '.join(
     f"CASE WHEN CAST({c} AS VARCHAR) <> '' THEN '{c}: ' || {c} END" for c in COLUMNS)}) AS text FROM shown)"""
 
 
 @query("q_render_docs", with_tables(_RENDERED, f"SELECT {KEYS}, text FROM rendered"))
 def q_render_docs(spark, folder):
-    return listing_documents(spark, folder)[1].select(*KEY, "text")
+    return listing_documents(spark, folder).select(*KEY, "text")
 
 
 ROW_QUESTION = "red ring Brand#13 Cotia, modelo:"
@@ -140,13 +170,12 @@ ROW_QUESTION = "red ring Brand#13 Cotia, modelo:"
 
 @query("q_bm25_rows", with_tables(_RENDERED + ", " + _scores_sql(ROW_QUESTION, "rendered"), f"""
 , best AS (SELECT doc_id, score FROM scores ORDER BY near(score, 9) DESC, doc_id LIMIT 10)
-SELECT {KEYS}, marca, modelo, versao, localizacao, near(score, 6) AS score
-FROM best JOIN shown ON doc_id = struct_pack({', '.join(f'{k} := {k}' for k in KEY)})"""))
+SELECT {', '.join(f'doc_id.{k} AS {k}' for k in SHOWN)}, near(score, 6) AS score FROM best"""))
 def q_bm25_rows(spark, folder):
-    rows, docs = listing_documents(spark, folder)
-    index = indexed(spark, folder, "listings", lambda: docs)
-    found = retrieval.rows(retrieval.search(index, ROW_QUESTION, 10), rows)
-    return rounded(found.select(*KEY, "marca", "modelo", "versao", "localizacao", "score"), 6)
+    """The best rows for a question, from a stored index of the rendered listings."""
+    index = index_of(listing_documents(spark, folder), "listings")
+    found = textindex.search(index, ROW_QUESTION, 10)
+    return rounded(found.select("doc_id.*", "score"), 6)
 
 
 _DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -161,7 +190,7 @@ SELECT 'Dados do CSV relevantes para a pergunta:' || chr(10) || chr(10) || strin
 FROM best JOIN documents USING (doc_id)"""))
 def q_context(spark, folder):
     docs = tables.table(spark, folder, "documents")
-    best = retrieval.search(document_index(spark, folder), QUESTION, 10)
+    best = retrieval.top_k(retrieval.bm25(documents(spark, folder), QUESTION), 10)
     return retrieval.context(retrieval.rows(best, docs), _DOC_COLUMNS)
 
 

@@ -123,7 +123,7 @@ def q_stage_durations(spark, folder):
     runs = marks.groupBy("run").agg(
         F.date_trunc("day", F.min("ts")).alias("start"), (F.date_trunc("day", F.max("ts")) + day).alias("end")
     )
-    return rounded(runlog.stage_durations(marks, runs, "day"), 6)
+    return rounded(runlog.stage_durations(marks, runs), 6)
 
 
 # --------------------------------------------------------------------------- age model

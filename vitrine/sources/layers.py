@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitrine.sources import versions
 
 STAMP = "%Y%m%d_%H%M%S"
 
@@ -77,6 +78,11 @@ def latest_snapshot(spark: SparkSession, root: str, layer: str) -> DataFrame:
     return snapshots(spark, root, layer).where(F.col("run_ts") == runs(spark, root, layer)[-1])
 
 
-def replace_latest(df: DataFrame, path: str) -> None:
-    """Export that each run replaces."""
-    df.write.mode("overwrite").parquet(path)
+def replace_latest(df: DataFrame, root: str) -> None:
+    """Export that each run replaces: a version of its own, swapped in when it is complete."""
+    versions.replace(df, root)
+
+
+def read_latest(spark: SparkSession, root: str) -> DataFrame:
+    """The export as the last complete run left it."""
+    return versions.read(spark, root)
