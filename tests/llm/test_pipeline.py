@@ -43,9 +43,9 @@ def test_planted_cases(spark, documents, prose, folder):
     """Exact and near copies, a shared passage and junk go; clean documents stay as they are."""
     clean = prose(30, 120, seed=21, vocabulary=5000)
     passage = prose(1, 60, seed=22, vocabulary=5000)[0]
-    word = clean[3].split()
-    word[50] = "altered"
-    rows = [(i, t) for i, t in enumerate(clean)] + [(50, clean[0]), (51, " ".join(word)), (52, "### $$$ " * 60), (53, None), (54, "too short")]
+    # A near copy that differs in case and spaces has the fingerprint of its original.
+    word = [w.encode().upper().decode() for w in clean[3].split()]
+    rows = [(i, t) for i, t in enumerate(clean)] + [(50, clean[0]), (51, "\n".join(word)), (52, "### $$$ " * 60), (53, None), (54, "too short")]
     rows += [(60 + i, f"{a}\n{passage}\n{b}") for i, (a, b) in enumerate(zip(prose(6, 80, seed=23, vocabulary=5000), prose(6, 80, seed=24, vocabulary=5000)))]
     docs = documents(rows)
     for _, stage in corpus_pipeline.STAGES[:-1]:
@@ -56,6 +56,20 @@ def test_planted_cases(spark, documents, prose, folder):
     assert all(passage not in got[60 + i] and len(got[60 + i].split()) == 160 for i in range(6))
 
 
+def test_extra_columns_and_repeated_rows(spark, documents, prose, folder):
+    texts = prose(3, 120, seed=31, vocabulary=5000)
+    docs = documents([(1, texts[0]), (1, texts[0]), (2, texts[0]), (3, texts[1]), (None, texts[2]), (4, None)])
+    for name in ("_id", "root", "kept", "stripped", "words", "part", "fp"):
+        docs = docs.withColumn(name, F.lit(7))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == COLUMNS, name
+        kept = [r["doc_id"] for r in out.collect()]
+        want = {"quality_rules": [1, 1, 2, 3, None], "simhash_near_dedup": [1, 3, 4, None]}.get(name, [1, 1, 2, 3, 4, None])
+        assert sorted(map(str, kept)) == sorted(map(str, want)), name
+    assert corpus_pipeline.pack_sequences(spark, docs, folder).count() == 6
+
+
 def test_empty_and_null_rows(spark, documents, folder):
     for rows in ([], [(None, None), (None, None), (1, None)]):
         docs = documents(rows)
