@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes what a stage returns as
 Parquet in the shared folder and reads it again as the next one's documents. All stages but the last
 return the columns of `documents`, with `n_chars` brought up to date where the text changed.
+
+Every stage takes any table with these columns. A null text counts as empty and stays null; rows with a
+null identifier are rows like others; repeated rows are documents each, until the SimHash stage keeps
+one of them; an empty table gives an empty table; columns beside those of `documents` are not carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,31 +26,33 @@ def _with_text(df: DataFrame, text) -> DataFrame:
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and that no learned rule names."""
+    """Documents that pass the base rules and that no learned rule names; a null or blank text fails the base rules."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rules = quality_rules.learn(quality_rules.labelled_statistics(docs, labels))
     return quality_rules.judge(docs, rules, keep=tuple(COLUMNS)).where("kept").select(*COLUMNS)
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that too many documents of their source contain."""
+    """Documents without the lines that too many documents of their source contain; none goes, a null source is a source."""
     found = line_frequency.strip_lines(docs.select(*COLUMNS), F.col("source"), F.col("text"))
     return _with_text(found, F.col("_kept_text"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each component of fingerprints over three words, linked at two differing bits or fewer: the
+    one with the smallest identifier, a null one only if there is no other. Texts without words are one component."""
     return simhash.keep_one(docs.select(*COLUMNS))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the words inside passages that occur twice or more."""
+    """Documents without the words inside passages that occur twice or more; a document may end up empty and stays."""
     found = repeats.strip_repeats(docs.select(*COLUMNS))
     return _with_text(found, F.col("stripped.kept_text"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The bin and slot of every piece of every document, in words."""
+    """The bin and slot of every piece of every document, in words; ties go to the smaller identifier, and a
+    document without words is a piece of size 0."""
     copies = F.xxhash64(F.lower(F.coalesce("text", F.lit(""))))
     found = packing.pack(docs, "doc_id", count_words(F.col("text")), F.col("source"), copies)
     return found.withColumnsRenamed({"_id": "doc_id", "first_unit": "first_word", "size": "n_words"})
