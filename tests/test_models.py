@@ -30,6 +30,37 @@ def test_fit_equals_least_squares(spark):
     assert nxt.forecast == pytest.approx(wanted) and nxt.status == "ok"
 
 
+def test_systems_are_solved_in_the_engine(spark):
+    rng = np.random.default_rng(4)
+    rows, want = [], []
+    for k in range(30):
+        x = rng.normal(size=(40, 5))
+        if k % 3 == 0:
+            x[:, 3] = 2 * x[:, 1]  # depends on a term before it
+        y = rng.normal(size=40)
+        rows.append((k, 40, np.column_stack((x.T @ x, x.T @ y)).tolist()))
+        used = [0, 1, 2, 4] if k % 3 == 0 else list(range(5))
+        w = np.zeros(5)
+        w[used] = np.linalg.lstsq(x[:, used], y, rcond=None)[0]
+        want.append(w)
+    df = spark.createDataFrame(rows, "g int, rows int, m array<array<double>>")
+    solved = demand.solve(df, "m", 5)
+    assert "Python" not in solved._jdf.queryExecution().executedPlan().toString()
+    got = {r.g: r.weights for r in solved.collect()}
+    assert all(np.allclose(got[k], want[k], atol=1e-8) for k in range(30))
+
+
+def test_a_kept_forecaster_predicts_the_same(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    history = counts(spark, {"a": rng.integers(5, 60, 30), "b": rng.integers(5, 60, 25)})
+    model = demand.fit(history, ["g"])
+    for _ in range(2):
+        demand.save(model, str(tmp_path / "m"))
+    again = demand.load(spark, str(tmp_path / "m"))
+    one, two = (sorted(map(tuple, demand.predict_next(history, m, ["g"]).collect())) for m in (model, again))
+    assert one == two and len(one) == 2
+
+
 def test_short_constant_and_single_series(spark):
     out = {r.g: r for r in demand.forecast(
         counts(spark, {"short": range(7), "flat": [4] * 20, "one": [3], "line": range(1, 21)}), ["g"]

@@ -2,18 +2,18 @@
 
 A series counts listings per period and group; from then on only periods are handled, never
 listings. The forecaster is a linear autoregression on the scaled series: Spark sums the
-products of lags per group, and only one small matrix per group is solved in Python.
+products of lags per group, and one small system per group is solved by column expressions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vitrine.sources import versions
+
 WINDOW = 7
 
 
@@ -75,26 +75,27 @@ def lag_windows(
     )
 
 
-def _solver(group: Sequence[str], terms: int):
-    """Solve the normal equations of each row (one row per group)."""
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            weights, losses = [], []
-            for products, sums, squares, rows in zip(
-                batch["xx"], batch["xy"], batch["yy"], batch["rows"]
-            ):
-                matrix = np.asarray(products, dtype=float).reshape(terms, terms)
-                right = np.asarray(sums, dtype=float)
-                solution = np.linalg.lstsq(matrix, right, rcond=None)[0]
-                residual = squares - 2 * solution @ right + solution @ matrix @ solution
-                weights.append(solution.tolist())
-                losses.append(max(float(residual) / rows, 0.0))
-            out = batch[[*group, "rows"]].copy()
-            out["weights"] = weights
-            out["loss"] = losses
-            yield out
-
-    return solve
+#: A pivot below this share of the number of rows says nothing of its own: its weight is 0.
+FLAT = 1e-9
+
+
+def solve(df: DataFrame, matrix: str, terms: int, rows: str = "rows", name: str = "weights") -> DataFrame:
+    """Adds the solution of a symmetric system: `matrix` holds its rows, each with the right side last.
+
+    Gauss-Jordan elimination over arrays, one term after another: no Python, one row per group. A
+    term whose pivot vanishes depends on those before it and gets the weight 0.
+    """
+    out = df.withColumn("_m", F.col(matrix))
+    for k in range(terms):
+        # A column per step, so that each step is computed once.
+        pivot = F.get(F.get("_m", F.lit(k)), F.lit(k))
+        out = out.withColumn("_p", F.when(F.abs(pivot) > FLAT * F.col(rows), pivot)).withColumn("_r", F.get("_m", F.lit(k)))
+        out = out.withColumn("_m", F.transform("_m", lambda row, i: F.when(F.col("_p").isNull(), row).when(
+            i == k, F.transform(row, lambda x: x / F.col("_p"))).otherwise(
+            F.zip_with(row, "_r", lambda x, r: x - r * F.get(row, F.lit(k)) / F.col("_p")))))
+        out = out.withColumn("_free", F.array_append("_free" if k else F.array().cast("array<boolean>"), F.col("_p").isNull()))
+    weights = F.transform("_m", lambda row, i: F.when(F.get("_free", i), F.lit(0.0)).otherwise(F.get(row, F.lit(terms))))
+    return out.withColumn(name, weights).drop("_m", "_p", "_r", "_free")
 
 
 def fit(counts: DataFrame, group: Sequence[str] = (), window: int = WINDOW) -> DataFrame:
@@ -112,15 +113,29 @@ def fit(counts: DataFrame, group: Sequence[str] = (), window: int = WINDOW) -> D
         F.sum(F.col("target") * F.col("target")).alias("yy"),
         F.count(F.lit(1)).alias("rows"),
     ).where(F.col("rows") > 0)
-    packed = sums.select(
-        *group, "rows", "yy",
-        F.array(*[upper[min(i, j), max(i, j)] for i in range(terms) for j in range(terms)])
-        .alias("xx"),
-        F.array(*[f"y{i}" for i in range(terms)]).alias("xy"),
-    )
-    fields = [f"{g} {dict(counts.dtypes)[g]}" for g in group]
-    schema = ", ".join([*fields, "rows bigint", "weights array<double>", "loss double"])
-    return packed.mapInPandas(_solver(group, terms), schema)
+    matrix = F.array(*[
+        F.array(*[F.col(upper[min(i, j), max(i, j)]) for j in range(terms)], F.col(f"y{i}")) for i in range(terms)
+    ])
+    solved = solve(sums.select(*group, "rows", "yy", matrix.alias("xx")), "xx", terms)
+    # Squared residuals: y'y - 2 w'x'y + w'x'x w, where each row of the matrix ends in x'y.
+    right = F.transform("xx", lambda row: F.get(row, F.lit(terms)))
+    fitted = F.transform("xx", lambda row: _dot(F.slice(row, 1, terms), F.col("weights")))
+    residual = F.col("yy") - 2 * _dot(F.col("weights"), right) + _dot(F.col("weights"), fitted)
+    loss = F.greatest(residual / F.col("rows"), F.lit(0.0))
+    return solved.select(*group, "rows", "weights", loss.alias("loss"))
+
+
+def _dot(one: Column, two: Column) -> Column:
+    return F.aggregate(F.zip_with(one, two, lambda x, y: x * y), F.lit(0.0), lambda x, y: x + y)
+
+
+def save(model: DataFrame, root: str) -> None:
+    """Keep a fitted model; one that stands below `root` is replaced when this one is complete."""
+    versions.replace(model, root)
+
+
+def load(spark: SparkSession, root: str) -> DataFrame:
+    return versions.read(spark, root)
 
 
 def predict_next(

@@ -92,7 +92,25 @@ def q_demand_fit_optimality(spark, folder):
     return gradient.withColumn("gradient", near(F.col("gradient"), 6) + 0.0)
 
 
-@query("q_demand_forecast")
+_TERMS = ["1.0::DOUBLE", *[f"x{k}" for k in range(7)]]
+_MATRIX = "[" + ", ".join("[" + ", ".join(f"sum({a} * {b})" for b in [*_TERMS, "y"]) + "]" for a in _TERMS) + "]"
+
+
+@query("q_demand_forecast", _SCALED.join(["WITH RECURSIVE ", f"""
+, rows7 AS (SELECT event_type, period, s AS y, {', '.join(f'lag(s, {7 - k}) OVER w AS x{k}' for k in range(7))} FROM scaled
+  WINDOW w AS (PARTITION BY event_type ORDER BY period)),
+normal AS (SELECT event_type, count(*) AS n, sum(y * y) AS yy, {_MATRIX} AS m FROM rows7 WHERE x0 IS NOT NULL GROUP BY event_type),
+steps AS (SELECT event_type, 1 AS k, m FROM normal
+  UNION ALL SELECT event_type, k + 1, list_transform(m, lambda row, i: CASE WHEN i = k THEN list_transform(row, lambda x: x / row[k])
+    ELSE list_transform(row, lambda x, j: x - m[k][j] * row[k] / m[k][k]) END) FROM steps WHERE k <= 8),
+fitted AS (SELECT event_type, list_transform(m, lambda row: row[9]) AS w FROM steps WHERE k = 9),
+loss AS (SELECT event_type, avg((y - w[1] - {' - '.join(f'w[{k + 2}] * x{k}' for k in range(7))}) ** 2) AS loss
+  FROM rows7 JOIN fitted USING (event_type) WHERE x0 IS NOT NULL GROUP BY event_type),
+last AS (SELECT event_type, count(*) AS periods, max(period) AS last_period, any_value(low) AS low, any_value(high) AS high,
+  list(s ORDER BY period DESC)[1:7] AS recent FROM scaled GROUP BY event_type)
+SELECT event_type, periods, strftime(last_period, '%Y-%m-%d') AS last_period,
+       near((w[1] + {' + '.join(f'w[{k + 2}] * recent[{7 - k}]' for k in range(7))}) * (high - low) + low, 4) AS forecast,
+       near(loss, 4) AS loss, 'ok' AS status FROM last JOIN fitted USING (event_type) JOIN loss USING (event_type)"""]))
 def q_demand_forecast(spark, folder):
     return rounded(_named_day(demand.forecast(daily(spark, folder), GROUP)), 4)
 
