@@ -103,6 +103,29 @@ def test_lookup_equals_brute_force(spark, contained):
         assert (None if got[i] is None else (got[i].priority, got[i].name)) == wanted
 
 
+@pytest.mark.parametrize("contained", [False, True])
+def test_many_names_and_long_texts(spark, contained):
+    """5,000 names against texts of 10,000 characters: equal to a loop, and few names come up for a text."""
+    draw = random.Random(8)
+    word = lambda n: "".join(draw.choice("abcdefghijklmnopqrstuvwxyzáé") for _ in range(n))
+    names = [(word(draw.randint(2, 24)), i) for i in range(4_990)] + [("the same lead " + word(9), 5_000 + i) for i in range(10)]
+    texts = []
+    for _ in range(20):
+        body = word(10_000)
+        held = [draw.choice(names)[0].upper() for _ in range(draw.randint(0, 3))]
+        texts.append("".join([*held, body[:5_000], *held[::-1], body[5_000:]]))
+    texts += ["", "a", names[7][0], "the same lead " + "x" * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    table = spark.createDataFrame(names, "name string, priority int")
+    got = {r.i: r.entry for r in lookup.first_match(df, "t", table, contained).collect()}
+    for i, text in enumerate(texts):
+        test = (lambda n: n in text.lower()) if contained else (lambda n: text.lower().startswith(n))
+        wanted = min(((p, n) for n, p in names if test(n)), default=None)
+        assert (None if got[i] is None else (got[i].priority, got[i].name)) == wanted
+    pairs = lookup.candidates(lookup._keyed(df, "t"), "t", table, contained).count()
+    assert pairs < (1_200 if contained else 20) * len(texts)
+
+
 def test_cache_forms(spark, tmp_path):
     assert geo.read_cache(spark, str(tmp_path / "absent.json")).count() == 0
     text = '{"Cotia, SP": {"lat": -23.6, "lon": -46.9, "normalized": "Cotia, SP"}, "Itu, SP": {"lat": 1.0, "lon": 2.0, "normalized": "Itu"}}'
