@@ -16,10 +16,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all machines of the cluster share (`spark.checkpoint.dir`).
 
-    Only where the session names none (tests, a local run) a temporary folder is made and set.
+    Only where a local session (tests, a trial) names none a temporary folder is made and set; on a
+    cluster a folder of one machine would lose what is written, so there it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="vitrine-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -1,10 +1,11 @@
-"""Substring dedup with prefix-partitioned suffix trees.
+"""Substring dedup: windows of words that start at two places or more, found in groups by a prefix.
 
 Every window of `length` words picks one of its prefixes of PREFIX words by smallest hash, so equal
-windows pick the same one at the same place. Suffixes are grouped by that prefix; where a prefix is
-too frequent for one task it is made longer, in effect up to the whole window. In a group the
-windows are the paths of a subtree that is `length` words deep: an internal node at that depth has
-two leaves or more, and these are the repeats.
+windows pick the same one at the same place, and windows are grouped by it. In a group equal 64-bit
+hashes of whole windows are the repeats; a prefix that is too frequent for one task is dealt over several,
+which report their windows to each other by hash. For windows of one length these are the nodes of that
+depth in a suffix tree of the group, but no tree is built, prefixes have one length, and longer
+repeats come out as runs of windows.
 
 One row per picked prefix carries the windows that picked it, so about every fourteenth word of
 the corpus gives a row, and text is shuffled once, to meet the positions that go.
