@@ -25,10 +25,12 @@ def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all machines share, named by `spark.checkpoint.dir`. A session that names none
-    (a test, a local run) gets a temporary one."""
+    """The folder all machines share, named by `spark.checkpoint.dir`. A local session that names none
+    (a test, a trial) gets a temporary one; on a cluster that is an error."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     folder = folder or tempfile.mkdtemp(prefix="vitrine-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
