@@ -68,6 +68,7 @@ def test_many_questions(spark, corpus, index, broadcast):
     asked = spark.createDataFrame(list(enumerate(QUESTIONS)), "query_id long, text string")
     if broadcast:
         rows = textindex.bm25_many(index, asked, 6).collect()
+        assert sorted(map(tuple, rows)) == sorted(map(tuple, textindex.bm25_many(index, asked, 6, prune=False).collect()))
     else:
         with without_broadcast(spark):
             rows = textindex.bm25_many(index, asked, 6).collect()

@@ -303,16 +303,26 @@ def _ranked(scored: DataFrame, k: int) -> DataFrame:
     return best.withColumn("rank", overall).where(F.col("rank") <= k)
 
 
-def bm25_many(index: TextIndex, questions: DataFrame, k: int = 10, k1: float = K1, b: float = B) -> DataFrame:
+def _every_hit(ask: _Asked) -> DataFrame:
+    """`query_id, segment, number, doc_id, score` of all documents that hold a word of a question, from the postings alone."""
+    blocks = ask.headers.join(ask.asked, ["bucket", "token"]).select("query_id", "w", "u", *_BLOCK)
+    sums = ask.opened(blocks).groupBy("query_id", "segment", "number").agg(F.round(F.sum("part_score"), 10).alias("score"))
+    return sums.join(ask.index.documents.select("segment", "number", "doc_id"), ["segment", "number"])
+
+
+def bm25_many(index: TextIndex, questions: DataFrame, k: int = 10, k1: float = K1, b: float = B, prune: bool = True) -> DataFrame:
     """`(query_id, rank, doc_id, score)` for a table of questions `(query_id, text)`.
 
     A question without a hit gets the first k documents with score 0. Equal scores are ranked by document.
+    `prune=False` scores every document that holds a word asked: the same rows, and less work where the
+    collection is small or its words are so common that few documents can be left out.
     """
-    return _many(_ask(index, questions, k1, b, None), questions, k)
+    return _many(_ask(index, questions, k1, b, None), questions, k, prune)
 
 
-def _many(ask: _Asked, questions: DataFrame, k: int) -> DataFrame:
-    ranked = _ranked(ask.exact(_candidates(ask, k)), k).select("query_id", "rank", "doc_id", "score")
+def _many(ask: _Asked, questions: DataFrame, k: int, prune: bool = True) -> DataFrame:
+    scored = ask.exact(_candidates(ask, k)) if prune else _every_hit(ask)
+    ranked = _ranked(scored, k).select("query_id", "rank", "doc_id", "score")
     first = ask.index.documents.select("doc_id").orderBy("doc_id").limit(k).agg(F.array_sort(F.collect_list("doc_id")).alias("d")).scalar()
     silent = questions.select("query_id").distinct().join(ask.asked.select("query_id").distinct(), "query_id", "left_anti")
     zeros = silent.select("query_id", F.posexplode(first).alias("_at", "doc_id")).select(
