@@ -12,13 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per unit of ln(1 + |value|): each spans about 0.1 % of the value.
-RESOLUTION = 1000.0
+# Buckets for each doubling of |value|: each spans about 0.14 % of the value, however near to 0 it lies.
+RESOLUTION = 512
+# Makes the bucket of the smallest double above 0 positive.
+LOWEST = 1_100 * RESOLUTION
 
 
 def _bucket(value: Column) -> Column:
-    size = F.floor(F.log1p(F.abs(value)) * RESOLUTION)
-    return F.when(value < 0, -size).otherwise(size)
+    """A number that never falls as the value grows; 0 has a bucket of its own."""
+    size = F.floor(F.log2(F.abs(value)) * RESOLUTION) + F.lit(LOWEST).cast("long")
+    return F.when(value < 0, -size).when(value > 0, size).otherwise(F.lit(0).cast("long"))
 
 
 def quantiles(
