@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vitrine.operators import bronze, demand, fleet, geo, gold, predict, quality, runlog, silver
 from vitrine.schemas import GEO_CACHE
+from vitrine.session import shared_folder
 from vitrine.sources import layers
 
 
@@ -100,7 +102,13 @@ def predictions(
     gold_rows: DataFrame, finished: datetime, key: tuple[str, ...] = ("id",), unit: str = "day",
     rounds: int = 100,
 ) -> DataFrame:
-    """Gold with predicted age, health score and the next period's demand."""
+    """Gold with predicted age, health score and the next period's demand.
+
+    Codes, training, metrics, scores and the series all read Gold: it is written once and read back.
+    """
+    path = f"{shared_folder(gold_rows.sparkSession)}/gold-{uuid.uuid4().hex}"
+    gold_rows.write.parquet(path)
+    gold_rows = gold_rows.sparkSession.read.schema(gold_rows.schema).parquet(path)
     model, metrics = fleet.train(gold_rows, key, rounds=rounds)
     scored = model.score(gold_rows, "Aging_Predicted")
     forecast = demand.forecast(demand.series(gold_rows, unit=unit))
