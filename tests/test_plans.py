@@ -64,5 +64,11 @@ def test_shared_folder_is_the_one_of_the_session(shared, master):
     used = []
     context = SimpleNamespace(master=master, setCheckpointDir=used.append, getCheckpointDir=lambda: used[-1] if used else None)
     session = SimpleNamespace(sparkContext=context, conf={"spark.checkpoint.dir": shared})
+    if shared is None and master == "yarn":
+        # A folder of one machine would lose what other machines write.
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session)
+        assert not used
+        return
     folder = shared_folder(session)
     assert used == [folder] and folder == shared_folder(session) and (shared is None or folder == shared)
