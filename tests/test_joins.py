@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vitrine.functions import dictionary
 from vitrine.operators import bronze, fleet, geo, lookup, ordered, runlog
 from vitrine.operators.joins import lookup_join
+from vitrine.operators.ordered import ranks
 from vitrine.schemas import GAZETTEER, GEO_CACHE
 
 
@@ -68,15 +69,31 @@ def test_places_held_twice_multiply_nothing(spark):
     assert [(r.latitude, r.localizacao) for r in geo.enrich(rows, cache).collect()] == [(1.0, "a")]
 
 
-@pytest.mark.parametrize("slices", [1, 32])
-def test_cap_holds_for_a_hot_source(spark, slices):
-    rows = spark.range(5000).select(
-        F.col("id").alias("position"), F.when(F.col("id") % 3 < 2, "hot").otherwise("cold").alias("source"), "id"
+@pytest.mark.parametrize("kind", ["long", "string", "timestamp"])
+def test_cap_holds_for_a_hot_source(spark, monkeypatch, kind):
+    rows = spark.range(20_000).select(
+        F.lpad(F.col("id").cast("string"), 6, "0").alias("position") if kind == "string" else F.col("id").cast(kind).alias("position"),
+        F.when(F.col("id") % 3 < 2, "hot").when(F.col("id") < 30, "short").alias("source"), "id",
     ).repartition(7)
-    kept = bronze.cap_per_source(rows, 40, slices=slices).collect()
-    for source in ("hot", "cold"):
-        wanted = [i for i in range(5000) if (i % 3 < 2) == (source == "hot")][:40]
-        assert sorted(r.id for r in kept if r.source == source) == wanted
+    ranked = []
+    monkeypatch.setattr(bronze, "ranks", lambda df, *a: ranked.append(df.count()) or ranks(df, *a))
+    kept = bronze.cap_per_source(rows, 6_000).collect()
+    sources = {"hot": [i for i in range(20_000) if i % 3 < 2], "short": list(range(2, 30, 3)), None: list(range(32, 20_000, 3))}
+    for source, wanted in sources.items():
+        assert sorted(r.id for r in kept if r.source == source) == wanted[:6_000]
+    # Little beyond what is kept is ranked.
+    assert ranked[0] < len(kept) * 1.05
+    assert bronze.cap_per_source(rows, 0).count() == 0
+
+
+def test_cap_with_absent_and_repeated_places(spark):
+    rows = [(None, "a", 0), (float("nan"), "a", 1), (-1.0, "a", 2), (-1.0, "a", 3), (5.0, "a", 4), (0.0, "a", 5)]
+    df = spark.createDataFrame(rows, "position double, source string, id int")
+    for limit, wanted in ((1, [0]), (3, [0, 2, 3]), (4, [0, 2, 3, 5]), (5, [0, 2, 3, 4, 5]), (9, [0, 1, 2, 3, 4, 5])):
+        assert sorted(r.id for r in bronze.cap_per_source(df, limit).collect()) == wanted
+    assert bronze.cap_per_source(df.limit(0), 3).count() == 0
+    by_two = bronze.cap_per_source(spark.range(100).selectExpr("id div 50 as p", "id % 50 as q", "'s' as source"), 60, ("p", "q"))
+    assert sorted((r.p, r.q) for r in by_two.collect()) == [(0, q) for q in range(50)] + [(1, q) for q in range(10)]
 
 
 def test_cap_overall_and_union(spark):
@@ -134,8 +151,10 @@ def test_cache_forms(spark, tmp_path):
     assert sorted(map(tuple, cache.collect())) == [("Cotia, SP", -23.6, -46.9, "Cotia, SP"), ("Itu, SP", 1.0, 2.0, "Itu")]
     (tmp_path / "broken.json").write_text("{not json", encoding="utf8")
     assert geo.read_cache(spark, str(tmp_path / "broken.json")).count() == 0
-    geo.write_cache(cache, str(tmp_path / "v2"))
-    assert geo.read_cache(spark, str(tmp_path / "v2")).count() == 2
+    for name in ("v2", "v2.jsonl"):
+        geo.write_cache(cache, str(tmp_path / name))
+        assert sorted(map(tuple, geo.read_cache(spark, str(tmp_path / name)).collect())) == sorted(map(tuple, cache.collect()))
+    assert geo.read_cache(spark, str(tmp_path / "absent.jsonl")).count() == 0
 
 
 def test_places_from_pending_to_enriched(spark):

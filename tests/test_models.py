@@ -129,6 +129,64 @@ def test_train_save_load_score(spark, folder, tmp_path):
     assert out.Fleet_Health_Score is None or out.Fleet_Health_Score >= 0
 
 
+def plain_tree(x, y, depth):
+    """Squares regression tree over {name: values}; None is tried on both sides of every cut, low side first."""
+    total = ((y - y.mean()) ** 2).sum()
+    best = (1e-9, None)
+    for column in x.T:
+        known = np.array([v is not None for v in column])
+        values = np.array([0.0 if v is None else v for v in column])
+        for absent_left in (True, False):
+            cuts = sorted(set(values[known]))
+            middles = [(a + b) / 2 for a, b in zip(cuts, cuts[1:])]
+            if not known.all():
+                middles = [-1e17, *middles] if absent_left else [*middles, 1e17]
+            for cut in middles:
+                left = np.where(known, values <= cut, absent_left)
+                if not 0 < left.sum() < len(y):
+                    continue
+                gain = total - sum(((p - p.mean()) ** 2).sum() for p in (y[left], y[~left]))
+                if gain > best[0] * (1 + 1e-9):
+                    best = (gain, left)
+    out = np.full(len(y), y.mean())
+    if depth and best[1] is not None:
+        for side in (best[1], ~best[1]):
+            out[side] = plain_tree(x[side], y[side], depth - 1)
+    return out
+
+
+def plain_boost(x, y, rounds, rate, depth):
+    """Predictions for the training rows. The engine's squared loss has the slope 2 (y - p)."""
+    fitted = plain_tree(x, y, depth)
+    for _ in range(rounds - 1):
+        fitted = fitted + rate * plain_tree(x, 2 * (y - fitted), depth)
+    return fitted
+
+
+def test_absent_numbers_choose_their_side(spark):
+    """Equal to a plain search in which absent numbers go left or right, whichever is better, split by split."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(120):
+        km, preco = int(rng.integers(0, 12)), float(rng.integers(0, 12))
+        # Without mileage a car is old (high km is), without a price it is new.
+        age = km + 0.37 * preco + rng.normal() * 0.1
+        if i % 5 == 0:
+            km, age = None, 14.0 + rng.normal() * 0.1
+        if i % 7 == 0:
+            preco, age = None, age - 3.3
+        rows.append((i, "a", "b", None, km, preco, float(age)))
+    schema = "id long, marca string, modelo string, ano_fabricacao int, km int, preco double, idade_veiculo double"
+    df = spark.createDataFrame(rows, schema)
+    model, _ = fleet.train(df, rounds=4, depth=3, with_year=False)
+    learn, _ = fleet.split(df, ["id"])
+    got = {r.id: r.p for r in model.score(learn, "p").collect()}
+    used = [r for r in rows if r[0] in got]
+    x = np.array([[r[4], r[5]] for r in used], dtype=object)
+    want = plain_boost(x, np.array([r[6] for r in used]), 4, 0.1, 3)
+    assert np.allclose([got[r[0]] for r in used], want, atol=1e-9)
+
+
 def test_model_without_the_year_does_not_see_the_answer(spark, folder):
     rows = listings(spark, folder)
     _, metrics = fleet.train(rows, KEY, rounds=2, with_year=False)

@@ -95,3 +95,12 @@ def test_histogram_of_a_constant_and_of_nothing(spark):
     assert [r.n for r in report.histogram(same, bins=4).orderBy("bin").collect()] == [3, 0, 0, 0]
     none = spark.createDataFrame([], "preco double")
     assert [r.n for r in report.histogram(none, bins=2).collect()] == [0, 0]
+
+
+def test_profile_in_files(spark, tmp_path):
+    rows = listing_frame(spark, ROWS)
+    profile.write_profile(rows, str(tmp_path), "Listings", "loja")
+    nested = spark.read.json(str(tmp_path / "profile")).first()
+    assert nested.dataset_info.total_registros == len(ROWS) and "marcas" not in nested.estatisticas.asDict()
+    brands = {r.marca: r.n for r in spark.read.json(str(tmp_path / "marcas")).collect()}
+    assert brands == {r.marca: r.n for r in profile.value_counts(rows).collect()}

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitrine.operators.ordered import ranks, stored
+from vitrine.operators.quantiles import place_bucket
 from vitrine.operators.silver import batch_time
 from vitrine.schemas import BRONZE_TEXT_COLUMNS
 
@@ -29,24 +31,25 @@ def cap_per_source(
     limit: int,
     position: Sequence[str] = ("position",),
     source: str = "source",
-    slices: int = 32,
 ) -> DataFrame:
-    """The first `limit` cards of every source, in page order.
+    """The first `limit` cards of every source, in page order; cards without a source are one of them.
 
-    Done twice: inside slices of a source, then over what the slices kept. A source that holds
-    most of the rows is thus sorted by many tasks, and one task sees `slices * limit` rows.
+    No source is sorted. Cards are counted per source and bucket of their place, which tells the bucket
+    that the limit falls in; later buckets are filtered out, and what is left (`limit` cards and that
+    bucket) is ranked in ranges, by as many tasks as it needs.
     """
-    order = [F.col(c) for c in position]
-    sliced = cards.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(slices)))
-    first = Window.partitionBy(source, "_slice").orderBy(*order)
-    second = Window.partitionBy(source).orderBy(*order)
-    return (
-        sliced.withColumn("_rank", F.row_number().over(first))
-        .where(F.col("_rank") <= limit)
-        .withColumn("_rank", F.row_number().over(second))
-        .where(F.col("_rank") <= limit)
-        .drop("_slice", "_rank")
+    name = F.when(F.col(source).isNotNull(), F.concat(F.lit("="), F.col(source).cast("string")))
+    placed = cards.withColumns({
+        "_source": F.coalesce(name, F.lit("")), "_bucket": place_bucket(cards, position[0]),
+    })
+    counts = placed.groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy("_source").orderBy("_bucket")
+    near = (
+        counts.withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
+        .where(F.col("_before") < limit).select("_source", "_bucket")
     )
+    candidates = stored(placed.join(near, ["_source", "_bucket"]), "candidates")
+    return ranks(candidates, position, ["_source"]).where(F.col("rank") < limit).select(*cards.columns)
 
 
 def cap_overall(cards: DataFrame, limit: int, position: Sequence[str] = ("position",)) -> DataFrame:

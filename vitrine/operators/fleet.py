@@ -18,6 +18,8 @@ LABELS = ("marca", "modelo")
 NUMBERS = ("ano_fabricacao", "km", "preco")
 TARGET = "idade_veiculo"
 UNKNOWN = -1
+#: Stands, with either sign, for a number that is not there.
+ABSENT = 1e18
 
 
 def encoders(df: DataFrame, columns: Sequence[str] = LABELS) -> dict[str, DataFrame]:
@@ -109,15 +111,20 @@ class FleetModel:
 
 
 def features(df: DataFrame, codes: dict[str, DataFrame], numbers: Sequence[str] = NUMBERS) -> DataFrame:
-    """Adds the `features` vector: label codes, numbers (-1 if absent) and absence flags."""
+    """Adds the `features` vector: label codes, and every number twice.
+
+    An absent number lies below all others in the first of the two and above all in the second. A
+    split on the first sends absent numbers left, on the second right: the trees' search over all
+    splits thus learns for each split on which side they belong.
+    """
     out = df
     for column, table in codes.items():
         out = encode(out, column, table, f"_{column}")
     out = out.withColumns({
-        **{f"_{c}": F.coalesce(F.col(c).cast("double"), F.lit(-1.0)) for c in numbers},
-        **{f"_no_{c}": F.col(c).isNull().cast("double") for c in numbers},
+        f"_{side}_{c}": F.coalesce(F.col(c).cast("double"), F.lit(value))
+        for c in numbers for side, value in (("low", -ABSENT), ("high", ABSENT))
     })
-    inputs = [*[f"_{c}" for c in codes], *[f"_{c}" for c in numbers], *[f"_no_{c}" for c in numbers]]
+    inputs = [*[f"_{c}" for c in codes], *[f"_{side}_{c}" for c in numbers for side in ("low", "high")]]
     assembled = VectorAssembler(inputCols=inputs, outputCol="features").transform(out)
     return assembled.drop(*inputs)
 

@@ -13,9 +13,12 @@ CACHE_MAP = "map<string,struct<lat:double,lon:double,normalized:string>>"
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """Cache kept as Parquet or as a JSON object keyed by place; empty if absent or broken."""
+    """Cache kept as Parquet, as lines of JSON (`.jsonl`, read by many tasks) or as one JSON object
+    keyed by place (`.json`, one task: for small caches made elsewhere); empty if absent or broken."""
     empty = spark.createDataFrame([], GEO_CACHE)
     try:
+        if path.endswith(".jsonl"):
+            return spark.read.schema(GEO_CACHE).json(path).where(F.col("location").isNotNull())
         if path.endswith(".json"):
             text = spark.read.text(path, wholetext=True)
             entries = text.select(F.explode(F.from_json("value", CACHE_MAP)).alias("location", "e"))
@@ -28,8 +31,10 @@ def read_cache(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_cache(cache: DataFrame, path: str) -> None:
-    """Write a new version of the cache; `path` must not be the version it was read from."""
-    cache.select(*GEO_CACHE.fieldNames()).write.mode("overwrite").parquet(path)
+    """Write a new version of the cache, as lines of JSON if `path` ends so; `path` must not be the
+    version it was read from."""
+    rows = cache.select(*GEO_CACHE.fieldNames()).write.mode("overwrite")
+    rows.json(path) if path.endswith(".jsonl") else rows.parquet(path)
 
 
 def distinct_keys(df: DataFrame, column: str = "localizacao") -> DataFrame:

@@ -18,6 +18,13 @@ from vitrine.session import shared_folder
 RANGE = "_range"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, however often they are read."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ranges(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
     """The rows with the number of their range in the given order, as a table in the shared folder.
 
@@ -25,10 +32,7 @@ def ranges(df: DataFrame, order: Sequence[str], parts: int | None = None) -> Dat
     drawn once, and the table holds what came of them, so all that reads it agrees.
     """
     dealt = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
-    path = f"{shared_folder(df.sparkSession)}/ranges-{uuid.uuid4().hex}"
-    made = dealt.withColumn(RANGE, F.spark_partition_id())
-    made.write.parquet(path)
-    return df.sparkSession.read.schema(made.schema).parquet(path)
+    return stored(dealt.withColumn(RANGE, F.spark_partition_id()), "ranges")
 
 
 def ranks(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), parts: int | None = None) -> DataFrame:

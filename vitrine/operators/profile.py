@@ -108,12 +108,14 @@ def numeric_stats(df: DataFrame, columns: Sequence[str] = ("preco", "km"),
     )
 
 
-def document(df: DataFrame, name: str, origin: str, order: Sequence[str] = ("id",)) -> DataFrame:
-    """The whole profile as one nested row, ready to be written as JSON."""
+def document(df: DataFrame, name: str, origin: str, order: Sequence[str] = ("id",), brands: bool = True) -> DataFrame:
+    """The whole profile as one nested row, ready to be written as JSON.
+
+    It has one entry per column and, with `brands`, one per brand; without, see `write_profile`.
+    """
     def as_map(rows: DataFrame, key: str, value) -> DataFrame:
         return rows.select(F.map_from_entries(F.collect_list(F.struct(F.col(key), value))))
 
-    # One entry per column, and one per brand of the dictionary.
     per_column = as_map(
         columns(df, order), "coluna",
         F.struct("tipo", "valores_unicos", "valores_nulos", "exemplo"),
@@ -121,14 +123,22 @@ def document(df: DataFrame, name: str, origin: str, order: Sequence[str] = ("id"
     numbers = as_map(
         numeric_stats(df), "coluna", F.struct("media", "mediana", "min", "max", "desvio_padrao")
     ).scalar()
-    brands = as_map(value_counts(df), "marca", F.col("n")).scalar()
+    statistics = [numbers.alias("numeros")]
+    if brands:
+        statistics.append(as_map(value_counts(df), "marca", F.col("n")).scalar().alias("marcas"))
     return header(df, name, origin, order).select(
         F.struct("nome", "total_registros", "data_coleta", "fonte").alias("dataset_info"),
         per_column.alias("colunas"),
-        F.struct(numbers.alias("numeros"), brands.alias("marcas")).alias("estatisticas"),
+        F.struct(*statistics).alias("estatisticas"),
         F.array(*[F.lit(x) for x in lookups.INSIGHTS]).alias("insights_recomendados"),
     )
 
 
 def write_json(profile: DataFrame, path: str) -> None:
     profile.write.mode("overwrite").json(path)
+
+
+def write_profile(df: DataFrame, path: str, name: str, origin: str, order: Sequence[str] = ("id",)) -> None:
+    """The profile below `path`: the nested row in `profile`, the brands as rows in `marcas`, however many."""
+    write_json(document(df, name, origin, order, brands=False), f"{path}/profile")
+    write_json(value_counts(df), f"{path}/marcas")

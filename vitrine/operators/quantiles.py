@@ -11,11 +11,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Buckets for each doubling of |value|: each spans about 0.14 % of the value, however near to 0 it lies.
 RESOLUTION = 512
 # Makes the bucket of the smallest double above 0 positive.
 LOWEST = 1_100 * RESOLUTION
+# Beyond every bucket.
+LAST = 2**62
 
 
 def _bucket(value: Column) -> Column:
@@ -24,6 +27,24 @@ def _bucket(value: Column) -> Column:
     return F.when(value < 0, -size).when(value > 0, size).otherwise(F.lit(0).cast("long"))
 
 
+def place_bucket(df: DataFrame, column: str) -> Column:
+    """A number that never falls along the column's ascending order: nulls first, NaN last.
+
+    Numbers and times fall into the buckets of their size, texts into those of their first six
+    bytes; other types have one bucket.
+    """
+    kind, place = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(place.cast("binary"), 1, 6)), 12, "0")
+        bucket = F.conv(head, 16, 10).cast("long")
+    elif isinstance(kind, (T.NumericType, T.DateType, T.TimestampType)):
+        value = place.cast("timestamp").cast("double") if isinstance(kind, T.DateType) else place.cast("double")
+        bucket = F.when(F.isnan(value), F.lit(LAST)).otherwise(_bucket(value))
+    else:
+        bucket = F.lit(0).cast("long")
+    return F.when(place.isNull(), F.lit(-LAST)).otherwise(bucket)
+
+
 def quantiles(
     df: DataFrame, value: str, probabilities: dict[str, float], keys: Sequence[str] = (),
     approximate: int | None = None,

@@ -168,9 +168,8 @@ def q_label_encode_unseen(spark, folder):
 
 @query("q_fleet_features", with_tables(LISTINGS_SQL, f"""
 SELECT {KEYS}, concat_ws('|', dense_rank() OVER (ORDER BY marca) - 1, dense_rank() OVER (ORDER BY modelo) - 1,
-       coalesce(ano_fabricacao, -1), coalesce(km, -1), CAST(round(coalesce(preco, -1)) AS BIGINT),
-       CASE WHEN ano_fabricacao IS NULL THEN 1 ELSE 0 END, CASE WHEN km IS NULL THEN 1 ELSE 0 END,
-       CASE WHEN preco IS NULL THEN 1 ELSE 0 END) AS features FROM listings"""))
+       {', '.join(f"CAST(round(coalesce({c}, {sign}1000000000000000000)) AS BIGINT)"
+                  for c in fleet.NUMBERS for sign in ("-", ""))}) AS features FROM listings"""))
 def q_fleet_features(spark, folder):
     from pyspark.ml.functions import vector_to_array
 
