@@ -21,6 +21,22 @@ def test_copies_of_a_page_count_once(documents):
     assert strip(documents(rows))[0] == ("whole page\nsecond line", 2, 0)
 
 
+def test_copies_of_a_page_are_pages(documents):
+    rows = [(i, "whole page\nsecond line", "a") for i in range(20)] + [(20 + i, f"p{i}\n\np{i}", "a") for i in range(10)]
+    got = strip(documents(rows), distinct_pages=False, ratio=0.5)
+    assert got[0] == ("", 2, 2) and got[25] == ("p5\n\np5", 3, 0)
+    assert strip(documents(rows), distinct_pages=False, ratio=0.7)[0] == ("whole page\nsecond line", 2, 0)
+
+
+def test_text_of_a_page(spark):
+    page = ("<!DOCTYPE html><HEAD><title>t &amp; u</title><style>p{}\n</style><script>var a='<p>';</script></HEAD><body>"
+            "<nav><ul><li><a href='/x'>x</a></li></ul></nav><!-- no\n<p> --><article><p class='a\nb'>one <b>two</b><br/>three<pre>four")
+    df = spark.createDataFrame([(page,), (None,), ("",), ("plain\ntext",), ("<p" * 30_000,)], "html string")
+    got = [r[0] for r in df.select(line_frequency.text_of(F.col("html"))).collect()]
+    assert [x for x in got[0].split("\n") if x] == ["t &amp; u", "x", "one two", "threefour"]
+    assert got[1:4] == [None, "", "plain\ntext"] and len(got[4]) == 60_000
+
+
 def test_edges(documents):
     rows = [(i, "foot\n\n  \nbody %d" % i, None) for i in range(9)] + [(10, None, None), (11, "", "a"), (None, "foot", None), (0, "foot\n\n  \nbody 0", None),
                                                                       (12, "long\n" * 100_000, "a"), (13, "foot", "")]

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import (chat, filter_audit, line_frequency, packing, pieces, projections, quality_rules, repeats, secret_layers,
-                         simhash, urls, warc, whitening)
-from vitrine.llm.common import count_words, new_path
+                         simhash, url_labels, urls, warc, whitening)
+from vitrine.llm.common import count_words, new_path, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STATEMENTS: dict[str, str] = {}
@@ -79,24 +79,32 @@ def op3(spark, folder):
 _BLANKS = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
 
 
+_TEXT = "html"
+for _pattern, _to in ((line_frequency.HIDDEN, "''"), (line_frequency.BLOCK, "chr(10)"), (line_frequency.TAG, "''")):
+    _TEXT = f"regexp_replace({_TEXT}, '{_pattern}', {_to}, 'g')"
+
+
 @query("op4_site_line_frequency", f"""
-WITH pages AS (SELECT doc_id, source, coalesce(text, '') AS text,
-       CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS host FROM documents),
-contents AS (SELECT DISTINCT host, text FROM pages),
-lines AS (SELECT DISTINCT host, text, trim(line, {_BLANKS}) AS line
-  FROM (SELECT host, text, unnest(string_split(text, chr(10))) AS line FROM contents)),
-totals AS (SELECT host, count(*) AS n FROM contents GROUP BY host),
-counted AS (SELECT host, line, count(*) AS c FROM lines WHERE line <> '' GROUP BY host, line),
-found AS (SELECT host, list(line) AS drops FROM counted JOIN totals USING (host)
-  WHERE c >= {line_frequency.LEAST_PAGES} AND c > {line_frequency.RATIO} * n GROUP BY host),
-kept AS (SELECT doc_id, source, string_split(text, chr(10)) AS all_lines,
-       list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(coalesce(drops, []), trim(x, {_BLANKS}))) AS kept
-  FROM pages LEFT JOIN found USING (host))
-SELECT doc_id, source, CAST(len(all_lines) AS BIGINT) AS n_lines, CAST(len(all_lines) - len(kept) AS BIGINT) AS n_dropped,
+WITH shown AS (SELECT page_id, CASE WHEN instr(url, '://') > 0
+       THEN lower(regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*')) END AS host,
+       string_split(coalesce({_TEXT}, ''), chr(10)) AS all_lines FROM pages),
+keyed AS (SELECT *, CASE WHEN host IS NULL THEN '' ELSE '=' || host END AS host_key FROM shown),
+totals AS (SELECT host_key, count(*) AS n FROM keyed GROUP BY host_key),
+counted AS (SELECT host_key, line, count(*) AS c
+  FROM (SELECT host_key, unnest(list_distinct(list_transform(all_lines, lambda x: trim(x, {_BLANKS})))) AS line FROM keyed)
+  WHERE line <> '' GROUP BY host_key, line),
+found AS (SELECT host_key, list(line) AS drops FROM counted JOIN totals USING (host_key)
+  WHERE c >= {line_frequency.LEAST_PAGES} AND c > {line_frequency.RATIO} * n GROUP BY host_key),
+kept AS (SELECT page_id, host, all_lines,
+       list_filter(all_lines, lambda x: NOT list_contains(coalesce(drops, []), trim(x, {_BLANKS}))) AS kept
+  FROM keyed LEFT JOIN found USING (host_key))
+SELECT page_id, host, CAST(len(all_lines) AS BIGINT) AS n_lines, CAST(len(all_lines) - len(kept) AS BIGINT) AS n_dropped,
        sha256(array_to_string(kept, chr(10))) AS kept_sha256 FROM kept""")
 def op4(spark, folder):
-    found = line_frequency.strip_lines(table(spark, folder, "documents"), F.col("source"), F.col("text"))
-    return found.select("doc_id", "source", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
+    pages = staged(table(spark, folder, "pages").select("page_id", "url", "html"), text=line_frequency.text_of(F.col("html")))
+    pages = pages.select("page_id", line_frequency.host_of(F.col("url")).alias("host"), "text")
+    found = line_frequency.strip_lines(pages, F.col("host"), F.col("text"), distinct_pages=False)
+    return found.select("page_id", "host", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
                         F.sha2(F.col("_kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
@@ -108,12 +116,7 @@ URL_RULES = [
 
 @query("op5_url_filter")
 def op5(spark, folder):
-    pages = table(spark, folder, "pages").select("page_id", "url")
-    # The labelled table: addresses that a rule decides.
-    host, path = urls.parts(F.col("url"))
-    decided = pages.select("url", urls.matched(host, path, URL_RULES)["verdict"].alias("verdict"))
-    labelled = decided.select("url", F.when(F.col("verdict").isNotNull(), F.col("verdict") == "block").alias("blocked"))
-    return urls.judge(pages, URL_RULES, urls.train(labelled))
+    return urls.judge(table(spark, folder, "pages").select("page_id", "url"), URL_RULES, urls.train(url_labels.table(spark)))
 
 
 @query("op6_suffix_tree_repeats")

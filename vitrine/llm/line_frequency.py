@@ -1,8 +1,9 @@
 """Line dedup by site-relative frequency.
 
-A line is boilerplate of a host if more than a given share of the host's pages contain it. Pages of
-a host with identical text count once, on both sides of the division, so copies of a page do not
-turn its content into boilerplate.
+A line is boilerplate of a host if more than a given share of the host's pages contain it: pages with
+the line, divided by all pages of the host. With `distinct_pages`, pages of a host with identical
+text count once on both sides of the division, so copies of a page do not turn its content into
+boilerplate (a pipeline that keeps one copy of each text later wants that).
 """
 
 from __future__ import annotations
@@ -23,6 +24,18 @@ def host_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.lower(F.regexp_extract(rest, "^[^/?#]*", 0)))
 
 
+#: Parts of a page that are no text, tags that end a line, and other tags.
+HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
+BLOCK = r"(?i)</?(p|br|li|ul|ol|h[1-6]|div|nav|article|section|header|footer|title|body|table|tr)([ /\t\n][^>]*)?>"
+TAG = "<[^>]*>"
+
+
+def text_of(html: Column) -> Column:
+    """The text of a page, a line for each block; entities stay as they are. A null page stays null."""
+    shown = F.regexp_replace(html, HIDDEN, "")
+    return F.regexp_replace(F.regexp_replace(shown, BLOCK, "\n"), TAG, "")
+
+
 def _host_key(host: Column) -> Column:
     return F.when(host.isNotNull(), F.concat(F.lit("="), host.cast("string"))).otherwise(F.lit(""))
 
@@ -36,26 +49,32 @@ def _line_hash(line: Column) -> Column:
 
 
 def boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float = RATIO,
-                least_pages: int = LEAST_PAGES) -> DataFrame:
+                least_pages: int = LEAST_PAGES, distinct_pages: bool = True) -> DataFrame:
     """`host_key, line_hash, n_pages, n_total` of the lines above the ratio, as a written table.
 
     Lines are compared without blanks at their ends; blank lines are never boilerplate. Pages
-    without a host form one group. A line must be on `least_pages` different pages.
+    without a host form one group. A line must be on `least_pages` pages: on a host of fewer than
+    1 / ratio pages every line is above the ratio, so the ratio alone would empty small hosts.
     """
     page = pages.select(_host_key(host).alias("host_key"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("_page"),
                         F.filter(_lines(text), lambda x: F.trim(x, F.lit(BLANKS)) != "").alias("_lines"))
-    totals = page.select("host_key", "_page").distinct().groupBy("host_key").agg(F.count("*").alias("n_total"))
-    # A page gives each of its lines once; one row per (host, line, page) then one per (host, line),
-    # each summed before it is shuffled, so a common line of a large host is no hot key.
-    hashes = page.select("host_key", "_page", F.explode(F.array_distinct(F.transform("_lines", _line_hash))).alias("line_hash"))
-    counts = hashes.distinct().groupBy("host_key", "line_hash").agg(F.count("*").alias("n_pages"))
+    # A page gives each of its lines once; rows are summed before they are shuffled, so a common
+    # line of a large host is no hot key.
+    lines = F.explode(F.array_distinct(F.transform("_lines", _line_hash))).alias("line_hash")
+    if distinct_pages:
+        totals = page.select("host_key", "_page").distinct().groupBy("host_key").agg(F.count("*").alias("n_total"))
+        hashes = page.select("host_key", "_page", lines).distinct()
+    else:
+        totals = page.groupBy("host_key").agg(F.count("*").alias("n_total"))
+        hashes = page.select("host_key", lines)
+    counts = hashes.groupBy("host_key", "line_hash").agg(F.count("*").alias("n_pages"))
     return written(
         counts.where(F.col("n_pages") >= least_pages).join(totals, "host_key").where(F.col("n_pages") > ratio * F.col("n_total")),
         "boilerplate")
 
 
 def strip_lines(pages: DataFrame, host: Column, text: Column, ratio: float = RATIO,
-                least_pages: int = LEAST_PAGES, prefix: str = "_") -> DataFrame:
+                least_pages: int = LEAST_PAGES, prefix: str = "_", distinct_pages: bool = True) -> DataFrame:
     """All rows and columns of `pages`, with `<prefix>kept_text`, `<prefix>n_lines` and
     `<prefix>n_dropped`; `prefix` keeps them apart from columns of the input.
 
@@ -63,7 +82,7 @@ def strip_lines(pages: DataFrame, host: Column, text: Column, ratio: float = RAT
     lists meet the pages by host, and Catalyst broadcasts the written table if its size allows.
     A null text gives an empty one. Repeated rows get equal results; an empty table gives none.
     """
-    found = boilerplate(pages, host, text, ratio, least_pages)
+    found = boilerplate(pages, host, text, ratio, least_pages, distinct_pages)
     lists = written(found.groupBy(F.col("host_key").alias("_host_key")).agg(F.collect_list("line_hash").alias("_drop")), "host_lists")
     # The generated row keeps the split of a text from being repeated by later expressions.
     split = F.explode(F.array(F.struct(_lines(text).alias("lines"), _host_key(host).alias("host"))))
