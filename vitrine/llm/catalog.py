@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitrine.llm import (chat, filter_audit, line_frequency, packing, pieces, projections, quality_rules, repeats, secret_layers,
                          simhash, url_labels, urls, warc, whitening)
-from vitrine.llm.common import count_words, new_path, staged
+from vitrine.llm.common import count_words, new_path, staged, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STATEMENTS: dict[str, str] = {}
@@ -102,7 +102,8 @@ SELECT page_id, host, CAST(len(all_lines) AS BIGINT) AS n_lines, CAST(len(all_li
        sha256(array_to_string(kept, chr(10))) AS kept_sha256 FROM kept""")
 def op4(spark, folder):
     pages = staged(table(spark, folder, "pages").select("page_id", "url", "html"), text=line_frequency.text_of(F.col("html")))
-    pages = pages.select("page_id", line_frequency.host_of(F.col("url")).alias("host"), "text")
+    # Both passes read the texts: they are taken out of the pages once.
+    pages = written(pages.select("page_id", line_frequency.host_of(F.col("url")).alias("host"), "text"), "page_texts")
     found = line_frequency.strip_lines(pages, F.col("host"), F.col("text"), distinct_pages=False)
     return found.select("page_id", "host", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
                         F.sha2(F.col("_kept_text").cast("binary"), 256).alias("kept_sha256"))
