@@ -9,7 +9,7 @@ SCHEMA = "conv_id long, turn long, role string, text string"
 
 
 def windows(spark, rows, **options):
-    return [r.asDict(recursive=True) for r in chat.windows(spark.createDataFrame(rows, SCHEMA), **options).orderBy("conv_id", "window").collect()]
+    return [r.asDict(recursive=True) for r in chat.windows(spark.createDataFrame(rows, SCHEMA), **options).orderBy("conv_id", "block", "window").collect()]
 
 
 def test_query_against_brute_force(spark, folder):
@@ -54,3 +54,29 @@ def test_edges(spark):
     assert len(got[3]["formatted"]) > 200_000
     df = spark.createDataFrame(rows, SCHEMA).withColumn("window", F.lit("x")).withColumn("parts", F.lit(1))
     assert chat.windows(df).count() == 4 and chat.windows(df.limit(0)).count() == 0
+
+
+def test_long_conversations_in_blocks(spark, tmp_path):
+    """A conversation of many blocks, with and without a system turn, gaps, null and negative turns and ties."""
+    role = lambda i: ("user", "assistant")[i % 2]
+    rows = [(1, 0, "system", "be brief")] + [(1, i, role(i), f"t{i} " + "w " * (i % 40)) for i in range(1, 3_000)]
+    rows += [(2, i, role(i), f"u{i}") for i in range(0, 2_000, 7)] + [(2, 511, "system", "late")] * 2
+    rows += [(None, i, role(i or 1), f"n{i}") for i in [None, -300, -1, 0, 255, 256, 600]]
+    rows += [(3, 255, "system", "s"), (3, 256, "assistant", "a"), (3, 256, "assistant", "a"), (4, 900, "user", "only")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = windows(spark, rows, budget=200, history_tokens=60)
+    assert all(w["formatted"].startswith("<|im_start|>system\nbe brief<|im_end|>") for w in got if w["conv_id"] == 1)
+    assert len({w["block"] for w in got if w["conv_id"] == 1}) == 12 and all(w["alone"] == (w["conv_id"] == 4) for w in got)
+    firsts = [w for w in got if w["conv_id"] == 1 and w["window"] == 0]
+    assert [w["n_repeated"] > 1 for w in firsts] == [False] + [True] * 11 and firsts[0]["n_repeated"] == 0
+    turns = chat.read_turns(F.col("formatted"))
+    sizes = chat.windows(df, budget=200, history_tokens=60).where("conv_id = 1").select(
+        F.aggregate(turns, F.lit(0).cast("long"), lambda a, t: a + chat.count_tokens(t["text"]) + chat.FRAME).alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] <= 200
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    talks = defaultdict(list)
+    for c, t, r, x in rows:
+        talks[c].append((-0.5 if t is None else t, r, x))
+    talks[-1] = [(0, "user", catalog._ATTACK), (1, "assistant", catalog._ATTACK)]
+    found = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in catalog.op3(spark, str(tmp_path)).collect()}
+    assert found == {k: plain.conversation(v) for k, v in talks.items()}

@@ -65,15 +65,20 @@ def op3(spark, folder):
     turns = chat.read_turns(F.col("formatted"))
     fresh = F.slice(turns, F.col("n_repeated").cast("int") + 1, F.size(turns))
     text = F.array_join(F.transform(fresh, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    seen = made.select("conv_id", "window", F.size(fresh).alias("n"), text.alias("text"), F.length("formatted").alias("chars"),
+    seen = made.select("conv_id", "block", "alone", "window", F.size(fresh).alias("n"), text.alias("text"), F.length("formatted").alias("chars"),
                        chat.read_targets(F.col("formatted"), F.col("mask")).alias("loss"))
-    whole = seen.groupBy("conv_id").agg(
-        F.sum("n").cast("long").alias("n_turns"), F.sum("chars").cast("long").alias("formatted_chars"),
-        F.sort_array(F.collect_list(F.struct("window", "text", "loss"))).alias("w"))
-    text, loss = (F.array_join(F.col("w").getField(c), "") for c in ("text", "loss"))
-    return whole.select("conv_id", "n_turns", F.sha2(text.cast("binary"), 256).alias("turns_sha256"),
-                        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
-                        "formatted_chars")
+
+    def digest(rows: DataFrame, *keys: str) -> DataFrame:
+        whole = rows.groupBy(*keys).agg(
+            F.sum("n").cast("long").alias("n_turns"), F.sum("chars").cast("long").alias("formatted_chars"),
+            F.sort_array(F.collect_list(F.struct("block", "window", "text", "loss"))).alias("w"))
+        text, loss = (F.array_join(F.col("w").getField(c), "") for c in ("text", "loss"))
+        return whole.select("conv_id", "n_turns", F.sha2(text.cast("binary"), 256).alias("turns_sha256"),
+                            F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+                            "formatted_chars")
+
+    # A digest needs its whole conversation: only those of several blocks are gathered once more.
+    return digest(seen.where("alone"), "conv_id", "block").unionByName(digest(seen.where("not alone"), "conv_id"))
 
 
 _BLANKS = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
