@@ -107,12 +107,12 @@ def q_hierarchy_rollup(spark, folder):
 
 @query("q_place_hierarchy", with_tables(LISTINGS_SQL, """
 , p AS (SELECT trim(split_part(localizacao, ',', -1)) AS estado, trim(split_part(localizacao, ',', 1)) AS cidade,
-        preco FROM listings WHERE localizacao IS NOT NULL)
+        preco FROM listings)
 SELECT estado, cidade, CAST(grouping_id(estado, cidade) AS INTEGER) AS nivel, count(*) AS n,
        near(avg(preco), 4) AS preco_medio FROM p GROUP BY ROLLUP (estado, cidade)"""))
 def q_place_hierarchy(spark, folder):
-    placed = report.place_parts(listings(spark, folder).where(F.col("localizacao").isNotNull()))
-    return rounded(report.hierarchy(placed, ["estado", "cidade"]))
+    """Listings without a place stand under a place that is null."""
+    return rounded(report.hierarchy(report.place_parts(listings(spark, folder)), ["estado", "cidade"]))
 
 
 @query("q_brand_location", with_tables(LISTINGS_SQL, """
