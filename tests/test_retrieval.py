@@ -189,3 +189,18 @@ def test_render_context_and_summary(spark):
     assert "- Total de linhas: 2\n- Colunas: 4\n- Coluna principal: id\n" in summary
     assert "\nRegistro 2:\n  id: 2\n  marca: VW\n  modelo: Gol\n  ano: 2020\n" in summary
     assert "Total de registros: 2\n" in retrieval.overview(rows, ["id"]).collect()[0].context
+
+
+def test_row_ranking_stores_counts_and_deals_out_nothing(spark, folder):
+    """One question over the listings: no index is built, and what is ranked holds counts, not texts."""
+    from vitrine.plans.catalog import QUERIES
+
+    ranked = QUERIES["q_bm25_rows"](spark, folder)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "split(" not in plan and "hashpartitioning" not in plan and ranked.count() == 10
+
+
+def test_scores_from_stored_counts(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "b b"), (3, None), (1, "c")], "doc_id long, text string")
+    counted = spark.createDataFrame(retrieval.counts(docs, "b a b").collect())
+    assert sorted(map(tuple, retrieval.scores(counted, "b a b").collect())) == sorted(map(tuple, retrieval.bm25(docs, "b a b").collect()))
