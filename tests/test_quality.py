@@ -104,3 +104,15 @@ def test_profile_in_files(spark, tmp_path):
     assert nested.dataset_info.total_registros == len(ROWS) and "marcas" not in nested.estatisticas.asDict()
     brands = {r.marca: r.n for r in spark.read.json(str(tmp_path / "marcas")).collect()}
     assert brands == {r.marca: r.n for r in profile.value_counts(rows).collect()}
+
+
+def test_profile_deals_out_numbers(spark):
+    """Integers and doubles stand for themselves or 64 bits; nulls, both zeros and equal numbers of other columns keep apart."""
+    rows = [(1, 1, 0.0, "a", None), (2, 1, -0.0, "", None), (3, None, 0.5, None, None), (4, 2, None, "a", None)]
+    df = spark.createDataFrame(rows, "id long, n int, x double, t string, none string")
+    found = profile.columns(df)
+    got = {r.coluna: (r.tipo, r.valores_unicos, r.valores_nulos, r.exemplo) for r in found.collect()}
+    assert got == {"id": ("bigint", 4, 0, "1"), "n": ("int", 2, 1, "1"), "x": ("double", 3, 1, "0.0"),
+                   "t": ("string", 2, 1, "a"), "none": ("string", 0, 4, None)}
+    numbers = profile.columns(df.select("id", "n", "x"))
+    assert "reverse(" not in numbers._jdf.queryExecution().optimizedPlan().toString()

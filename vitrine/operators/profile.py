@@ -43,9 +43,19 @@ def top_values(df: DataFrame, column: str, n: int) -> DataFrame:
     return value_counts(df, column).orderBy(F.desc("n"), column).limit(n)
 
 
-def _fingerprint(value: Column) -> Column:
-    """128 bits of a text (two independent hashes); null stays null."""
-    return F.when(value.isNotNull(), F.struct(F.xxhash64(value).alias("a"), F.xxhash64(F.lit(7), F.reverse(value)).alias("b")))
+def _fingerprint(value: Column, kind: str) -> tuple[Column, Column]:
+    """Two numbers that stand for a value; the first is null for a null.
+
+    Integers stand for themselves. The hash of a double tells all doubles apart but the two zeros. Of anything
+    else they are 128 bits of its text (two independent hashes).
+    """
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return value.cast("long"), F.lit(0).cast("long")
+    if kind == "double":
+        negative = (value == 0) & F.startswith(value.cast("string"), F.lit("-"))
+        return F.when(value.isNotNull(), F.xxhash64(value)), F.when(negative, F.lit(1)).otherwise(F.lit(0)).cast("long")
+    text = value.cast("string")
+    return F.when(text.isNotNull(), F.xxhash64(text)), F.when(text.isNotNull(), F.xxhash64(F.lit(7), F.reverse(text)))
 
 
 def columns(
@@ -54,8 +64,8 @@ def columns(
 ) -> DataFrame:
     """Type, distinct values, nulls and first known example of each column.
 
-    Columns are stacked to (column, hash of the value) rows and counted per value, so no task sees
-    all values of a column and no text is shuffled; `approximate` counts with a sketch instead. The
+    Columns are stacked to (number of the column, number or hash of the value) rows and counted per value, so no
+    task sees all values of a column and no text is shuffled; `approximate` counts with a sketch instead. The
     examples are one row of aggregates without grouping, which needs no sort.
     """
     names = list(names or df.columns)
@@ -63,21 +73,24 @@ def columns(
         F.lit(x) for f in df.schema.fields if f.name in names
         for x in (f.name, f.dataType.simpleString())
     ])
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    made = [(i, *_fingerprint(F.col(c), types[c])) for i, c in enumerate(names)]
     stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("coluna"), _fingerprint(F.col(c).cast("string")).alias("v")) for c in names
-    ])).alias("e")).select("e.coluna", "e.v")
+        F.struct(F.lit(i).alias("c"), a.alias("a"), b.alias("b")) for i, a, b in made
+    ])).alias("e")).select("e.c", "e.a", "e.b")
     if approximate:
-        counted = stacked.groupBy("coluna").agg(
-            F.approx_count_distinct(F.col("v.a")).alias("valores_unicos"),
-            F.count_if(F.col("v").isNull()).alias("valores_nulos"),
+        counted = stacked.groupBy("c").agg(
+            F.approx_count_distinct("a").alias("valores_unicos"),
+            F.count_if(F.col("a").isNull()).alias("valores_nulos"),
         )
     else:
-        per_value = stacked.groupBy("coluna", "v").agg(F.count(F.lit(1)).alias("n"))
-        counted = per_value.groupBy("coluna").agg(
-            F.count("v").alias("valores_unicos"),
-            F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(F.lit(0)))
+        per_value = stacked.groupBy("c", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+        counted = per_value.groupBy("c").agg(
+            F.count("a").alias("valores_unicos"),
+            F.sum(F.when(F.col("a").isNull(), F.col("n")).otherwise(F.lit(0)))
             .cast("bigint").alias("valores_nulos"),
         )
+    counted = counted.withColumn("coluna", F.get(F.array(*[F.lit(c) for c in names]), F.col("c")))
     place = F.struct(*order)
     first = df.agg(*[
         F.min_by(F.col(c).cast("string"), F.when(F.col(c).isNotNull(), place)).alias(c)
