@@ -191,3 +191,12 @@ def test_model_without_the_year_does_not_see_the_answer(spark, folder):
     rows = listings(spark, folder)
     _, metrics = fleet.train(rows, KEY, rounds=2, with_year=False)
     assert metrics.collect()[0].r2 < 0.5
+
+
+def test_a_short_vocabulary_is_broadcast(spark):
+    """Rows are not dealt out by their few labels, however many rows there are."""
+    rows = spark.range(2000).select("id", F.concat(F.lit("m"), F.col("id") % 3).alias("marca"))
+    coded = fleet.encode(rows, "marca", fleet.encoders(rows, ["marca"])["marca"], "code")
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert {(r.marca, r.code) for r in coded.collect()} == {("m0", 0), ("m1", 1), ("m2", 2)}

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.operators.joins import lookup_join
-from vitrine.operators.ordered import ranks
+from vitrine.operators.ordered import ranks, stored
 from vitrine.session import shared_folder
 
 LABELS = ("marca", "modelo")
@@ -39,8 +39,9 @@ def encoders(df: DataFrame, columns: Sequence[str] = LABELS) -> dict[str, DataFr
         .distinct()
     )
     codes = ranks(labels, ["_label"], ["_column"]).select("_column", "_label", F.col("rank").cast("int").alias("code"))
+    # Tables of known size: a short vocabulary is then broadcast, and its rows are not dealt out by a few labels.
     return {
-        c: codes.where(F.col("_column") == c).select(F.col("_label").alias(c), "code")
+        c: stored(codes.where(F.col("_column") == c).select(F.col("_label").alias(c), "code"), "codes")
         for c in columns
     }
 
