@@ -5,9 +5,9 @@ only carried along, so keys may repeat. Adding documents writes a segment, delet
 that no longer count and what they take from the frequencies, merging writes the live documents as one
 segment. The list of what counts is swapped last (`sources.versions`).
 
-A segment has `documents(number, doc_id, length, tokens, tfs)`, and `postings` in blocks: of a token's documents,
-the ones it weighs most in come first, and a block knows its highest term frequency and its smallest length, and
-the highest weight under its segment's average length. Both bound what it can add to a score
+A segment has `documents(number, doc_id, length, tokens, tfs)`, and `postings` numbered in blocks: of a token's
+documents, the ones it weighs most in come first. For the words asked, a block's highest term frequency and smallest
+length are found, and the highest weight under its segment's average length. Both bound what it can add to a score
 under any average length, the second by the ratio of the averages.
 
 Ranking takes two rounds. The best block of every word asked gives first documents, whose exact scores
@@ -79,7 +79,7 @@ class TextIndex:
         return found.join(gone, ["segment", "number"], "left_anti")
 
     def postings(self, buckets: Iterable[int] | None = None) -> DataFrame:
-        """Blocks `segment, bucket, token, part, block, n, most, least, numbers, tfs, lengths`; deleted documents are still in them."""
+        """`segment, bucket, token, part, block, number, tf, length`; deleted documents are still in them."""
         return self._table("postings", self.segments, buckets)
 
     def frequencies(self, buckets: Iterable[int] | None = None) -> DataFrame:
@@ -139,7 +139,7 @@ def build_index(docs: DataFrame, root: str, doc_id: str = "doc_id", text: str =
 def _counted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """`doc_id, length, tokens, tfs`: the different words of each text in order, and how often each stands there."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
-    rows = _once(rows, _sorted=F.array_sort(F.coalesce(tokens(F.col("_text")), F.array().cast("array<string>"))))
+    rows = _once(rows, _sorted=F.sort_array(F.coalesce(tokens(F.col("_text")), F.array().cast("array<string>"))))
     places = F.when(F.size("_sorted") > 0, F.sequence(F.lit(0), F.size("_sorted") - 1)).otherwise(F.array().cast("array<int>"))
     first = F.filter(places, lambda i: (i == 0) | (F.get("_sorted", i) != F.get("_sorted", i - 1)))
     rows = _once(rows.drop("_text"), _first=first)
@@ -168,21 +168,17 @@ def _write_segment(index: TextIndex, counted: DataFrame) -> str:
     _write_buckets(frequencies, f"{root}/frequencies/segment={name}")
 
     frequent = spark.read.schema("token string, df long, bucket int").parquet(f"{root}/frequencies/segment={name}").where(F.col("df") > PART)
-    split = frequent.select("token", F.ceil(F.col("df") / F.lit(PART)).cast("int").alias("_parts"))
+    # At most one row for PART postings: small beside the postings.
+    split = F.broadcast(frequent.select("token", F.ceil(F.col("df") / F.lit(PART)).cast("int").alias("_parts")))
     part = F.pmod(F.xxhash64("number"), F.coalesce("_parts", F.lit(1))).cast("int")
     average = documents.agg(F.avg("length")).scalar()
     impact = weight(F.col("tf"), F.col("length"), average, K1, B)
-    entry = F.struct((-impact).alias("less"), "number", "tf", "length")
-    grouped = pairs.join(split, "token", "left").select("token", part.alias("part"), entry.alias("e"))
-    grouped = grouped.groupBy("token", "part").agg(F.sort_array(F.collect_list("e")).alias("es"))
-    cuts = F.sequence(F.lit(0), F.floor((F.size("es") - 1) / F.lit(BLOCK)).cast("int"))
-    blocks = grouped.select("token", "part", F.posexplode(F.transform(cuts, lambda i: F.slice("es", i * BLOCK + 1, BLOCK))).alias("block", "es"))
-    blocks = blocks.select(
-        _bucket(F.col("token"), index.buckets).alias("bucket"), "token", "part", "block", F.size("es").alias("n"),
-        F.array_max("es.tf").alias("most"), F.array_min("es.length").alias("least"),
-        (-F.get("es", F.lit(0))["less"]).alias("best"), average.alias("typical"),
-        F.col("es.number").alias("numbers"), F.col("es.tf").alias("tfs"), F.col("es.length").alias("lengths"))
-    _write_buckets(blocks, f"{root}/postings/segment={name}")
+    placed = pairs.join(split, "token", "left").select("token", part.alias("part"), "number", "tf", "length")
+    # The postings are shuffled and sorted once: ranked inside their part, they lie in the order of the folders.
+    placed = placed.select(_bucket(F.col("token"), index.buckets).alias("bucket"), "token", "part", "number", "tf", "length", impact.alias("impact"))
+    inside = F.row_number().over(Window.partitionBy("bucket", "token", "part").orderBy(F.desc("impact"), "number"))
+    rows = placed.withColumn("block", F.floor((inside - 1) / F.lit(BLOCK)).cast("int"))
+    rows.select("bucket", "token", "part", "block", "number", "tf", "length").write.partitionBy("bucket").parquet(f"{root}/postings/segment={name}")
     return name
 
 
@@ -207,10 +203,21 @@ class _Asked:
 
     def opened(self, blocks: DataFrame) -> DataFrame:
         """`query_id, segment, number, u, part_score`: the documents of blocks `(query_id, w, u, *_BLOCK)`."""
-        stored = self.index.postings(self.buckets).select(*_BLOCK, F.arrays_zip("numbers", "tfs", "lengths").alias("e"))
-        rows = stored.join(blocks, _BLOCK).select("query_id", "segment", "w", "u", F.explode("e").alias("e"))
-        return rows.select("query_id", "segment", F.col("e.numbers").alias("number"), "u",
-                           (F.col("w") * self.weight(F.col("e.tfs"), F.col("e.lengths"))).alias("part_score"))
+        rows = self.index.postings(self.buckets).join(blocks, _BLOCK)
+        return rows.select("query_id", "segment", "number", "u", (F.col("w") * self.weight(F.col("tf"), F.col("length"))).alias("part_score"))
+
+    def scanned(self, limits: DataFrame) -> DataFrame:
+        """`query_id, segment, number, doc_id, score` of all documents that reach the limit `(query_id, least)` of a
+        question. Each is scored for all questions where it lies: the documents are shuffled once, and of the pairs
+        with questions only those leave their task that can be among the best."""
+        rows = self.index.documents.select("segment", "number", "length", "tokens", "tfs").repartition("segment", "number").select(
+            "segment", "number", "length", F.explode(F.arrays_zip("tokens", "tfs")).alias("e")).select(
+            "segment", "number", "length", F.col("e.tokens").alias("token"), F.col("e.tfs").alias("tf"))
+        parts = rows.join(F.broadcast(self.asked.select("query_id", "token", "w")), "token")
+        score = F.round(F.sum(F.col("w") * self.weight(F.col("tf"), F.col("length"))), 10)
+        scored = parts.groupBy("segment", "number", "query_id").agg(score.alias("score"))
+        best = scored.join(F.broadcast(limits), "query_id").where(F.col("score") >= F.col("least")).drop("least")
+        return best.join(self.index.documents.select("segment", "number", "doc_id"), ["segment", "number"])
 
     def exact(self, pairs: DataFrame) -> DataFrame:
         """`query_id, doc_id, score` of pairs `(query_id, segment, number)`, from the documents' own words."""
@@ -243,8 +250,12 @@ def _ask(index: TextIndex, questions: DataFrame, k1: float, b: float, known: lis
     )
     weighed = wanted.join(index.frequencies(buckets), ["bucket", "token"]).select(
         "query_id", "bucket", "token", (F.col("times") * idf(figures["n"], F.col("df"))).alias("w"))
-    headers = index.postings(buckets).select(*_BLOCK, "n", "most", "least", "best", "typical").join(
-        weighed.select("bucket", "token").distinct(), ["bucket", "token"], "left_semi")
+    # The best weight of a block is taken under the average length of its segment.
+    typical = index._table("figures", index.segments).select("segment", F.try_divide("total", "n").alias("typical"))
+    held = index.postings(buckets).join(weighed.select("bucket", "token").distinct(), ["bucket", "token"], "left_semi").join(F.broadcast(typical), "segment")
+    headers = held.groupBy(*_BLOCK, "typical").agg(
+        F.count(F.lit(1)).alias("n"), F.max("tf").alias("most"), F.min("length").alias("least"),
+        F.max(weight(F.col("tf"), F.col("length"), F.col("typical"), K1, B)).alias("best"))
     bound = weight(F.col("most"), F.col("least"), figures["average"], k1, b)
     if (k1, b) == (K1, B):
         # A weight grows with the average length, and by no more than the average does.
@@ -272,27 +283,46 @@ def _thresholds(ask: _Asked, k: int) -> DataFrame:
 
 def candidates(index: TextIndex, questions: DataFrame, k: int = 10, k1: float = K1, b: float = B) -> DataFrame:
     """`query_id, segment, number` of the documents that are scored for each question `(query_id, text)`."""
-    return _candidates(_ask(index, questions, k1, b, None), k)
+    ask = _ask(index, questions, k1, b, None)
+    judged = _judged(ask, k)
+    return _met(ask, judged, _needed(ask, judged))
 
 
-def _candidates(ask: _Asked, k: int) -> DataFrame:
+def _judged(ask: _Asked, k: int) -> DataFrame:
+    """The words asked, with `least`, the score a document of the question must reach, `all` and `upto`, sums of what words can add."""
     least = F.coalesce("least_score", F.lit(-1.0)) - SLACK * F.greatest(F.lit(1.0), F.coalesce("least_score", F.lit(1.0)))
     mine = Window.partitionBy("query_id")
     judged = ask.asked.join(_thresholds(ask, k), "query_id", "left").select(
         "query_id", "bucket", "token", "w", "u", least.alias("least"), F.sum("u").over(mine).alias("all"),
         F.sum("u").over(mine.orderBy("u", "token").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
-    judged = _kept(ask.index, judged)
+    return _kept(ask.index, judged)
+
+
+def _needed(ask: _Asked, judged: DataFrame) -> DataFrame:
+    """The blocks to be read, per question."""
     # The words whose weights do not reach the threshold together need no postings.
     needed = judged.where(F.col("upto") >= F.col("least"))
     blocks = ask.headers.join(needed, ["bucket", "token"]).where(
         F.col("w") * F.col("bound") + (F.col("all") - F.col("u")) >= F.col("least"))
-    met = ask.opened(_kept(ask.index, blocks.select("query_id", "w", "u", *_BLOCK))).groupBy("query_id", "segment", "number").agg(
+    return _kept(ask.index, blocks.select("query_id", "w", "u", *_BLOCK, "n"))
+
+
+def _met(ask: _Asked, judged: DataFrame, blocks: DataFrame) -> DataFrame:
+    met = ask.opened(blocks.drop("n")).groupBy("query_id", "segment", "number").agg(
         F.sum("part_score").alias("p"), F.sum("u").alias("seen"))
     limits = judged.select("query_id", "least", "all").distinct()
     left = met.join(limits, "query_id").where(F.col("p") + F.col("all") - F.col("seen") >= F.col("least"))
     return _kept(ask.index, left.select("query_id", "segment", "number"))
 
 
+def _scan_is_less(ask: _Asked, blocks: DataFrame) -> bool:
+    """Whether the questions would open more postings than a quarter of all that the documents hold: every opened
+    posting is a row of a shuffle, for each question that opens it, and documents are read again for what it leaves."""
+    opened, = blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()
+    held, = ask.index.frequencies().agg(F.coalesce(F.sum("df"), F.lit(0))).first()
+    return 4 * opened > held
+
+
 def _ranked(scored: DataFrame, k: int) -> DataFrame:
     """The k best of each question: inside slices of a question first, then over what the slices kept."""
     order = [F.desc("score"), F.col("doc_id"), F.col("segment"), F.col("number")]
@@ -303,25 +333,24 @@ def _ranked(scored: DataFrame, k: int) -> DataFrame:
     return best.withColumn("rank", overall).where(F.col("rank") <= k)
 
 
-def _every_hit(ask: _Asked) -> DataFrame:
-    """`query_id, segment, number, doc_id, score` of all documents that hold a word of a question, from the postings alone."""
-    blocks = ask.headers.join(ask.asked, ["bucket", "token"]).select("query_id", "w", "u", *_BLOCK)
-    sums = ask.opened(blocks).groupBy("query_id", "segment", "number").agg(F.round(F.sum("part_score"), 10).alias("score"))
-    return sums.join(ask.index.documents.select("segment", "number", "doc_id"), ["segment", "number"])
-
-
 def bm25_many(index: TextIndex, questions: DataFrame, k: int = 10, k1: float = K1, b: float = B, prune: bool = True) -> DataFrame:
     """`(query_id, rank, doc_id, score)` for a table of questions `(query_id, text)`.
 
     A question without a hit gets the first k documents with score 0. Equal scores are ranked by document.
     `prune=False` scores every document that holds a word asked: the same rows, and less work where the
-    collection is small or its words are so common that few documents can be left out.
+    collection is small or its words are so common that few documents can be left out. With pruning, that is
+    done as well when the blocks to be read hold more postings than it takes.
     """
     return _many(_ask(index, questions, k1, b, None), questions, k, prune)
 
 
 def _many(ask: _Asked, questions: DataFrame, k: int, prune: bool = True) -> DataFrame:
-    scored = ask.exact(_candidates(ask, k)) if prune else _every_hit(ask)
+    judged = _judged(ask, k)
+    blocks = _needed(ask, judged) if prune else None
+    if blocks is None or _scan_is_less(ask, blocks):
+        scored = ask.scanned(judged.select("query_id", "least").distinct())
+    else:
+        scored = ask.exact(_met(ask, judged, blocks))
     ranked = _ranked(scored, k).select("query_id", "rank", "doc_id", "score")
     first = ask.index.documents.select("doc_id").orderBy("doc_id").limit(k).agg(F.array_sort(F.collect_list("doc_id")).alias("d")).scalar()
     silent = questions.select("query_id").distinct().join(ask.asked.select("query_id").distinct(), "query_id", "left_anti")
