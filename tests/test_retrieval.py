@@ -204,3 +204,16 @@ def test_scores_from_stored_counts(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "b b"), (3, None), (1, "c")], "doc_id long, text string")
     counted = spark.createDataFrame(retrieval.counts(docs, "b a b").collect())
     assert sorted(map(tuple, retrieval.scores(counted, "b a b").collect())) == sorted(map(tuple, retrieval.bm25(docs, "b a b").collect()))
+
+
+def test_many_hits_leave_only_what_can_win(spark, tmp_path):
+    """All documents hold the words asked: of the pairs with questions, few are left after the scan, and none of the best is lost."""
+    texts = [" ".join(["the"] * (i % 7 + 1) + ["of"] * (i % 5 + 1) + ["x"] * (i % 11)) for i in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    index = textindex.build_index(docs, str(tmp_path / "i"), buckets=2)
+    asked = spark.createDataFrame([(0, "the of"), (1, "of of"), (2, "the")], "query_id long, text string")
+    ask = textindex._ask(index, asked, 1.5, 0.75, None)
+    judged = textindex._judged(ask, 5)
+    assert textindex._scan_is_less(ask, textindex._needed(ask, judged))
+    assert 15 <= ask.scanned(judged.select("query_id", "least").distinct()).count() < 0.2 * 3 * len(texts)
+    check_many(textindex.bm25_many(index, asked, 5, prune=False).collect(), texts, ["the of", "of of", "the"], 5)
