@@ -5,7 +5,7 @@ import pytest
 from conftest import AS_OF
 from pyspark.sql import functions as F
 
-from vitrine.operators import demand, fleet, predict
+from vitrine.operators import bins, demand, fleet, predict
 from vitrine.plans.catalog.registry import listings
 from vitrine.sources.tables import KEY
 
@@ -200,3 +200,95 @@ def test_a_short_vocabulary_is_broadcast(spark):
     plan = coded._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
     assert {(r.marca, r.code) for r in coded.collect()} == {("m0", 0), ("m1", 1), ("m2", 2)}
+
+
+def plain_points(values, bins=32):
+    """Split points of a sorted list of values, one value after the other."""
+    kinds, counts = np.unique(values, return_counts=True)
+    if len(kinds) <= bins:
+        return [(a + b) / 2 for a, b in zip(kinds, kinds[1:])]
+    share, points, below, target = len(values) / bins, [], counts[0], len(values) / bins
+    for i in range(1, len(kinds)):
+        before, below = below, below + counts[i]
+        if abs(before - target) < abs(below - target):
+            points.append((kinds[i - 1] + kinds[i]) / 2)
+            target += share
+    return points
+
+
+def test_split_points_come_from_all_rows(spark):
+    rng = np.random.default_rng(5)
+    n = 6000
+    columns = {
+        "few": rng.integers(1990, 2020, n).astype(float), "whole": rng.integers(0, 160_000, n).astype(float),
+        "price": np.round(rng.lognormal(10, 1, n), 2), "near": 1e9 + rng.integers(0, 500, n),
+        "signed": rng.normal(size=n), "heavy": np.where(rng.random(n) < 0.6, 7.0, rng.normal(size=n)),
+        "far": np.where(rng.random(n) < 0.01, 1e300, rng.random(n) * 1e-300), "one": np.full(n, 3.0),
+    }
+    frame = spark.createDataFrame([tuple(map(float, r)) for r in zip(*columns.values())], [*columns])
+    gaps = frame.withColumn("price", F.when(F.col("whole") > 5000, F.col("price"))).union(
+        spark.createDataFrame([(float("nan"),) * len(columns)], frame.schema))
+    found = bins.split_points(gaps, [*columns])
+    columns["price"] = columns["price"][columns["whole"] > 5000]
+    for name, values in columns.items():
+        assert found[name] == plain_points(values), name
+    infinite = spark.createDataFrame([(float(x),) for x in ("-inf", 1, 2, "inf")], "v double")
+    points = bins.split_points(infinite, ["v"])
+    assert [r._v for r in bins.binned(infinite, points).orderBy("v").collect()] == [0, 1, 2, 3]
+
+
+def test_a_bin_ends_with_its_split_point(spark):
+    frame = spark.createDataFrame([(x,) for x in (1, 2, 3, None)], "v int")
+    at = {r.v: r._v for r in bins.binned(frame, {"v": [1.5, 2.0]}).collect()}
+    assert at == {1: 0, 2: 1, 3: 2, None: None}
+    assert {r._v for r in bins.binned(frame, {"v": []}).collect()} == {0, None}
+
+
+def listing_rows(spark, n):
+    i = F.col("id")
+    return spark.range(n).select(
+        "id", F.concat(F.lit("m"), i % 3).alias("marca"), F.lit("a").alias("modelo"), F.lit(None).cast("int").alias("ano_fabricacao"),
+        F.when(i % 11 != 0, (i % 7).cast("int")).alias("km"), (i % 5).cast("double").alias("preco"),
+        ((i % 7) * 2 + (i % 5) * (i % 3) + i % 2).cast("double").alias("idade_veiculo"))
+
+
+def test_rounds_pass_over_cells_not_rows(spark, monkeypatch):
+    """The trees get a row for each set of bins, with the number of rows, and are those of the rows themselves."""
+    given, fit = [], fleet.GBTRegressor.fit
+    monkeypatch.setattr(fleet.GBTRegressor, "fit", lambda self, df, *a: given.append(df) or fit(self, df, *a))
+    rows = listing_rows(spark, 6000)
+    model, _ = fleet.train(rows, rounds=4, depth=3)
+    learn, _ = fleet.split(rows, ["id"])
+    sets = learn.select("marca", "km", "preco").distinct().count()
+    assert given[0].count() == sets < 200
+    assert given[0].agg(F.sum("n")).first()[0] == learn.count()
+    plain = fit(fleet.GBTRegressor(labelCol="idade_veiculo", maxIter=4, stepSize=0.1, maxDepth=3, seed=42),
+                fleet.features(learn, model.codes))
+    both = plain.transform(fleet.features(rows, model.codes)).select("id", "prediction").join(model.score(rows, "p"), "id")
+    assert both.where("abs(prediction - p) > 1e-9").count() == 0
+
+
+def test_trees_see_every_cell(spark):
+    """One cell among more than the trees would draw."""
+    i = F.col("id")
+    rows = spark.range(25_000).select(
+        "id", F.lit("m").alias("marca"), F.when(i % 5000 == 17, "z").otherwise("a").alias("modelo"),
+        F.when(i % 5000 != 17, (i % 30).cast("int")).alias("ano_fabricacao"),
+        F.when(i % 5000 != 17, F.floor(i / 30) % 30).alias("km"),
+        F.when(i % 5000 != 17, (F.floor(i / 900) % 30).cast("double")).alias("preco"),
+        F.when(i % 5000 == 17, 1e6).otherwise(3.0).alias("idade_veiculo"))
+    model, _ = fleet.train(rows, rounds=1, depth=2)
+    assert {r.p for r in model.score(rows.where("modelo = 'z'"), "p").collect()} == {1e6}
+
+
+def test_a_model_kept_without_split_points_is_loaded(spark, tmp_path):
+    rows = listing_rows(spark, 300)
+    codes = fleet.encoders(rows)
+    trees = fleet.GBTRegressor(labelCol="idade_veiculo", maxIter=2, maxDepth=2).fit(fleet.features(rows, codes))
+    model = fleet.FleetModel(trees, codes)
+    model.save(str(tmp_path / "m"))
+    spark.read.parquet(str(tmp_path / "m" / "inputs")).drop("points").write.parquet(str(tmp_path / "inputs"))
+    spark.read.parquet(str(tmp_path / "inputs")).write.mode("overwrite").parquet(str(tmp_path / "m" / "inputs"))
+    assert fleet.FleetModel.load(spark, str(tmp_path / "m")).points is None
+    again = fleet.FleetModel.load(spark, str(tmp_path / "m")).score(model.score(rows, "a"), "b")
+    assert again.where("a <> b").count() == 0

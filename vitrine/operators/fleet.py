@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.operators.bins import BINS, binned, split_points
 from vitrine.operators.joins import lookup_join
 from vitrine.operators.ordered import ranks, stored
 from vitrine.session import shared_folder
@@ -20,6 +23,10 @@ TARGET = "idade_veiculo"
 UNKNOWN = -1
 #: Stands, with either sign, for a number that is not there.
 ABSENT = 1e18
+#: Bits that hold the number of a bin, or BINS for an absent number.
+BITS = BINS.bit_length()
+#: The trees draw the square of their bins from the rows they are given; more would not fit its type.
+MOST_BINS = 46_340
 
 
 def encoders(df: DataFrame, columns: Sequence[str] = LABELS) -> dict[str, DataFrame]:
@@ -79,40 +86,47 @@ def evaluate(df: DataFrame, label: str = TARGET, prediction: str = "prediction")
 
 @dataclass
 class FleetModel:
-    """Trained trees with the label codes they were trained on."""
+    """Trained trees with the label codes and split points they were trained on (None: trees over plain values)."""
 
     trees: GBTRegressionModel
     codes: dict[str, DataFrame]
     numbers: Sequence[str] = NUMBERS
+    points: dict[str, list[float]] | None = None
 
     def features(self, df: DataFrame) -> DataFrame:
-        return features(df, self.codes, self.numbers)
+        return features(df, self.codes, self.numbers, self.points)
 
     def score(self, df: DataFrame, name: str = "prediction") -> DataFrame:
         scored = self.trees.transform(self.features(df))
         return scored.select(*df.columns, F.col("prediction").alias(name))
 
     def save(self, path: str) -> None:
-        """Trees, label codes, and which labels and numbers in which order make the features."""
+        """Trees, label codes, and which labels and numbers in which order make the features, with their split points."""
         self.trees.write().overwrite().save(f"{path}/trees")
         for column, codes in self.codes.items():
             codes.write.mode("overwrite").parquet(f"{path}/codes_{column}")
-        inputs = [(i, kind, name) for kind, names in (("label", self.codes), ("number", self.numbers))
+        points = self.points or {}
+        inputs = [(i, kind, name, points.get(name)) for kind, names in (("label", self.codes), ("number", self.numbers))
                   for i, name in enumerate(names)]
         spark = next(iter(self.codes.values())).sparkSession
-        spark.createDataFrame(inputs, "place int, kind string, name string").coalesce(1).write.mode(
-            "overwrite").parquet(f"{path}/inputs")
+        schema = "place int, kind string, name string, points array<double>"
+        spark.createDataFrame(inputs, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/inputs")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> FleetModel:
         inputs = spark.read.parquet(f"{path}/inputs").orderBy("place").collect()  # one row per feature
         labels, numbers = ([r["name"] for r in inputs if r["kind"] == k] for k in ("label", "number"))
         codes = {c: spark.read.parquet(f"{path}/codes_{c}") for c in labels}
-        return FleetModel(GBTRegressionModel.load(f"{path}/trees"), codes, tuple(numbers))
+        # Models kept before trees were given bins have no split points.
+        points = {r["name"]: list(r["points"]) for r in inputs if "points" in r and r["points"] is not None} or None
+        return FleetModel(GBTRegressionModel.load(f"{path}/trees"), codes, tuple(numbers), points)
 
 
-def features(df: DataFrame, codes: dict[str, DataFrame], numbers: Sequence[str] = NUMBERS) -> DataFrame:
-    """Adds the `features` vector: label codes, and every number twice.
+def features(
+    df: DataFrame, codes: dict[str, DataFrame], numbers: Sequence[str] = NUMBERS,
+    points: dict[str, list[float]] | None = None,
+) -> DataFrame:
+    """Adds the `features` vector: label codes, and every number twice; with split points, their bins instead.
 
     An absent number lies below all others in the first of the two and above all in the second. A
     split on the first sends absent numbers left, on the second right: the trees' search over all
@@ -120,7 +134,10 @@ def features(df: DataFrame, codes: dict[str, DataFrame], numbers: Sequence[str]
     """
     out = df
     for column, table in codes.items():
-        out = encode(out, column, table, f"_{column}")
+        out = encode(out, column, table if points is None else _binned_codes(table, column, points), f"_{column}")
+    if points is not None:
+        out = binned(out, {c: points[c] for c in numbers})
+        return out.withColumn("features", _vector(codes, numbers)).drop(*[f"_{c}" for c in (*codes, *numbers)])
     out = out.withColumns({
         f"_{side}_{c}": F.coalesce(F.col(c).cast("double"), F.lit(value))
         for c in numbers for side, value in (("low", -ABSENT), ("high", ABSENT))
@@ -130,12 +147,44 @@ def features(df: DataFrame, codes: dict[str, DataFrame], numbers: Sequence[str]
     return assembled.drop(*inputs)
 
 
+def _binned_codes(codes: DataFrame, column: str, points: dict[str, list[float]]) -> DataFrame:
+    """The label table with bins in place of codes. An unknown label, -1, is on the left of every split, as its code is."""
+    return binned(codes, {"code": points[column]}).select(column, F.col("_code").alias("code"))
+
+
+def _vector(labels: Sequence[str], numbers: Sequence[str]) -> Column:
+    """The features out of the bins in `_<name>`, null for an absent number: 0 in the first of the two, the last in the second."""
+    both = [x for c in numbers for x in (F.coalesce(F.col(f"_{c}") + 1, F.lit(0)), F.coalesce(F.col(f"_{c}"), F.lit(BINS)))]
+    return array_to_vector(F.array(*[x.cast("double") for x in (*[F.col(f"_{c}") for c in labels], *both)]))
+
+
+def cells(
+    coded: DataFrame, labels: Sequence[str], numbers: Sequence[str], points: dict[str, list[float]], target: str,
+) -> DataFrame:
+    """`features, n, target`: one row for each set of bins, with its rows and their mean target.
+
+    A tree sees no more of a row than its bins, and what it sums in a node are counts and targets. So it
+    is the same over these as over the rows, but there are never more than there are sets of bins.
+    """
+    names = [*labels, *numbers]
+    places = [F.coalesce(F.col(f"_{c}"), F.lit(BINS)).cast("long") for c in names]
+    key = sum((F.shiftleft(place, BITS * i) for i, place in enumerate(places)), F.lit(0).cast("long"))
+    found = stored(binned(coded, {c: points[c] for c in names}).groupBy(key.alias("_key")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.avg(target).alias(target)), "cells")
+    place = {c: F.shiftright("_key", BITS * i).bitwiseAND(F.lit((1 << BITS) - 1)) for i, c in enumerate(names)}
+    bins = found.select("n", target, *[F.when(p < BINS, p).alias(f"_{c}") for c, p in place.items()])
+    return bins.select(_vector(labels, numbers).alias("features"), "n", target)
+
+
 def train(
     df: DataFrame, key: Sequence[str] = ("id",), rounds: int = 100, rate: float = 0.1,
     depth: int = 5, seed: int = 42, target: str = TARGET, with_year: bool = True,
 ) -> tuple[FleetModel, DataFrame]:
     """Model and its held-out metrics.
 
+    The rows are coded once, and gathered by the bins of their features: every round then passes over
+    cells, however many rows there are.
+
     The target is derived from the manufacture year, so the year gives the answer away; it is
     kept for parity and left out with `with_year=False`.
     """
@@ -144,10 +193,22 @@ def train(
     needed = list(dict.fromkeys([*key, *LABELS, *numbers, target]))
     rows = df.select(*needed).where(F.col(target).isNotNull())
     codes = encoders(rows)
-    learn, test = split(rows, key, seed)
+    coded = rows
+    for c, table in codes.items():
+        coded = encode(coded, c, table, f"_{c}")
+    coded = stored(coded.select(
+        *[F.col(f"_{c}").cast("double").alias(c) for c in codes], *[F.col(c).cast("double").alias(c) for c in numbers],
+        F.col(target).cast("double").alias("_target"), is_held_out(key, seed).alias("_held_out"),
+    ), "coded")
+    learn, test = coded.where(~F.col("_held_out")), coded.where("_held_out")
+    points = split_points(learn, [*codes, *numbers])
+    gathered = cells(learn, codes, numbers, points, "_target")
+    # With as many bins the trees draw every cell when they look for split points, and find one between all bins.
+    bins = max(BINS, min(MOST_BINS, math.isqrt(gathered.count()) + 1))
     trees = GBTRegressor(
-        featuresCol="features", labelCol=target, predictionCol="prediction", maxIter=rounds,
+        featuresCol="features", labelCol="_target", predictionCol="prediction", weightCol="n", maxIter=rounds, maxBins=bins,
         stepSize=rate, maxDepth=depth, lossType="squared", seed=seed, checkpointInterval=10,
-    ).fit(features(learn, codes, numbers).select("features", F.col(target).cast("double")))
-    model = FleetModel(trees, codes, numbers)
-    return model, evaluate(model.score(test), target)
+    ).fit(gathered)
+    model = FleetModel(trees, codes, numbers, points)
+    held = binned(test, points).withColumn("features", _vector(codes, numbers))
+    return model, evaluate(trees.transform(held), "_target")

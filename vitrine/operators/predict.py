@@ -31,9 +31,11 @@ def table(
     enter as scalar subqueries, so nothing passes through the driver."""
     loss = forecast.select("loss").scalar()
     r2 = metrics.select("r2").scalar()
+    # A row of its own, so the text is made once and not for every listing.
+    text = scored.sparkSession.range(1).select(F.when(r2.isNotNull() | loss.isNotNull(), metrics_text(r2, loss))).scalar()
     return scored.withColumns({
         "Fleet_Health_Score": health_score(F.col("idade_veiculo"), F.col(predicted)),
         "Predicted_Demand_Next_Period": forecast.select("forecast").scalar(),
         "Prediction_Date": F.lit(finished.strftime(STAMP)),
-        "Model_Metrics": F.when(r2.isNotNull() | loss.isNotNull(), metrics_text(r2, loss)),
+        "Model_Metrics": text,
     })

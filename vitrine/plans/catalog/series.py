@@ -264,7 +264,9 @@ def q_fleet_quality(spark, folder):
 @query("q_fleet_predictions")
 def q_fleet_predictions(spark, folder):
     """Boosted trees trained on the listings, with the month-by-month demand forecast."""
-    rows = listings(spark, folder).withColumn("data_coleta", F.col("l_shipdate"))
+    # What neither the models nor the result hold need not be kept with Gold.
+    rows = listings(spark, folder).select(
+        *KEY, *fleet.LABELS, *fleet.NUMBERS, fleet.TARGET, F.col("l_shipdate").alias("data_coleta"))
     out = refine.predictions(rows, AS_OF, tuple(KEY), unit="month")
     return out.select(
         *KEY, "idade_veiculo", "Aging_Predicted", "Fleet_Health_Score",
