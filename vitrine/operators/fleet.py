@@ -25,6 +25,8 @@ UNKNOWN = -1
 ABSENT = 1e18
 #: Bits that hold the number of a bin, or BINS for an absent number.
 BITS = BINS.bit_length()
+#: Cells that one task passes over at most, and so keeps.
+CELLS_A_TASK = 1_000_000
 #: The trees draw the square of their bins from the rows they are given; more would not fit its type.
 MOST_BINS = 46_340
 
@@ -160,8 +162,8 @@ def _vector(labels: Sequence[str], numbers: Sequence[str]) -> Column:
 
 def cells(
     coded: DataFrame, labels: Sequence[str], numbers: Sequence[str], points: dict[str, list[float]], target: str,
-) -> DataFrame:
-    """`features, n, target`: one row for each set of bins, with its rows and their mean target.
+) -> tuple[DataFrame, int]:
+    """`features, n, target`: one row for each set of bins, with its rows and their mean target; and how many there are.
 
     A tree sees no more of a row than its bins, and what it sums in a node are counts and targets. So it
     is the same over these as over the rows, but there are never more than there are sets of bins.
@@ -172,8 +174,11 @@ def cells(
     found = stored(binned(coded, {c: points[c] for c in names}).groupBy(key.alias("_key")).agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.avg(target).alias(target)), "cells")
     place = {c: F.shiftright("_key", BITS * i).bitwiseAND(F.lit((1 << BITS) - 1)) for i, c in enumerate(names)}
-    bins = found.select("n", target, *[F.when(p < BINS, p).alias(f"_{c}") for c, p in place.items()])
-    return bins.select(_vector(labels, numbers).alias("features"), "n", target)
+    size = found.count()
+    # An equal share for each core: every round waits for the slowest task.
+    dealt = found.repartition(max(found.sparkSession.sparkContext.defaultParallelism, -(-size // CELLS_A_TASK)), "_key")
+    bins = dealt.select("n", target, *[F.when(p < BINS, p).alias(f"_{c}") for c, p in place.items()])
+    return bins.select(_vector(labels, numbers).alias("features"), "n", target), size
 
 
 def train(
@@ -202,9 +207,9 @@ def train(
     ), "coded")
     learn, test = coded.where(~F.col("_held_out")), coded.where("_held_out")
     points = split_points(learn, [*codes, *numbers])
-    gathered = cells(learn, codes, numbers, points, "_target")
+    gathered, size = cells(learn, codes, numbers, points, "_target")
     # With as many bins the trees draw every cell when they look for split points, and find one between all bins.
-    bins = max(BINS, min(MOST_BINS, math.isqrt(gathered.count()) + 1))
+    bins = max(BINS, min(MOST_BINS, math.isqrt(size) + 1))
     trees = GBTRegressor(
         featuresCol="features", labelCol="_target", predictionCol="prediction", weightCol="n", maxIter=rounds, maxBins=bins,
         stepSize=rate, maxDepth=depth, lossType="squared", seed=seed, checkpointInterval=10,
